@@ -171,7 +171,219 @@ def behavior_sql() -> dict[str, str]:
     }
 
 
+
+
+# ---- ads and marketing -----------------------------------------------------
+
+def ad_ranked(cap_groups: str = "user_id, ad_id, ts_sec // 86400") -> str:
+    return f"""
+SELECT *, row_number() OVER (PARTITION BY {cap_groups} ORDER BY ts_sec, seq) AS click_no
+FROM ({AD_CLICKS})"""
+
+
+def ad_sql(cap: int) -> dict[str, str]:
+    passed = f"SELECT user_id, ad_id, province, city, ts_sec, seq FROM ({ad_ranked()}) WHERE click_no <= {cap}"
+    warns = (f"SELECT user_id, ad_id, 'click over{cap}次' AS warning, ts_sec "
+             f"FROM ({ad_ranked()}) WHERE click_no = {cap + 1}")
+    by_province = f"""
+SELECT province, window_end, count(*) AS count
+FROM ({windows(f"SELECT *, ts_sec * 1000 AS ts_ms FROM ({passed})", 'province', HOUR, MIN5)})
+GROUP BY province, window_end"""
+    marketing = f"""
+SELECT channel, behavior, window_end, count(*) AS count
+FROM ({windows(f"SELECT * FROM ({MARKETING}) WHERE behavior IS DISTINCT FROM 'UNINSTALL'",
+               'channel, behavior', HOUR, 5000)})
+GROUP BY channel, behavior, window_end"""
+    return {
+        "ad_click_scan": AD_CLICKS,
+        "ad_click_cap": passed,
+        "ad_click_warnings": warns,
+        "ad_clicks_by_province": by_province,
+        "marketing_by_channel": marketing,
+    }
+
+
+# ---- app logs, DAU, dashboard ------------------------------------------------
+
+APP_LOGS = f"""
+SELECT event_id AS seq,
+       '{{"common":{{"mid":"mid_' || CAST(user_id AS VARCHAR) || '","uid":"' || CAST(user_id AS VARCHAR)
+       || '","ar":"' || CAST(user_id % 5 AS VARCHAR) || '","ch":"'
+       || CASE user_id % 3 WHEN 0 THEN 'app store' WHEN 1 THEN 'wechat' ELSE 'weibo' END
+       || '","vc":"v' || CAST(k % 4 AS VARCHAR) || '"}}'
+       || CASE WHEN event_type IN ('view', 'signup') THEN ',"start":{{"entry":"' || event_type || '"}}'
+               WHEN event_type = 'error' THEN ',"start":null' ELSE '' END
+       || ',"ts":' || CAST(ts_sec * 1000 AS VARCHAR) || '}}' AS value
+FROM ({EVENT_BASE})"""
+
+ROUTED = f"""
+SELECT seq, CASE WHEN json_extract_string(value, '$.start') IS NOT NULL
+                 THEN 'GMALL_START' ELSE 'GMALL_EVENT' END AS topic, value
+FROM ({APP_LOGS})"""
+
+DECODED_STARTS = f"""
+SELECT seq, json_extract_string(value, '$.common.mid') AS mid,
+       json_extract_string(value, '$.common.uid') AS uid,
+       json_extract_string(value, '$.common.ar') AS ar,
+       json_extract_string(value, '$.common.ch') AS ch,
+       json_extract_string(value, '$.common.vc') AS vc,
+       CAST(json_extract_string(value, '$.ts') AS BIGINT) AS ts,
+       strftime(make_timestamp(CAST(json_extract_string(value, '$.ts') AS BIGINT) * 1000), '%Y-%m-%d') AS dt
+FROM ({ROUTED}) WHERE topic = 'GMALL_START'"""
+
+DAU_FIRST = f"""
+SELECT dt, mid, uid, ar, ch, vc, ts, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY dt, mid ORDER BY ts, seq) AS rn FROM ({DECODED_STARTS}))
+WHERE rn = 1"""
+
+DAU_DOCS = f"""
+SELECT dt || '_' || mid AS id, mid, uid, ar, ch, vc, dt,
+       strftime(make_timestamp(ts * 1000), '%H') AS hr,
+       strftime(make_timestamp(ts * 1000), '%M') AS mi, ts
+FROM ({DAU_FIRST})"""
+
+DAU_BY_HOUR = f"SELECT dt, hr, count(*) AS count FROM ({DAU_DOCS}) GROUP BY dt, hr"
+
+
+def dau_sql() -> dict[str, str]:
+    return {
+        "log_route": ROUTED,
+        "raw_log_archive": f"""
+SELECT strftime(make_timestamp(CAST(json_extract_string(value, '$.ts') AS BIGINT) * 1000), '%Y-%m-%d') AS dt,
+       value FROM ({APP_LOGS})""",
+        "dau_first": DAU_FIRST,
+        "dau_docs": DAU_DOCS,
+        "dau_total": f"""
+SELECT dt, 'dau' AS id, '新增日活' AS name, count(*) AS value FROM ({DAU_DOCS}) GROUP BY dt""",
+        "dau_by_minute_top24": f"""
+SELECT dt, mi, count, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY dt ORDER BY count DESC, mi) AS INTEGER) AS rank
+  FROM (SELECT dt, mi, count(*) AS count FROM ({DAU_DOCS}) GROUP BY dt, mi)) WHERE rank <= 24""",
+        "dau_by_hour": DAU_BY_HOUR,
+        "dau_day_compare": f"""
+SELECT dt, 'today' AS day, hr, count FROM ({DAU_BY_HOUR})
+UNION ALL
+SELECT strftime(CAST(dt AS DATE) + 1, '%Y-%m-%d') AS dt, 'yesterday' AS day, hr, count
+FROM ({DAU_BY_HOUR})""",
+        "dedup_metrics": f"""
+SELECT dt, count(*) AS rows_before, count(DISTINCT mid) AS rows_after
+FROM ({DECODED_STARTS}) GROUP BY dt""",
+    }
+
+
+# ---- CDC and orders ------------------------------------------------------------
+
+ORDER_ROWS = """
+SELECT o.o_orderkey AS id, CAST(c.c_nationkey AS BIGINT) AS province_id,
+       o.o_orderstatus AS order_status, o.o_custkey AS user_id,
+       o.o_totalprice AS final_total_amount,
+       CAST(o.o_totalprice AS VARCHAR) AS amount_text,
+       strftime(o.o_orderdate + to_hours(CAST(o.o_orderkey % 24 AS INTEGER)), '%Y-%m-%d %H:%M:%S') AS create_time
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""
+
+ORDER_JSON = f"""
+SELECT id, '{{"id":' || CAST(id AS VARCHAR) || ',"province_id":' || coalesce(CAST(province_id AS VARCHAR), 'null')
+       || ',"order_status":"' || order_status || '","user_id":' || CAST(user_id AS VARCHAR)
+       || ',"final_total_amount":' || amount_text || ',"create_time":"' || create_time || '"}}' AS value
+FROM ({ORDER_ROWS})"""
+
+USER_JSON = """
+SELECT c_custkey AS id, '{"id":' || CAST(c_custkey AS VARCHAR) || ',"name":"' || c_name
+       || '","province_id":' || CAST(c_nationkey AS VARCHAR) || ',"account_balance":'
+       || CAST(c_acctbal AS VARCHAR) || ',"segment":"' || c_mktsegment || '"}' AS value
+FROM customer"""
+
+CDC_ROWS = f"""
+SELECT 'ODS_ORDER_INFO' AS topic, value FROM ({ORDER_JSON})
+UNION ALL
+SELECT 'ODS_USER_INFO' AS topic, value FROM ({USER_JSON})"""
+
+ORDERS_DECODED = f"""
+SELECT id, province_id, order_status, user_id, final_total_amount,
+       CAST(NULL AS DOUBLE) AS benefit_reduce_amount, CAST(NULL AS DOUBLE) AS original_total_amount,
+       CAST(NULL AS DOUBLE) AS feight_fee, CAST(NULL AS VARCHAR) AS expire_time, create_time,
+       CAST(NULL AS VARCHAR) AS operate_time
+FROM ({ORDER_ROWS})"""
+
+USER_STATE = """
+SELECT c_custkey AS user_id, CASE WHEN c_custkey % 3 = 0 THEN '1' ELSE '0' END AS if_consumed
+FROM customer WHERE c_custkey % 3 <> 2"""
+
+PROVINCES = """
+SELECT CAST(n.n_nationkey AS BIGINT) AS id, n.n_name AS name, CAST(r.r_regionkey AS VARCHAR) AS area_code,
+       substr(n.n_name, 1, 2) AS iso_code
+FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+USERS = """
+SELECT c_custkey AS id,
+       CASE WHEN c_acctbal < 0 THEN 'under 20' WHEN c_acctbal < 3000 THEN '20-30'
+            WHEN c_acctbal < 6000 THEN '30-40' ELSE '40+' END AS age_group,
+       CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender
+FROM customer"""
+
+
+def order_sql() -> dict[str, str]:
+    return {
+        "cdc_split_array": CDC_ROWS,
+        "cdc_split_object": CDC_ROWS,
+        "order_decode": ORDERS_DECODED,
+        "order_time_parts": f"""
+SELECT id, user_id, create_time, split_part(create_time, ' ', 1) AS create_date,
+       split_part(split_part(create_time, ' ', 2), ':', 1) AS create_hour
+FROM ({ORDERS_DECODED})""",
+        "order_first_flag": f"""
+SELECT o.id, o.user_id,
+       CASE WHEN s.user_id IS NULL THEN '' WHEN lower(s.if_consumed) = '1' THEN '0' ELSE '1' END
+       AS if_first_order
+FROM ({ORDERS_DECODED}) o LEFT JOIN ({USER_STATE}) s ON o.user_id = s.user_id""",
+        "order_first_flag_batch": f"""
+WITH o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY create_time, id) AS rn
+           FROM ({ORDERS_DECODED}))
+SELECT o.id, o.user_id,
+       CASE WHEN o.rn = 1 AND coalesce(lower(s.if_consumed) = '1', false) = false THEN '1' ELSE '0' END
+       AS if_first_order
+FROM o LEFT JOIN ({USER_STATE}) s ON o.user_id = s.user_id""",
+        "order_with_province": f"""
+SELECT o.id, o.province_id, p.name AS province_name, p.area_code AS province_area_code,
+       p.iso_code AS province_iso_code
+FROM ({ORDERS_DECODED}) o LEFT JOIN ({PROVINCES}) p ON o.province_id = p.id""",
+        "order_with_user": f"""
+SELECT o.id, o.user_id, u.age_group AS user_age_group, u.gender AS user_gender
+FROM ({ORDERS_DECODED}) o LEFT JOIN ({USERS}) u ON o.user_id = u.id""",
+        "user_state_update": f"""
+WITH b AS (SELECT DISTINCT user_id FROM ({ORDERS_DECODED}))
+SELECT coalesce(b.user_id, s.user_id) AS user_id,
+       CASE WHEN b.user_id IS NOT NULL THEN '1' ELSE s.if_consumed END AS if_consumed
+FROM ({USER_STATE}) s FULL OUTER JOIN b ON s.user_id = b.user_id""",
+        "sql_rows": f"""
+SELECT if_consumed, count(*) AS users FROM ({USER_STATE}) GROUP BY if_consumed""",
+    }
+
+
+SEARCH_TOKEN = "that"
+
+
+def search_sql() -> dict[str, str]:
+    t = SEARCH_TOKEN
+    toks = "list_filter(regexp_split_to_array(lower(text), '\\W+'), lambda x: x <> '')"
+    return {
+        "doc_search": f"""
+SELECT doc_id, lang, n_chars,
+       CAST(len(list_filter({toks}, lambda x: x = '{t}')) AS INTEGER) AS hits,
+       regexp_replace(text, '(?i)\\b({t})\\b', '<em>\\1</em>', 'g') AS highlight
+FROM documents WHERE list_contains({toks}, '{t}') AND lang = 'en'
+ORDER BY n_chars DESC, doc_id LIMIT 20""",
+    }
+
+
+AD_CAP = 2
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(behavior_sql())
+    out.update(ad_sql(AD_CAP))
+    out.update(dau_sql())
+    out.update(order_sql())
+    out.update(search_sql())
     return out

@@ -11,13 +11,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickflow.operators import ads, cdc, dau, marketing, orders, search
 from clickflow.operators import behavior as bh
 from clickflow.plans.tables import Tables
+from clickflow.schemas import ORDER_FIELDS
 from clickflow.sources import adapt, scans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMALL_MASK = (1 << 6) - 1
+# The oracle run caps clicks at 2: no user reaches the default 100 a day in
+# the test data, so 100 would never exercise the cap (FIXTURES.md §2).
+AD_CAP = 2
+SEARCH_TOKEN = "that"
+ORDER_TOPIC = "ODS_ORDER_INFO"
 
 
 def _q(fn: Callable[[Tables], DataFrame]) -> Query:
@@ -49,7 +56,79 @@ BEHAVIOR_QUERIES: dict[str, Query] = {
 }
 
 
+def _passed(t: Tables) -> DataFrame:
+    return ads.ad_click_cap(t.ad_clicks(), AD_CAP)
+
+
+AD_QUERIES: dict[str, Query] = {
+    "ad_click_scan": _q(lambda t: scans.good(scans.parse_ad_click_lines(adapt.ad_click_lines(
+        t.raw("events"), t.raw("customer"), t.raw("nation"))))),
+    "ad_click_cap": _q(_passed),
+    "ad_click_warnings": _q(lambda t: ads.ad_click_warnings(t.ad_clicks(), AD_CAP)),
+    "ad_clicks_by_province": _q(lambda t: ads.ad_clicks_by_province(_passed(t))),
+    "marketing_by_channel": _q(lambda t: marketing.marketing_by_channel(t.marketing())),
+}
+
+
+def _docs(t: Tables) -> DataFrame:
+    return dau.dau_docs(dau.dau_first(t.app_logs()))
+
+
+DAU_QUERIES: dict[str, Query] = {
+    "log_route": _q(lambda t: dau.log_route(t.app_logs())),
+    "raw_log_archive": _q(lambda t: dau.raw_log_archive(t.app_logs())),
+    "dau_first": _q(lambda t: dau.dau_first(t.app_logs())),
+    "dau_docs": _q(_docs),
+    "dau_total": _q(lambda t: dau.dau_total(_docs(t))),
+    "dau_by_minute_top24": _q(lambda t: dau.dau_by_minute_top24(_docs(t))),
+    "dau_by_hour": _q(lambda t: dau.dau_by_hour(_docs(t))),
+    "dau_day_compare": _q(lambda t: dau.dau_day_compare(_docs(t))),
+    "dedup_metrics": _q(lambda t: dau.dedup_metrics(t.app_logs())),
+}
+
+
+def _orders(t: Tables) -> DataFrame:
+    """Object envelopes -> ODS_ORDER_INFO -> decoded order records."""
+    routed = cdc.cdc_split_object(t.cdc_object())
+    return scans.decode_orders(cdc.for_topic(routed, ORDER_TOPIC))
+
+
+ORDER_INPUT_COLUMNS = [n for n, _ in ORDER_FIELDS[:11]]
+
+
+def _sql_rows(t: Tables) -> DataFrame:
+    t.user_state().createOrReplaceTempView("clickflow_user_state")
+    return scans.sql_rows(t.spark, "SELECT if_consumed, count(*) AS users "
+                                   "FROM clickflow_user_state GROUP BY if_consumed")
+
+
+ORDER_QUERIES: dict[str, Query] = {
+    "cdc_split_array": _q(lambda t: cdc.cdc_split_array(t.cdc_array())),
+    "cdc_split_object": _q(lambda t: cdc.cdc_split_object(t.cdc_object())),
+    "order_decode": _q(lambda t: _orders(t).select(*ORDER_INPUT_COLUMNS)),
+    "order_time_parts": _q(lambda t: orders.order_time_parts(_orders(t)).select(
+        "id", "user_id", "create_time", "create_date", "create_hour")),
+    "order_first_flag": _q(lambda t: orders.order_first_flag(_orders(t), t.user_state())
+                           .select("id", "user_id", "if_first_order")),
+    "order_first_flag_batch": _q(lambda t: orders.order_first_flag(
+        _orders(t), t.user_state(), within_batch=True).select("id", "user_id", "if_first_order")),
+    "order_with_province": _q(lambda t: orders.order_with_province(_orders(t), t.province_dim())
+                              .select("id", "province_id", "province_name",
+                                      "province_area_code", "province_iso_code")),
+    "order_with_user": _q(lambda t: orders.order_with_user(_orders(t), t.user_dim())
+                          .select("id", "user_id", "user_age_group", "user_gender")),
+    "user_state_update": _q(lambda t: orders.user_state_update(_orders(t), t.user_state())),
+    "sql_rows": _q(_sql_rows),
+}
+
+SEARCH_QUERIES: dict[str, Query] = {
+    "doc_search": _q(lambda t: search.doc_search(t.raw("documents"), SEARCH_TOKEN,
+                                                 {"lang": "en"})),
+}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    out.update(BEHAVIOR_QUERIES)
+    for part in (BEHAVIOR_QUERIES, AD_QUERIES, DAU_QUERIES, ORDER_QUERIES, SEARCH_QUERIES):
+        out.update(part)
     return out

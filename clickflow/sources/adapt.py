@@ -141,7 +141,9 @@ def app_logs(events: DataFrame) -> DataFrame:
 
 
 def _money(c: str) -> Column:
-    return F.format_string("%.2f", F.col(c))
+    """A double as canonical JSON number text (shortest round-trip form),
+    which JSON parsers re-serialise unchanged."""
+    return F.col(c).cast("string")
 
 
 def order_rows(orders: DataFrame, customer: DataFrame) -> DataFrame:
