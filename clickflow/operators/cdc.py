@@ -34,12 +34,12 @@ def cdc_split_array(envelopes: DataFrame) -> DataFrame:
 
 def cdc_split_object(envelopes: DataFrame) -> DataFrame:
     """``{"table":..,"data":{..}}`` -> (topic, value) with the data
-    object as JSON text."""
-    e = envelopes.select(F.get_json_object("value", "$.table").alias("table"),
-                         F.get_json_object("value", "$.data").alias("data"))
-    return (e.where(F.col("data").isNotNull())
-            .select(topic_for(F.col("table")).alias("topic"),
-                    F.col("data").alias("value")))
+    object as JSON text (one parse per envelope: ``data`` is read as a
+    string, which keeps the object's JSON text)."""
+    e = envelopes.select(F.from_json("value", schemas.CDC_OBJECT).alias("e"))
+    return (e.where(F.col("e.data").isNotNull())
+            .select(topic_for(F.col("e.table")).alias("topic"),
+                    F.col("e.data").alias("value")))
 
 
 def for_topic(routed: DataFrame, topic: str) -> DataFrame:

@@ -18,6 +18,23 @@ COLUMNS = {
 }
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on a scan that yields fewer splits than cores.
+
+    The test tables are single-row-group files, i.e. one task per scan,
+    while the per-row work on them (JSON, text, hashing) is CPU-bound. On a
+    cluster the same scan yields thousands of splits and this is a no-op.
+    Round-robin repartitioning is sorted first by Spark, so a retried task
+    gets the same rows.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- e.g. no RDD access on a remote session
+        return df
+    return df.repartition(target) if n < target else df
+
+
 class Tables:
     """Lazy access to one scale factor's tables and derived inputs."""
 
@@ -27,7 +44,7 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(table_path(self.sf_dir, name))
         cols = COLUMNS.get(name)
-        return df.select(*cols) if cols else df
+        return spread(df.select(*cols) if cols else df)
 
     # reference inputs ----------------------------------------------------
     def behaviors(self) -> DataFrame:

@@ -37,6 +37,8 @@ APP_LOG = T.StructType([
 
 # CDC envelope with an array of row objects; each element kept as JSON text.
 CDC_ARRAY = _struct(("table", S), ("data", T.ArrayType(S)))
+# CDC envelope with one row object, kept as JSON text.
+CDC_OBJECT = _struct(("table", S), ("data", S))
 
 # Order record (S8); enrichment fields are filled downstream.
 ORDER_FIELDS = [
