@@ -7,7 +7,7 @@ App logs arrive as JSON text ``value`` with an arrival sequence ``seq``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickflow import schemas
@@ -59,12 +59,25 @@ def dau_first(logs: DataFrame) -> DataFrame:
     group is ever gathered in one place. Output: dt, mid, uid, ar, ch, vc,
     ts, seq.
     """
-    d = decode_app_logs(start_logs(logs))
+    return _first_per_day(decode_app_logs(start_logs(logs)))
+
+
+def _first_per_day(d: DataFrame) -> DataFrame:
     first = d.groupBy("dt", "mid").agg(
         F.min(F.struct("ts", "seq", "uid", "ar", "ch", "vc")).alias("f"))
     return first.select("dt", "mid", "f.uid", "f.ar", "f.ch", "f.vc", "f.ts", "f.seq")
 
 
+def dau_first_observed(logs: DataFrame) -> tuple[DataFrame, Observation, Observation]:
+    """A12 as side metrics: ``dau_first`` plus two ``Observation``s holding
+    the row counts before and after the dedup (``.get['rows']`` once an
+    action has run). Collected with the job itself, no extra pass."""
+    before, after = Observation("dedup_before"), Observation("dedup_after")
+    d = decode_app_logs(start_logs(logs)).observe(before, F.count(F.lit(1)).alias("rows"))
+    out = _first_per_day(d).observe(after, F.count(F.lit(1)).alias("rows"))
+    return out, before, after
+
+
 def dau_docs(firsts: DataFrame) -> DataFrame:
     """The DAU document: id (dt_mid), mid, uid, ar, ch, vc, dt, hr,
     mi, ts. ``ar`` is the real area code (the reference copied mid into it)."""

@@ -199,3 +199,40 @@ def test_stateless_jobs_run_on_streams(spark, tables, scratch):
     s = open_stream(spark, path=d, fmt="parquet", schema=env.schema)
     got = _run(cdc.cdc_split_array(s), "s_cdc", scratch)
     assert rows(got) == rows(cdc.cdc_split_array(tables.cdc_array()))
+
+
+def test_order_first_flag_stream_static_join(spark, tables, scratch):
+    from clickflow.operators import orders as od
+    d = os.path.join(scratch, "orders")
+    oj = tables.order_json().withColumnRenamed("id", "seq")
+    write_replay(oj, d, "seq", 2, fmt="parquet")
+    s = open_stream(spark, path=d, fmt="parquet", schema=oj.schema)
+    flags = od.order_first_flag(scans.decode_orders(s), tables.user_state())
+    got = _run(flags.select("id", "user_id", "if_first_order"), "s_flags", scratch)
+    want = E.queries()["order_first_flag"](spark, SF_SMALL)
+    assert rows(got) == rows(want)
+
+
+def test_topic_and_archive_sinks(spark, tables, scratch):
+    from clickflow.sinks import archive_logs, write_topic
+    logs = tables.app_logs()
+    routed = dau.log_route(logs)
+    topics = os.path.join(scratch, "topics")
+    write_topic(routed, path=topics)
+    back = spark.read.text(topics)
+    assert back.count() == logs.count()
+    assert {r.topic for r in back.select("topic").distinct().collect()} == \
+        {"GMALL_START", "GMALL_EVENT"}
+    arch = os.path.join(scratch, "archive")
+    archive_logs(dau.raw_log_archive(logs), arch)
+    stored = spark.read.text(arch)
+    assert rows(stored.select("value")) == rows(logs.select("value"))
+
+
+def test_dedup_observed_metrics(spark, tables):
+    out, before, after = dau.dau_first_observed(tables.app_logs())
+    n = out.count()
+    assert after.get["rows"] == n
+    want = E.queries()["dedup_metrics"](spark, SF_SMALL).agg(
+        F.sum("rows_before").alias("b"), F.sum("rows_after").alias("a")).first()
+    assert before.get["rows"] == want.b and n == want.a
