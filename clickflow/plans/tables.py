@@ -18,6 +18,10 @@ COLUMNS = {
 }
 
 
+# Fixed-size dimension tables: never worth spreading.
+DIMENSIONS = {"nation", "region"}
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core on a scan that yields fewer splits than cores.
 
@@ -44,7 +48,8 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(table_path(self.sf_dir, name))
         cols = COLUMNS.get(name)
-        return spread(df.select(*cols) if cols else df)
+        df = df.select(*cols) if cols else df
+        return df if name in DIMENSIONS else spread(df)
 
     # reference inputs ----------------------------------------------------
     def behaviors(self) -> DataFrame:

@@ -64,8 +64,9 @@ def behavior_lines(events: DataFrame) -> DataFrame:
                     .alias("value"))
 
 
-def access_log_lines(events: DataFrame) -> DataFrame:
-    """Web-log text lines: ip user - dd/MM/yyyy:HH:mm:ss +0000 method url."""
+def access_log_lines(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Web-log text lines: ip user - dd/MM/yyyy:HH:mm:ss +0000 method url.
+    ``keep`` adds event columns (e.g. event_id, ts_sec) next to the line."""
     e = event_base(events)
     uid = F.col("user_id")
     ip = F.concat(F.lit("10.0."), F.floor(uid / 256).cast("string"), F.lit("."),
@@ -76,7 +77,7 @@ def access_log_lines(events: DataFrame) -> DataFrame:
     url = F.concat(F.lit("/p/"), F.col("k").cast("string"))
     when = utc_text(F.timestamp_seconds("ts_sec"), "dd/MM/yyyy:HH:mm:ss")
     return e.select(F.concat_ws(" ", ip, uid.cast("string"), F.lit("-"), when,
-                                F.lit("+0000"), method, url).alias("value"))
+                                F.lit("+0000"), method, url).alias("value"), *keep)
 
 
 def ad_clicks(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:

@@ -93,12 +93,8 @@ def test_uv_running_two_stage(spark, tables, behavior_dir, scratch):
 
 def test_hot_pages_update_mode_keeps_last(spark, tables, scratch):
     d = os.path.join(scratch, "logs")
-    e = adapt.event_base(tables.raw("events")).select("event_id")
-    lines = adapt.access_log_lines(tables.raw("events"))
-    # access-log lines carry no sequence: replay them in time order
-    lines = lines.withColumn("seq", F.monotonically_increasing_id())
-    assert e.count() == lines.count()
-    write_replay(lines.orderBy("value"), d, "seq", 1)
+    lines = adapt.access_log_lines(tables.raw("events"), keep=("event_id",))
+    write_replay(lines.withColumnRenamed("event_id", "seq"), d, "seq", 1)
     s = scans.good(scans.parse_access_log_lines(open_stream(spark, path=d, fmt="text")))
     got = _run(jobs.page_window_counts_stream(s), "s_pages", scratch, mode="update")
     last = got.groupBy("url", "window_end").agg(F.max("count").alias("count"))
@@ -236,3 +232,21 @@ def test_dedup_observed_metrics(spark, tables):
     want = E.queries()["dedup_metrics"](spark, SF_SMALL).agg(
         F.sum("rows_before").alias("b"), F.sum("rows_after").alias("a")).first()
     assert before.get["rows"] == want.b and n == want.a
+
+
+def test_hot_pages_disorder_within_delay(spark, tables, scratch):
+    """Rows arrive out of order by up to 30 s, inside the 61 s delay: the last
+    update per (url, window) equals the batch count."""
+    keyed = adapt.access_log_lines(tables.raw("events"), keep=("event_id", "ts_sec"))
+    # reverse the order inside every 30 s bucket
+    order = F.floor(F.col("ts_sec") / 30) * 10 ** 7 + (10 ** 7 - 1 - F.col("event_id"))
+    d = os.path.join(scratch, "disorder")
+    write_replay(keyed.select("value", order.alias("seq")), d, "seq", N_FILES)
+    spark.createDataFrame([(f"1.1.1.1 0 - 01/01/2100:00:00:00 +0000 GET /sentinel",)],
+                          "value string").coalesce(1).write.mode("append").text(d)
+    s = scans.good(scans.parse_access_log_lines(
+        open_stream(spark, path=d, fmt="text", max_files_per_trigger=1)))
+    got = _run(jobs.page_window_counts_stream(s), "s_disorder", scratch, mode="update")
+    last = (got.where("url <> '/sentinel'").groupBy("url", "window_end")
+            .agg(F.max("count").alias("count")))
+    assert rows(last) == rows(bh.page_window_counts(tables.access_logs()))
