@@ -80,3 +80,35 @@ def ranked_batches(path: str, partition_by: list[str], order_by: list, k: int,
         ranked = top_k(batch, partition_by, order_by, k).select(*columns)
         ranked.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     return write
+
+
+STATE_BUCKETS = 64
+
+
+def update_user_state(orders_batch: DataFrame, path: str,
+                      buckets: int = STATE_BUCKETS) -> None:
+    """J5 as a sink: after a batch of orders, every buyer is consumed ('1').
+
+    The state table is partitioned by a hash bucket of ``user_id``; only the
+    buckets holding this batch's buyers are read, merged and rewritten
+    (checkpointed first, since they are overwritten in place), so a batch
+    costs its buyers' buckets, not the whole user base. Re-running a batch
+    gives the same table.
+    """
+    from clickflow.operators.orders import user_state_update
+    spark = orders_batch.sparkSession
+    shared_dir(spark)
+    bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).alias("bucket")
+    buyers = orders_batch.select("user_id").distinct().withColumn("bucket", bucket)
+    schema = "user_id long, if_consumed string, bucket int"
+    try:
+        current = spark.read.schema(schema).parquet(path)
+        # the bucket numbers a batch touches: at most ``buckets`` values
+        current = current.join(F.broadcast(buyers.select("bucket").distinct()), "bucket",
+                               "left_semi")
+    except Exception:  # noqa: BLE001 -- first batch: no table yet
+        current = spark.createDataFrame([], schema)
+    merged = (user_state_update(buyers, current.select("user_id", "if_consumed"))
+              .withColumn("bucket", bucket.cast("int")).checkpoint())
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(path))

@@ -250,3 +250,36 @@ def test_hot_pages_disorder_within_delay(spark, tables, scratch):
     last = (got.where("url <> '/sentinel'").groupBy("url", "window_end")
             .agg(F.max("count").alias("count")))
     assert rows(last) == rows(bh.page_window_counts(tables.access_logs()))
+
+
+def test_user_state_update_stream(spark, tables, scratch):
+    from clickflow.sinks import update_user_state
+    d = os.path.join(scratch, "orders_state")
+    oj = tables.order_json().withColumnRenamed("id", "seq")
+    write_replay(oj, d, "seq", 3, fmt="parquet")
+    state = os.path.join(scratch, "state")
+    # start from the existing state, as the service would
+    (tables.user_state().withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(64)).cast("int"))
+     .write.partitionBy("bucket").parquet(state))
+    s = scans.decode_orders(open_stream(spark, path=d, fmt="parquet", schema=oj.schema,
+                                        max_files_per_trigger=1))
+    drain(start(s, "s_state", sink="foreach_batch", trigger="availableNow",
+                foreach_batch=lambda b, i: update_user_state(b, state),
+                checkpoint=os.path.join(scratch, "ck_state")))
+    got = spark.read.parquet(state).select("user_id", "if_consumed")
+    want = E.queries()["user_state_update"](spark, SF_SMALL)
+    assert rows(got) == rows(want)
+
+
+def test_archive_stream(spark, tables, scratch):
+    d = os.path.join(scratch, "arch_in")
+    logs = tables.app_logs()
+    write_replay(logs, d, "seq", 2, fmt="parquet")
+    s = open_stream(spark, path=d, fmt="parquet", schema=logs.schema)
+    out = os.path.join(scratch, "arch_out")
+    drain(start(dau.raw_log_archive(s), "s_arch", sink="text", path=out, partition_by=["dt"],
+                trigger="availableNow", checkpoint=os.path.join(scratch, "ck_arch")))
+    stored = spark.read.text(out)
+    assert rows(stored.select("value")) == rows(logs.select("value"))
+    days = dau.raw_log_archive(logs).select("dt").distinct().count()
+    assert stored.select("dt").distinct().count() == days
