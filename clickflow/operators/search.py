@@ -20,9 +20,12 @@ def doc_search(docs: DataFrame, token: str, exact: dict[str, str] | None = None,
     as a TakeOrderedAndProject (a per-task top-N merged once), and the
     highlight is computed only for the rows of the page.
     """
-    d = docs.where(has_token("text", token))
+    d = docs
     for col, val in (exact or {}).items():
         d = d.where(F.col(col) == val)
+    # cheapest test first: a whole-text substring check, then tokenising
+    # only the texts that can hold the token (filters run in this order)
+    d = d.where(F.instr(F.lower("text"), token.lower()) > 0).where(has_token("text", token))
     page = (d.select("doc_id", "lang", "n_chars", "text")
             .orderBy(F.desc("n_chars"), F.asc("doc_id")).limit(offset + size))
     if offset:
