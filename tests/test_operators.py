@@ -150,3 +150,10 @@ def test_doc_search_highlight(spark):
     got = search.doc_search(docs, "red", {"lang": "en"}).collect()
     assert [(r.doc_id, r.hits, r.highlight) for r in got] == \
         [(1, 2, "<em>Red</em> fox, <em>red</em>.")]
+
+
+def test_scale_conf_grows_with_input():
+    from clickflow.session import scale_conf
+    small, big = scale_conf(1 << 30), scale_conf(100 << 40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
