@@ -73,22 +73,25 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def scale_conf(input_bytes: int, split_bytes: int = 512 << 20,
+               reducer_input_bytes: int = 1 << 30, max_reducers: int = 100_000
+               ) -> dict[str, str]:
     """Shuffle and scan sizing for a job reading ``input_bytes``.
 
-    The initial shuffle width is set so each reducer starts around
-    ``target_partition_bytes`` of input (an aggregate's shuffle is usually far
-    smaller than its input after map-side combining, and AQE then coalesces
-    towards the advisory size); scans are split at the same size. Skewed
-    partitions over 4x the median and 512 MB are split by AQE's skew join.
+    Scans split at ``split_bytes`` (100 TB -> ~200k map tasks). The initial
+    shuffle width gives each reducer about ``reducer_input_bytes`` of *input*
+    -- after map-side combining an aggregate's shuffle is a fraction of that
+    -- capped at ``max_reducers`` so maps x reducers stays manageable; AQE
+    then coalesces towards 128 MB and splits skewed join partitions (over 4x
+    the median and 512 MB). Automatic broadcasts stay under 64 MB.
     Pass the result as ``build_session(extra=...)`` or set it at submit time.
     """
-    parts = max(200, -(-input_bytes // target_partition_bytes))
+    parts = min(max(200, -(-input_bytes // reducer_input_bytes)), max_reducers)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),

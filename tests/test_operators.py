@@ -156,4 +156,6 @@ def test_scale_conf_grows_with_input():
     from clickflow.session import scale_conf
     small, big = scale_conf(1 << 30), scale_conf(100 << 40)
     assert int(small["spark.sql.shuffle.partitions"]) == 200
-    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    mid = scale_conf(10 << 40)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 10 << 10
