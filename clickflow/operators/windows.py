@@ -141,26 +141,29 @@ def rank_in_group(df: DataFrame, group_cols: list[str], sec_col: str, seq_col: s
     """Exact ``row_number()`` within ``group_cols`` ordered by (sec, seq).
 
     A plain window over the group would sort a hot group (say one user with a
-    third of all clicks) inside one task. Instead:
-
-    1. count rows per (group, second) -- partial aggregation;
-    2. per group, a running sum over those per-second counts gives the number
-       of rows before each second (one row per distinct second, so at most
-       86,400 per day-bounded group);
-    3. join that offset back on (group, second) and add the row number within
-       the second.
-
-    The sort in step 3 is per (group, second), so a hot group is spread over
-    as many tasks as it has distinct seconds.
+    third of all clicks) inside one task. Instead, with ``_k`` = (group,
+    second):
+
+    1. rows are counted per ``_k`` (partial aggregation, a small shuffle);
+    2. a running sum over those per-second counts, per group, gives the
+       number of rows before each second (one row per distinct second, so at
+       most 86,400 per day-bounded group);
+    3. the rows are shuffled once by ``_k``, the offsets joined on that same
+       partitioning, and rows numbered within their second without another
+       shuffle.
+
+    A hot group is spread over as many tasks as it has distinct seconds. The
+    input is evaluated twice (counts and rows); checkpoint it first if it is
+    expensive. The key is a struct, so NULL group values match each other,
+    as they do in a window partition.
     """
-    per_sec = df.groupBy(*group_cols, sec_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    w = (Window.partitionBy(*group_cols).orderBy(sec_col)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_sec.select(*group_cols, sec_col,
-                             F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_before"))
-    # null-safe join: a NULL group key is a group of its own, as in a window
-    cond = [df[c].eqNullSafe(offsets[c]) for c in group_cols + [sec_col]]
-    j = df.join(offsets, cond, "inner").drop(*[offsets[c] for c in group_cols + [sec_col]])
-    w2 = Window.partitionBy(*group_cols, sec_col).orderBy(seq_col)
+    key = F.struct(*[F.col(c) for c in group_cols + [sec_col]])
+    keyed = df.withColumn("_k", key).repartition("_k")
+    per_sec = df.groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("_cnt"))
+    w = (Window.partitionBy(*[F.col("_k")[c] for c in group_cols])
+         .orderBy(F.col("_k")[sec_col]).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per_sec.select("_k", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_before"))
+    j = keyed.join(offsets, "_k")
+    w2 = Window.partitionBy("_k").orderBy(seq_col)
     return (j.withColumn(rank_col, F.col("_before") + F.row_number().over(w2))
-            .drop("_before"))
+            .drop("_k", "_before"))
