@@ -97,14 +97,15 @@ def sliding_counts_sweep(df: DataFrame, keys: list[str], ts_ms: str, size_ms: in
         F.lit(0).cast("long").alias("_d"))
     pts = (deltas.unionByName(bounds).groupBy(*keys, "_pos").agg(F.sum("_d").alias("_d"))
            .withColumn("_chunk", F.floor(F.col("_pos") / chunk)))
-    totals = pts.groupBy(*keys, "_chunk").agg(F.sum("_d").alias("_t"))
-    before = totals.select(*keys, "_chunk", F.coalesce(F.sum("_t").over(
-        Window.partitionBy(*keys).orderBy("_chunk")
+    # (key, chunk) as one struct column: NULL keys match each other, and the
+    # join and the running window below share its partitioning
+    pts = pts.withColumn("_kc", F.struct(*[F.col(c) for c in keys], F.col("_chunk")))
+    totals = pts.groupBy("_kc").agg(F.sum("_d").alias("_t"))
+    before = totals.select("_kc", F.coalesce(F.sum("_t").over(
+        Window.partitionBy(*[F.col("_kc")[c] for c in keys]).orderBy(F.col("_kc")["_chunk"])
         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
-    # null-safe: a NULL key is a group of its own, as in the aggregates
-    j = pts.join(before, [pts[c].eqNullSafe(before[c]) for c in [*keys, "_chunk"]]) \
-        .drop(*[before[c] for c in [*keys, "_chunk"]])
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_pos")
+    j = pts.repartition("_kc").join(before, "_kc")
+    w = Window.partitionBy("_kc").orderBy("_pos")
     runs = j.select(
         *keys, "_pos", "_chunk",
         (F.col("_b") + F.sum("_d").over(w.rowsBetween(Window.unboundedPreceding, 0)))
