@@ -1,9 +1,9 @@
 """Sinks (K1-K5): topics, bulk document upsert, raw archive, ranked batches."""
 
 from clickflow.sinks.writers import (
-    archive_logs, ranked_batches, replay_file_to_topic, update_user_state, upsert_docs,
-    write_topic,
+    archive_logs, ranked_batches, replay_file_to_topic, rerank_windows, update_user_state,
+    upsert_docs, write_topic,
 )
 
-__all__ = ["archive_logs", "ranked_batches", "replay_file_to_topic", "update_user_state",
-           "upsert_docs", "write_topic"]
+__all__ = ["archive_logs", "ranked_batches", "replay_file_to_topic", "rerank_windows",
+           "update_user_state", "upsert_docs", "write_topic"]

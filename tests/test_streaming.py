@@ -250,6 +250,19 @@ def test_hot_pages_disorder_within_delay(spark, tables, scratch):
     last = (got.where("url <> '/sentinel'").groupBy("url", "window_end")
             .agg(F.max("count").alias("count")))
     assert rows(last) == rows(bh.page_window_counts(tables.access_logs()))
+    # T2 with re-fires: latest counts per window, re-ranked as windows change
+    from clickflow.sinks import rerank_windows
+    counts, ranks = os.path.join(scratch, "pg_counts"), os.path.join(scratch, "pg_ranks")
+    s2 = scans.good(scans.parse_access_log_lines(
+        open_stream(spark, path=d, fmt="text", max_files_per_trigger=1)))
+    drain(start(jobs.page_window_counts_stream(s2), "s_rerank", sink="foreach_batch",
+                mode="update", trigger="availableNow",
+                foreach_batch=rerank_windows(counts, ranks, "url", 3),
+                checkpoint=os.path.join(scratch, "ck_rerank")))
+    got_ranks = (spark.read.schema("url string, count long, rank int, window_end long")
+                 .parquet(ranks).where("url <> '/sentinel'"))
+    want = bh.hot_pages(tables.access_logs())
+    assert rows(got_ranks.select(*want.columns)) == rows(want)
 
 
 def test_user_state_update_stream(spark, tables, scratch):
