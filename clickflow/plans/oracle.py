@@ -9,6 +9,8 @@ Spark code: windows are pane arithmetic plus ``range(n)``, rankings are plain
 
 from __future__ import annotations
 
+from clickflow.operators.dau import EVENT_TOPIC, START_TOPIC
+
 HOUR = 3_600_000
 MIN5 = 300_000
 
@@ -218,7 +220,7 @@ FROM ({EVENT_BASE})"""
 
 ROUTED = f"""
 SELECT seq, CASE WHEN json_extract_string(value, '$.start') IS NOT NULL
-                 THEN 'GMALL_START' ELSE 'GMALL_EVENT' END AS topic, value
+                 THEN '{START_TOPIC}' ELSE '{EVENT_TOPIC}' END AS topic, value
 FROM ({APP_LOGS})"""
 
 DECODED_STARTS = f"""
@@ -229,7 +231,7 @@ SELECT seq, json_extract_string(value, '$.common.mid') AS mid,
        json_extract_string(value, '$.common.vc') AS vc,
        CAST(json_extract_string(value, '$.ts') AS BIGINT) AS ts,
        strftime(make_timestamp(CAST(json_extract_string(value, '$.ts') AS BIGINT) * 1000), '%Y-%m-%d') AS dt
-FROM ({ROUTED}) WHERE topic = 'GMALL_START'"""
+FROM ({ROUTED}) WHERE topic = '{START_TOPIC}'"""
 
 DAU_FIRST = f"""
 SELECT dt, mid, uid, ar, ch, vc, ts, seq FROM (

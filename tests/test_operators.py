@@ -91,7 +91,8 @@ def test_log_route_start_rules(spark):
         [(1, '{"start":{"entry":"icon"},"ts":1}'), (2, '{"start":null,"ts":1}'),
          (3, '{"ts":1}'), (4, '{"start":"","ts":1}')], "seq long, value string")
     got = dict(dau.log_route(logs).select("seq", "topic").collect())
-    assert got == {1: "GMALL_START", 2: "GMALL_EVENT", 3: "GMALL_EVENT", 4: "GMALL_START"}
+    start, event = dau.START_TOPIC, dau.EVENT_TOPIC
+    assert got == {1: start, 2: event, 3: event, 4: start}
 
 
 def test_dau_first_is_earliest(spark):

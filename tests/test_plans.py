@@ -44,3 +44,22 @@ def test_dau_total_prunes_day_partitions(spark, scratch):
 def test_marketing_has_no_720_way_expand(spark):
     p = plan(E.queries()["marketing_by_channel"](spark, SF_SMALL))
     assert "Expand" not in p
+
+
+def test_cap_ranks_inside_group_second_partitions(spark):
+    """The per-row numbering is partitioned by the (group, second) key, never
+    by the group alone, so a hot user is not sorted in one task."""
+    p = plan(E.queries()["ad_click_cap"](spark, SF_SMALL))
+    row_windows = [ln for ln in p.splitlines() if "row_number()" in ln]
+    assert row_windows and all("windowspecdefinition(_k" in ln for ln in row_windows)
+
+
+def test_first_per_day_is_an_aggregate_not_a_window(spark):
+    p = plan(E.queries()["dau_first"](spark, SF_SMALL))
+    assert "Window" not in p and "partial_min" in p
+
+
+def test_aggregations_combine_map_side(spark):
+    for name in ["item_window_counts", "pv_hourly", "uv_hourly", "marketing_by_channel"]:
+        p = plan(E.queries()[name](spark, SF_SMALL))
+        assert "partial_" in p, name

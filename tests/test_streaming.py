@@ -218,7 +218,7 @@ def test_topic_and_archive_sinks(spark, tables, scratch):
     back = spark.read.text(topics)
     assert back.count() == logs.count()
     assert {r.topic for r in back.select("topic").distinct().collect()} == \
-        {"GMALL_START", "GMALL_EVENT"}
+        {dau.START_TOPIC, dau.EVENT_TOPIC}
     arch = os.path.join(scratch, "archive")
     archive_logs(dau.raw_log_archive(logs), arch)
     stored = spark.read.text(arch)
