@@ -74,6 +74,7 @@ def test_item_counts_and_hot_items(spark, tables, behavior_dir, scratch):
     (jobs.pv_hourly_salted_stream, bh.pv_hourly),
     (jobs.uv_hourly_stream, bh.uv_hourly),
     (lambda b: jobs.uv_hourly_bitmap_stream(b, 63), lambda b: bh.uv_hourly_bitmap(b, 63)),
+    (jobs.uv_hourly_approx_stream, bh.uv_hourly_approx),
 ])
 def test_hourly_pv_uv(spark, tables, behavior_dir, scratch, fn, batch):
     got = _run(fn(_behavior_stream(spark, behavior_dir)), f"s_hourly_{abs(hash(fn))}", scratch)
