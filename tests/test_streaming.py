@@ -297,3 +297,16 @@ def test_archive_stream(spark, tables, scratch):
     assert rows(stored.select("value")) == rows(logs.select("value"))
     days = dau.raw_log_archive(logs).select("dt").distinct().count()
     assert stored.select("dt").distinct().count() == days
+
+
+def test_log_route_stream_to_topic_folders(spark, tables, scratch):
+    d = os.path.join(scratch, "route_in")
+    logs = tables.app_logs()
+    write_replay(logs, d, "seq", 2, fmt="parquet")
+    s = open_stream(spark, path=d, fmt="parquet", schema=logs.schema)
+    out = os.path.join(scratch, "route_out")
+    drain(start(dau.log_route(s).select("topic", "value"), "s_route", sink="text", path=out,
+                partition_by=["topic"], trigger="availableNow",
+                checkpoint=os.path.join(scratch, "ck_route")))
+    got = spark.read.text(out)
+    assert rows(got.select("topic", "value")) == rows(dau.log_route(logs).select("topic", "value"))
