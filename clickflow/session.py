@@ -48,15 +48,18 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and staged tables.
 
     Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set (local tests) is a fresh scratch folder created
-    and registered, so lineage-cutting ``checkpoint()`` calls always land on
-    storage every executor can reach.
+    Only in local mode (tests), when neither is set, is a fresh scratch
+    folder created and registered; on a cluster a missing setting is an
+    error, so lineage-cutting ``checkpoint()`` calls and stream checkpoints
+    always land on storage every executor can reach.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = sc.getConf().get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
             d = tempfile.mkdtemp(prefix="clickflow-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
