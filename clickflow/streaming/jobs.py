@@ -22,7 +22,7 @@ from clickflow.operators import behavior as bh
 from clickflow.operators import dau
 from clickflow.operators.ads import CLICK_COLUMNS, warning_text
 from clickflow.operators.marketing import not_uninstall
-from clickflow.streaming.state import NUMBER_COL, numbered
+from clickflow.streaming.state import NUMBER_COL, numbered, numbered_chainable
 
 DAY_MS = 86_400_000
 
@@ -143,6 +143,36 @@ def ad_click_outcomes_stream(clicks: DataFrame, cap: int = 100) -> DataFrame:
                     F.lit(warning_text(cap)).alias("warning"))
 
 
+def ad_clicks_by_province_one_query(clicks: DataFrame, cap: int = 100,
+                                     size: str = "1 hour",
+                                     slide: str = "5 minutes") -> DataFrame:
+    """ST2 + A6 in one streaming query: the cap's numbering keeps ``ts`` as
+    its event time (transformWithState), so the province windows follow
+    directly instead of running as a second query over a sink."""
+    c = with_event_time(clicks.select(*CLICK_COLUMNS))
+    c = c.withColumn("day", F.floor(F.col("ts_sec") / 86400).cast("long"))
+    # (transformWithState renames input columns that start with "_")
+    c = c.withColumn("expire_ms", (F.col("day") + 1) * DAY_MS)
+    n = numbered_chainable(c, ["user_id", "ad_id", "day"], ["ts_sec", "seq"], "expire_ms")
+    passed = n.where(F.col(NUMBER_COL) <= cap)
+    return (passed.groupBy(F.window("ts", size, slide).alias("w"), "province").count()
+            .select("province", _end(), "count"))
+
+
+def uv_running_one_query(behaviors: DataFrame, mask: int = DEFAULT_MASK) -> DataFrame:
+    """W6 in one streaming query: first row per (hour, offset), then the
+    running number per hour, as two chained transformWithState operators."""
+    pv = bh.with_offset(bh.page_views_exact(behaviors), mask)
+    pv = with_event_time(pv.withColumn("window_end", bh.tumbling_end(F.col("ts_sec") * 1000,
+                                                                      bh.HOUR_MS)))
+    pv = pv.select("window_end", "offset", "user_id", "ts_sec", "seq", "ts")
+    first = numbered_chainable(pv, ["window_end", "offset"], ["ts_sec", "seq"], "window_end")
+    first = first.where(F.col(NUMBER_COL) == 1).drop(NUMBER_COL)
+    n = numbered_chainable(first, ["window_end"], ["ts_sec", "seq"], "window_end")
+    return n.select(F.lit("uv").alias("url"), "window_end", F.col(NUMBER_COL).alias("count"),
+                    "user_id", "ts_sec")
+
+
 def split_ad_outcomes(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(passed clicks, warnings) from ``ad_click_outcomes_stream`` rows."""
     passed = outcomes.where(F.col("outcome") == "pass").select(*CLICK_COLUMNS)

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 NUMBER_COL = "_n"
@@ -56,3 +57,46 @@ def numbered(df: DataFrame, keys: list[str], order_cols: list[str],
     return df.groupBy(*keys).applyInPandasWithState(
         _numbering(order_cols, expire_col), out, state, "append",
         GroupStateTimeout.EventTimeTimeout)
+
+
+class _Numbering(StatefulProcessor):
+    """``numbered`` as a transformWithState processor: one long per key, and
+    an event-time timer at the key's expiry that clears it."""
+
+    def __init__(self, order_cols: list[str], expire_col: str):
+        self.order_cols, self.expire_col = order_cols, expire_col
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.n = handle.getValueState("n", T.StructType([T.StructField("n", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frames = [p for p in rows if len(p)]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True).sort_values(self.order_cols, kind="stable")
+        start = self.n.get()[0] if self.n.exists() else 0
+        pdf[NUMBER_COL] = range(start + 1, start + 1 + len(pdf))
+        self.n.update((start + len(pdf),))
+        expire = int(pdf[self.expire_col].max())
+        if expire > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(expire)
+        yield pdf
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.n.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def numbered_chainable(df: DataFrame, keys: list[str], order_cols: list[str],
+                       expire_col: str, event_time_col: str = "ts") -> DataFrame:
+    """``numbered`` whose output keeps ``event_time_col`` as its event time, so
+    windowed aggregations (or a second numbering) can follow in the same
+    query (transformWithState; needs the RocksDB state store)."""
+    out = T.StructType(df.schema.fields + [T.StructField(NUMBER_COL, T.LongType())])
+    return df.groupBy(*keys).transformWithStateInPandas(
+        _Numbering(order_cols, expire_col), out, "append", "EventTime",
+        eventTimeColumnName=event_time_col)

@@ -310,3 +310,20 @@ def test_log_route_stream_to_topic_folders(spark, tables, scratch):
                 checkpoint=os.path.join(scratch, "ck_route")))
     got = spark.read.text(out)
     assert rows(got.select("topic", "value")) == rows(dau.log_route(logs).select("topic", "value"))
+
+
+def test_one_query_cap_to_province(spark, tables, scratch):
+    d = os.path.join(scratch, "clicks1")
+    write_replay(_csv_lines(tables.ad_clicks()), d, "seq", N_FILES)
+    spark.createDataFrame([(f"0,0,ZZ,ZZ,{SENTINEL_SEC},{SENTINEL_SEQ}",)], "value string") \
+        .coalesce(1).write.mode("append").text(d)
+    clicks = scans.good(scans.parse_ad_click_lines(
+        open_stream(spark, path=d, fmt="text", max_files_per_trigger=1)))
+    got = _run(jobs.ad_clicks_by_province_one_query(clicks, cap=2), "s_prov1", scratch)
+    assert rows(got) == rows(E.queries()["ad_clicks_by_province"](spark, SF_SMALL))
+
+
+def test_one_query_uv_running(spark, tables, behavior_dir, scratch):
+    s = jobs.uv_running_one_query(_behavior_stream(spark, behavior_dir), 63)
+    got = _run(s, "s_uv_one", scratch).where(F.col("ts_sec") < SENTINEL_SEC)
+    assert rows(got) == rows(bh.uv_running(tables.behaviors(), 63))
