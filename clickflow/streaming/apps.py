@@ -101,3 +101,23 @@ def hot_items_app(behaviors: DataFrame, out_path: str, k: int = 5,
     return start(counts, name, sink="foreach_batch", foreach_batch=writer, trigger=trigger,
                  checkpoint=sub_dir(behaviors.sparkSession, "streams", name))
 
+
+
+def ad_app(clicks: DataFrame, out_dir: str, cap: int = 100,
+           trigger: str = DEFAULT_INTERVAL, name: str = "ads") -> list[StreamingQuery]:
+    """Ad clicks: province counts over 1 h / 5 min windows of the clicks that
+    pass the per-(user, ad, day) cap (one query, chained state), and the
+    cap's warnings as a side output (``warnings``)."""
+    spark = clicks.sparkSession
+    counts = start(jobs.ad_clicks_by_province_one_query(clicks, cap), name, sink="parquet",
+                   path=f"{out_dir}/by_province", trigger=trigger,
+                   checkpoint=sub_dir(spark, "streams", name))
+
+    def write_warnings(batch: DataFrame, batch_id: int) -> None:
+        _, warns = jobs.split_ad_outcomes(batch)
+        warns.write.mode("overwrite").parquet(f"{out_dir}/warnings/batch_id={batch_id}")
+
+    warnings = start(jobs.ad_click_outcomes_stream(clicks, cap), f"{name}_warnings",
+                     sink="foreach_batch", foreach_batch=write_warnings, trigger=trigger,
+                     checkpoint=sub_dir(spark, "streams", f"{name}_warnings"))
+    return [counts, warnings]

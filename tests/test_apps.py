@@ -79,3 +79,24 @@ def test_hot_items_app(spark, scratch):
     drain(apps.hot_items_app(stream, out, trigger="availableNow", name="app_hot"))
     got = spark.read.parquet(out).drop("batch_id")
     assert rows(got) == rows(E.queries()["hot_items"](spark, SF_SMALL))
+
+
+def test_ad_app(spark, scratch):
+    from clickflow.sources import scans
+    t = Tables(spark, SF_SMALL)
+    c = t.ad_clicks()
+    src = os.path.join(scratch, "clicks")
+    lines = c.select(F.concat_ws(",", *[F.col(x).cast("string") for x in c.columns]).alias("value"),
+                     "seq")
+    write_replay(lines, src, "seq", 3)
+    spark.createDataFrame([(f"0,0,ZZ,ZZ,{SENTINEL_MS // 1000},{10 ** 12}",)], "value string") \
+        .coalesce(1).write.mode("append").text(src)
+    stream = scans.good(scans.parse_ad_click_lines(
+        open_stream(spark, path=src, fmt="text", max_files_per_trigger=1)))
+    out = os.path.join(scratch, "ads")
+    for q in apps.ad_app(stream, out, cap=2, trigger="availableNow", name="app_ads"):
+        drain(q)
+    assert rows(spark.read.parquet(f"{out}/by_province")) == \
+        rows(E.queries()["ad_clicks_by_province"](spark, SF_SMALL))
+    assert rows(spark.read.parquet(f"{out}/warnings").drop("batch_id")) == \
+        rows(E.queries()["ad_click_warnings"](spark, SF_SMALL))
