@@ -1,4 +1,4 @@
-"""Stream sources (S4, S5) and replay helpers.
+"""Stream sources.
 
 ``open_stream`` gives a streaming DataFrame with a text ``value`` column,
 plus ``seq`` (arrival order) when the source has one. Offsets are tracked by
@@ -42,20 +42,3 @@ def open_stream(spark: SparkSession, kind: str = "files", *, path: str | None =
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(path)
 
-
-def write_replay(df: DataFrame, path: str, order_col: str, n_files: int,
-                 fmt: str = "text") -> None:
-    """Write ``df`` as ``n_files`` files in ``order_col`` order, one Spark job
-    per file so file times follow the order (a file stream reads oldest
-    first). Test and demo helper: turns a table into a replayable stream."""
-    bounds = df.agg(F.min(order_col), F.max(order_col)).first()
-    lo, hi = bounds[0], bounds[1]
-    step = (hi - lo) // n_files + 1
-    for i in range(n_files):
-        part = df.where((F.col(order_col) >= lo + i * step) &
-                        (F.col(order_col) < lo + (i + 1) * step))
-        part = part.coalesce(1).sortWithinPartitions(order_col)
-        if fmt == "text":
-            part.select("value").write.mode("append").text(path)
-        else:
-            part.write.mode("append").format(fmt).save(path)

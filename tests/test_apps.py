@@ -9,7 +9,8 @@ from clickflow.operators import dau
 from clickflow.plans.tables import Tables
 from clickflow.streaming import apps
 from clickflow.streaming.run import drain
-from clickflow.streaming.sources import open_stream, write_replay
+from clickflow.streaming.sources import open_stream
+from replay import write_replay
 from conftest import SF_SMALL, rows
 
 SENTINEL_MS = 4_102_444_800_000

@@ -17,7 +17,8 @@ from clickflow.sinks import ranked_batches, upsert_docs
 from clickflow.sources import adapt, scans
 from clickflow.streaming import jobs
 from clickflow.streaming.run import drain, start
-from clickflow.streaming.sources import open_stream, write_replay
+from clickflow.streaming.sources import open_stream
+from replay import write_replay
 from conftest import SF_SMALL, rows
 
 SENTINEL_SEC = 4_102_444_800  # 2100-01-01
