@@ -30,44 +30,46 @@ def _cap_groups(reset: str | None) -> list[str]:
     return ["user_id", "ad_id"] + (["_day"] if reset == "day" else [])
 
 
-def ranked_clicks(clicks: DataFrame, reset: str | None = "day") -> DataFrame:
+def ranked_clicks(clicks: DataFrame, reset: str | None = "day",
+                  materialize: bool = False) -> DataFrame:
     """Every click with its 1-based position among the clicks of the same
     (user, ad[, UTC day]) in (ts_sec, seq) order: column ``click_no``.
 
     ``reset='day'`` restarts the count at each UTC midnight of event time
     (the reference's timer aimed at midnight but mixed clocks);
-    ``reset=None`` never restarts.
+    ``reset=None`` never restarts. ``materialize`` checkpoints the clicks
+    before ranking (see ``rank_in_group``).
     """
     c = clicks.select(*CLICK_COLUMNS)
     if reset == "day":
         c = c.withColumn("_day", epoch_day("ts_sec"))
     elif reset is not None:
         raise ValueError("reset must be 'day' or None")
-    r = rank_in_group(c, _cap_groups(reset), "ts_sec", "seq", "click_no")
+    r = rank_in_group(c, _cap_groups(reset), "ts_sec", "seq", "click_no", materialize)
     return r.drop("_day") if reset == "day" else r
 
 
 def ad_click_cap(clicks: DataFrame, cap: int = DEFAULT_CAP,
-                 reset: str | None = "day") -> DataFrame:
+                 reset: str | None = "day", materialize: bool = False) -> DataFrame:
     """ST2: the clicks that pass -- the first ``cap`` of each group."""
-    return ranked_clicks(clicks, reset).where(F.col("click_no") <= cap) \
+    return ranked_clicks(clicks, reset, materialize).where(F.col("click_no") <= cap) \
         .select(*CLICK_COLUMNS)
 
 
 def ad_click_warnings(clicks: DataFrame, cap: int = DEFAULT_CAP,
-                      reset: str | None = "day") -> DataFrame:
+                      reset: str | None = "day", materialize: bool = False) -> DataFrame:
     """ST3: one warning per capped group, at its first dropped click:
     user_id, ad_id, warning, ts_sec."""
-    return (ranked_clicks(clicks, reset).where(F.col("click_no") == cap + 1)
+    return (ranked_clicks(clicks, reset, materialize).where(F.col("click_no") == cap + 1)
             .select("user_id", "ad_id", F.lit(warning_text(cap)).alias("warning"),
                     "ts_sec"))
 
 
 def ad_click_outcomes(clicks: DataFrame, cap: int = DEFAULT_CAP,
-                      reset: str | None = "day") -> DataFrame:
+                      reset: str | None = "day", materialize: bool = False) -> DataFrame:
     """Both outputs in one pass: every click tagged ``pass``, ``warn`` (the
     first dropped one) or ``drop``; split with a filter."""
-    r = ranked_clicks(clicks, reset)
+    r = ranked_clicks(clicks, reset, materialize)
     n = F.col("click_no")
     tag = (F.when(n <= cap, F.lit("pass")).when(n == cap + 1, F.lit("warn"))
            .otherwise(F.lit("drop")))

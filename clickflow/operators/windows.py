@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickflow.session import shared_dir
+
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -138,7 +140,7 @@ def top_k(df: DataFrame, partition_by: list[str], order_by: list[Column], k: int
 
 
 def rank_in_group(df: DataFrame, group_cols: list[str], sec_col: str, seq_col: str,
-                  rank_col: str = "rank") -> DataFrame:
+                  rank_col: str = "rank", materialize: bool = False) -> DataFrame:
     """Exact ``row_number()`` within ``group_cols`` ordered by (sec, seq).
 
     A plain window over the group would sort a hot group (say one user with a
@@ -154,10 +156,14 @@ def rank_in_group(df: DataFrame, group_cols: list[str], sec_col: str, seq_col: s
        shuffle.
 
     A hot group is spread over as many tasks as it has distinct seconds. The
-    input is evaluated twice (counts and rows); checkpoint it first if it is
-    expensive. The key is a struct, so NULL group values match each other,
-    as they do in a window partition.
+    input is evaluated twice (counts and rows); with ``materialize=True`` it
+    is first checkpointed to the shared folder (worth it when the input is
+    an expensive join). The key is a struct, so NULL group values match each
+    other, as they do in a window partition.
     """
+    if materialize:
+        shared_dir(df.sparkSession)
+        df = df.checkpoint()
     key = F.struct(*[F.col(c) for c in group_cols + [sec_col]])
     keyed = df.withColumn("_k", key).repartition("_k")
     per_sec = df.groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("_cnt"))

@@ -32,6 +32,8 @@ def test_rank_in_group_equals_row_number(spark):
     want = df.withColumn("r", F.row_number().over(
         Window.partitionBy("k").orderBy("ts_sec", "seq")))
     assert rows(got, ["seq", "r"]) == rows(want, ["seq", "r"])
+    kept = rank_in_group(df, ["k"], "ts_sec", "seq", "r", materialize=True)
+    assert rows(kept, ["seq", "r"]) == rows(want, ["seq", "r"])
 
 
 def test_sweep_equals_fanout(spark):
