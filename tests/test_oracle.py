@@ -42,9 +42,16 @@ def test_every_query_has_an_oracle_or_is_approximate():
     assert set(SQL) <= set(QUERIES)
 
 
+DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double"}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
-    got = QUERIES[name](spark, SF_SMALL).toPandas()
+    sdf = QUERIES[name](spark, SF_SMALL)
+    rel = con.sql(SQL[name])
+    assert dict(sdf.dtypes) == {c: DUCK_TYPES.get(str(t), str(t))
+                                for c, t in zip(rel.columns, rel.types)}
+    got = sdf.toPandas()
     want = con.execute(SQL[name]).df()
     gc, gr = _sorted_rows(got)
     wc, wr = _sorted_rows(want)
