@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import hosts, rule_list
+from clickflow.llm import decontaminate, hosts, rule_list, secret_scan, warc
 from clickflow.llm.sqltext import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,35 @@ def op5_rule_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_list.apply_rules(docs, rule_list.fit_rules(docs, labels))
 
 
+def op6_benchmark_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    c = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return c.select("doc_id", "n_words", "n_hit", "n_items",
+                    F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                    "contaminated")
+
+
+def op7_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_warc(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return warc.read_warc(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+        "refers_to")
+
+
+def op8_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+    kinds = [r.kind for r in secret_scan.BASE_RULES]
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in kinds],
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"))
+
+
 def op10_host_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled outcomes: ``labels.quality`` of the same number as the page."""
     pages = table(spark, sf_dir, "pages", "page_id", "url")
@@ -28,4 +57,6 @@ def op10_host_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_rule_list, op10_host_filter)}
+    return {f.__name__: f for f in (
+        op5_rule_list, op6_benchmark_ngrams, op7_warc_segments, op8_trigram_secrets,
+        op10_host_filter)}

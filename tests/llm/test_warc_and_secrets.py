@@ -1,0 +1,111 @@
+"""WARC round trips and the secret scan against plain Python."""
+
+import base64
+import collections
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickflow.llm import secret_scan as ss
+from clickflow.llm import warc
+
+HTML = ["", None, "<p>a</p>", "<p>a</p>", "é\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\nx",
+        "WARC/1.1\r\n" * 700, "0\r\n\r\n", "long " * 30_000, "😀" * 9_000, "<p>a</p>", "\r\n\r\n"]
+
+
+def digest(t):
+    return base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
+
+
+def test_pages_survive_the_round_trip(spark, scratch):
+    rows = [(100 - i, "http://h/WARC/1.1" if i % 2 else None, t, "x") for i, t in enumerate(HTML)]
+    rows += [(None, "u\r\nv", "<p>a</p>", "x"), (5, None, "only", "x"), (5, None, "only", "x"),
+             (None, None, "lone", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, type string")
+    out = warc.read_warc(spark, warc.write_warc(pages, f"{scratch}/w", segment_chars=1000)).collect()
+    assert all(r.complete for r in out)
+    first = {}
+    for i, _, t, _ in rows:
+        if i is not None:
+            first[t or ""] = min(i, first.get(t or "", i))
+    want = collections.Counter()
+    for i, _, t, _ in rows:
+        to = first.get(t or "")
+        to = None if to == i else to
+        want[(i, len((t or "").encode()), digest(t), "revisit" if to is not None else "response",
+              to)] += 1
+    got = collections.Counter((r.page_id, r.payload_bytes, r.payload_digest, r.type, r.refers_to)
+                              for r in out)
+    assert got == want
+    texts = {r.page_id: bytes(r.payload).decode() for r in out if r.type == "response"}
+    assert texts[93] == HTML[7] and texts[95] == HTML[5] and texts[96] == HTML[4]
+
+
+def test_small_payloads_are_not_deduplicated_and_empty_input(spark, scratch):
+    pages = spark.createDataFrame([(1, None, "ab"), (2, None, "ab"), (3, None, "abc"), (4, None, "abc")],
+                                  "page_id long, url string, html string")
+    out = warc.read_warc(spark, warc.write_warc(pages, f"{scratch}/w", min_bytes=3)).collect()
+    assert {r.page_id: r.refers_to for r in out} == {1: None, 2: None, 3: None, 4: 3}
+    assert warc.read_warc(spark, warc.write_warc(pages.limit(0), f"{scratch}/e")).count() == 0
+
+
+def test_damaged_segments_are_told(spark, scratch):
+    pages = spark.createDataFrame([(1, None, "x" * 5000), (2, None, "y" * 5000), (3, None, "z")],
+                                  "page_id long, url string, html string")
+    rec = warc.to_records(warc.mark_revisits(pages), 1000)
+    lost = rec.where(~(F.col("value").contains("WARC-Segment-Number: 3") & F.col("value").contains("xxx")))
+    lost.write.option("lineSep", warc.END).text(f"{scratch}/w")
+    out = {r.page_id: r.complete for r in warc.read_warc(spark, f"{scratch}/w").collect()}
+    assert out == {1: False, 2: True, 3: True}
+
+
+SECRETS = [
+    None, "", "password=abc", "PassWord = 'abcdef' token:xyz123456 api_key=\"k-1=2/3\" apikey=short",
+    "AKIA" + "A" * 16 + " AKIAABC AKIAAKIA" + "B" * 30, "f" * 24 + " " + "0" * 23 + " é" + "a1" * 20 + "g",
+    "token=" + "0123456789abcdef" * 3, "secretpassword: hunter22 paſſword=abcdefg toKen=abcdefg",
+    "-----BEGIN RSA PRIVATE KEY----- ghp_" + "a" * 40 + " 😀 xoxb-1234567890ab sk_live_" + "A1" * 9,
+    "text " * 30_000 + "passwd := zzzzzz passwd=zzzzzzz", "password==a password=+/=-._",
+    "eyJhbGciOiJ.eyJzdWIiOiI.abcdefghij AIza" + "x" * 35, "secret" * 5 + "=123456",
+]
+
+
+def base_spans(t):
+    out = []
+    for rank, (kind, rx, ok) in enumerate([
+            ("assign", r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
+                       r"""([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6),
+            ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
+            ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 24)]):
+        out += [(m.start(), rank, kind, m.end()) for m in re.finditer(rx, t or "") if ok(m)]
+    return sorted(out)
+
+
+def test_base_spans_match_brute_force(spark):
+    rows = [(i, t, "k") for i, t in enumerate(SECRETS)] + [(None, SECRETS[4], "k"), (4, "none", "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    out = ss.scan(docs).collect()
+    kinds = {r.kind for r in ss.BASE_RULES}
+    got = collections.Counter((r.doc_id, tuple(map(tuple, (s for s in r.spans if s.kind in kinds))))
+                              for r in out)
+    assert got == collections.Counter((i, tuple(base_spans(t))) for i, t, _ in rows)
+    more = {s.kind for r in out for s in r.spans} - kinds
+    assert more == {r.kind for r in ss.MORE_RULES}
+    assert ss.scan(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("pattern,want", [
+    ("abc|abd", {frozenset({"abc"}), frozenset({"abd"})}), ("[0-9a-f]{24,}", None), ("ab?c", None),
+    ("xAbCd+", {frozenset({"xab", "abc", "bcd"})}), ("(foo|ba)z*", None),
+    ("(foo|ba)z+", {frozenset({"baz"}), frozenset({"foo", "ooz"})}),
+    ("key[0-9]*val", {frozenset({"key", "val"})}), ("(abc)*xyz", {frozenset({"xyz"})}),
+    ("(abcd){2}", {frozenset({"abc", "bcd", "cda", "dab"})})])
+def test_trigram_queries(pattern, want):
+    assert ss.trigram_query(pattern) == want
+
+
+def test_redact(spark):
+    docs = spark.createDataFrame([(1, "a token=abcdef012345678901234567 b")], "doc_id long, text string")
+    s = ss.scan(docs).withColumn("text", F.lit("a token=abcdef012345678901234567 b"))
+    assert s.select(ss.redact(F.col("text"), F.col("spans"))).first()[0] == "a [SECRET] b"
