@@ -7,12 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import decontaminate, hosts, rule_list, secret_scan, warc
+from clickflow.llm import (decontaminate, hosts, quality_gam, rule_list, secret_scan, toxicity,
+                           warc)
 from clickflow.llm.sqltext import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.quality_scores(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                      table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+def op4_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                    table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op5_rule_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")
@@ -58,5 +69,5 @@ def op10_host_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op5_rule_list, op6_benchmark_ngrams, op7_warc_segments, op8_trigram_secrets,
+        op1_gam_quality, op4_boosted_toxicity, op5_rule_list, op6_benchmark_ngrams, op7_warc_segments, op8_trigram_secrets,
         op10_host_filter)}
