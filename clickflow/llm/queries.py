@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import (decontaminate, hosts, quality_gam, rule_list, secret_scan, toxicity,
-                           warc)
+from clickflow.llm import (decontaminate, hosts, packing, quality_gam, rule_list, secret_scan,
+                           toxicity, warc)
 from clickflow.llm.sqltext import table
 
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -59,6 +65,11 @@ def op8_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.span_text(F.col("spans")).alias("spans"))
 
 
+def op9_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack_documents(docs, tokenizer_path())
+
+
 def op10_host_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled outcomes: ``labels.quality`` of the same number as the page."""
     pages = table(spark, sf_dir, "pages", "page_id", "url")
@@ -70,4 +81,4 @@ def op10_host_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_gam_quality, op4_boosted_toxicity, op5_rule_list, op6_benchmark_ngrams, op7_warc_segments, op8_trigram_secrets,
-        op10_host_filter)}
+        op9_tiered_packing, op10_host_filter)}
