@@ -31,11 +31,9 @@ def item_words(text: Column) -> Column:
     return words(ascii_lower(text), WORD)
 
 
-def _windows(w: Column, n: int) -> Column:
-    """All windows of ``n`` words; none for a shorter text."""
-    return F.when(F.size(w) >= n, F.transform(
-        F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.slice(w, i, n))).otherwise(
-        F.array().cast("array<array<string>>"))
+def _window_hash(w: Column, i: Column, n: int) -> Column:
+    """Hash of the ``n`` words from position ``i`` (0-based)."""
+    return F.xxhash64(*[w[i + j] for j in range(n)])
 
 
 def window_set(benchmark: DataFrame, n: int = N) -> DataFrame:
@@ -44,11 +42,14 @@ def window_set(benchmark: DataFrame, n: int = N) -> DataFrame:
     a NULL id reads ``null``). Texts without words give none."""
     b = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
                          item_words(F.col("text")).alias("w")).where(F.size("w") > 0)
-    short = F.array(F.col("w"))
-    b = b.withColumn("win", F.when(F.size("w") < n, short).otherwise(_windows(F.col("w"), n)))
-    b = b.select("item", F.explode("win").alias("win"))
-    return (b.groupBy(F.size("win").alias("size"), F.xxhash64("win").alias("h"),
-                      F.array_join("win", " ").alias("window"))
+    b = b.withColumn("size", F.least(F.size("w"), F.lit(n)))
+    starts = F.explode(F.sequence(F.lit(0), F.size("w") - F.col("size")))
+    b = b.select("item", "w", "size", starts.alias("i"))
+    h = F.coalesce(*[F.when(F.col("size") == k, _window_hash(F.col("w"), F.col("i"), k))
+                     for k in range(n, 0, -1)])
+    window = F.array_join(F.slice("w", F.col("i") + 1, F.col("size")), " ")
+    return (b.select("size", h.alias("h"), window.alias("window"), "item")
+            .groupBy("size", "h", "window")
             .agg(F.sort_array(F.collect_set("item")).alias("items")))
 
 
@@ -61,8 +62,7 @@ def _layout(sizes: list[int]) -> tuple[Column, Column, Column]:
 
     def hashes(k: int) -> Column:
         return F.when(F.size(w) >= k, F.transform(
-            F.sequence(F.lit(1), F.size(w) - k + 1), lambda i: F.xxhash64(F.slice(w, i, k)))
-        ).otherwise(F.array().cast("array<long>"))
+            F.sequence(F.lit(0), F.size(w) - k), lambda i: _window_hash(w, i, k))).otherwise(F.array().cast("array<long>"))
 
     parts += [hashes(k) for k in sizes]
     at, size, start = F.lit(1), None, None
@@ -76,9 +76,10 @@ def _layout(sizes: list[int]) -> tuple[Column, Column, Column]:
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N,
-              max_set_rows: int = MAX_SET_ROWS) -> DataFrame:
-    """One row per row of ``docs``: doc (a struct of all its columns), n_words,
-    hits (sorted (start, size) word windows) and items (sorted ids as strings).
+              max_set_rows: int = MAX_SET_ROWS, keep: list[str] | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc (a struct of its columns ``keep``, by
+    default all), n_words, hits (sorted (start, size) word windows) and items
+    (sorted ids as strings).
 
     Every document row counts on its own, also repeated ones. NULL text has no
     words. An empty benchmark gives no hits.
@@ -89,7 +90,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N,
     rounds = max(1, -(-sum(by_size.values()) // max_set_rows))
 
     hashes, size, start = _layout(sizes)
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("doc"),
                     item_words(F.col("text")).alias("w"),
                     F.monotonically_increasing_id().alias("row"))
     d = d.select("doc", "w", "row", F.posexplode(hashes).alias("p", "dh"))
@@ -149,8 +150,7 @@ def hit_words(hits: Column) -> Column:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, item_ids and contaminated per row."""
-    f = find_hits(docs.select("doc_id", "text"), benchmark, n) \
-        if set(docs.columns) - {"doc_id", "text"} else find_hits(docs, benchmark, n)
+    f = find_hits(docs, benchmark, n, keep=["doc_id"])
     return f.select(F.col("doc")["doc_id"].alias("doc_id"), "n_words",
                     hit_words(F.col("hits")).alias("n_hit"),
                     F.size("items").cast("long").alias("n_items"), F.col("items").alias("item_ids"),
