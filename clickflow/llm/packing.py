@@ -27,7 +27,8 @@ TIERS = (2048, 1024, 512, 256)
 END_ID = 1
 BLOCK_TOKENS = 1 << 18     # tokens packed together, at least (one document more at most)
 STEP_TOKENS = 1 << 16      # tokens of a step group
-CACHE_PIECES = 600_000     # pieces whose ids a worker remembers
+CACHE_CHUNKS = 600_000     # blank-separated chunks whose ids a worker remembers
+CACHE_PIECES = 300_000     # and pieces
 TEXT_BATCH = 1 << 20       # characters tokenised together
 
 # Characters whose lower case and class are the same for the tokenizer's
@@ -40,37 +41,21 @@ _PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^\x20\x09-\x0
 _BLANKS = re.compile("[\x20\x09-\x0d]+")
 
 
-class WordTokenizer:
-    """Ids of whole texts by a word-level BPE file, piece by piece.
-
-    The tokenizer never merges across blanks or between its pieces, so a
-    text's ids are those of its pieces in a row. At most ``CACHE_PIECES`` pieces
-    (and those of one batch) are remembered; beyond that the later half goes,
-    as the most frequent pieces are seen first.
-    Texts with characters whose treatment could differ are cut at blanks
-    only, or, with a special token in them, encoded whole.
-    """
+class IdStore:
+    """Ids of remembered strings, in one flat array. At most ``most`` strings
+    (and those of one batch) are kept; beyond that the later half goes, as the
+    frequent ones are met first."""
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        ends = np.zeros(self.tok.get_vocab_size() + 1, dtype=bool)
-        for token, i in self.tok.get_vocab().items():
-            ends[i] = token.endswith("</w>")
-        self.ends = ends
+    def __init__(self, most: int):
+        self.most = most
         self.index: dict[str, int] = {}
         self.start = np.zeros(1 << 16, dtype=np.int64)
         self.size = np.zeros(1 << 16, dtype=np.int64)
         self.flat = np.zeros(1 << 18, dtype=np.uint32)
         self.used = 0
 
-    def _forget(self) -> None:
-        n = CACHE_PIECES // 2
-        self.index = dict(islice(self.index.items(), n))
-        self.used = int(self.start[n - 1] + self.size[n - 1])
-
-    def _remember(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        n, m = len(self.index), len(self.index) + len(pieces)
+    def add(self, strings: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, m = len(self.index), len(self.index) + len(strings)
         while m > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.size = np.concatenate([self.size, np.zeros_like(self.size)])
@@ -80,56 +65,95 @@ class WordTokenizer:
         self.size[n:m] = sizes
         self.start[n:m] = self.used + np.cumsum(sizes) - sizes
         self.used += len(ids)
-        self.index.update(zip(pieces, range(n, m)))
+        self.index.update(zip(strings, range(n, m)))
+
+    def ids(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all lists in a row, number of ids of each list)."""
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(lists)), np.int64,
+                         counts.sum())
+        sizes = self.size[at]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.flat[np.repeat(self.start[at] - (ends - sizes), sizes) + np.arange(total)]
+        return ids, np.diff(np.concatenate(([0], ends))[np.cumsum(counts)], prepend=0)
+
+    def trim(self) -> None:
+        if len(self.index) > self.most:
+            n = self.most // 2
+            self.index = dict(islice(self.index.items(), n))
+            self.used = int(self.start[n - 1] + self.size[n - 1])
 
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(self.tok.encode(t, add_special_tokens=False).ids, dtype=np.uint32)
-                for t in texts]
 
-    def _learn(self, plain: list[str], odd: list[str]) -> None:
-        """Remember pieces: ``plain`` ones go to the tokenizer many at a time."""
-        for lo in range(0, len(plain), 5000):
-            part = plain[lo:lo + 5000]
-            ids = self._whole([" ".join(part)])[0]
+class WordTokenizer:
+    """Ids of whole texts by a word-level BPE file.
+
+    The tokenizer never merges across blanks or between its pieces, so a
+    text's ids are those of its blank-separated chunks in a row, and a chunk's
+    those of its pieces. Both are remembered, up to a bound. Chunks with
+    characters whose treatment could differ are encoded as they stand, texts
+    with a special token in them as a whole.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.tok = Tokenizer.from_file(path)
+        ends = np.zeros(self.tok.get_vocab_size() + 1, dtype=bool)
+        for token, i in self.tok.get_vocab().items():
+            ends[i] = token.endswith("</w>")
+        self.ends = ends
+        self.chunks, self.pieces = IdStore(CACHE_CHUNKS), IdStore(CACHE_PIECES)
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+    def _each(self, store: IdStore, strings: list[str]) -> None:
+        if strings:
+            ids = [self._whole(x) for x in strings]
+            store.add(strings, np.concatenate(ids), np.array([len(x) for x in ids]))
+
+    def _learn(self, plain: list[str]) -> None:
+        """Remember chunks of plain characters by way of their pieces, which go
+        to the tokenizer many at a time."""
+        lists = [_PIECE.findall(c) for c in plain]
+        known = self.pieces.index
+        new = [p for p in set(chain.from_iterable(lists)) if p not in known]
+        for lo in range(0, len(new), 5000):
+            part = new[lo:lo + 5000]
+            ids = self._whole(" ".join(part))
             stop = np.flatnonzero(self.ends[ids]) + 1
             if len(stop) == len(part):   # one word end a piece
-                self._remember(part, ids, np.diff(stop, prepend=0))
+                self.pieces.add(part, ids, np.diff(stop, prepend=0))
             else:
-                odd += part
-        if odd:
-            ids = self._whole(odd)
-            self._remember(odd, np.concatenate(ids), np.array([len(x) for x in ids]))
+                self._each(self.pieces, part)
+        self.chunks.add(plain, *self.pieces.ids(lists))
+        self.pieces.trim()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text, without special tokens around it."""
-        pieces: list[list[str]] = []
+        lists: list[list[str]] = []
         plain: set[str] = set()
         odd: set[str] = set()
         for t in texts:
             if _SPECIAL in t:
-                pieces.append([])
+                lists.append([])
             elif _ODD.search(t):
-                pieces.append([x for x in _BLANKS.split(t) if x])
-                odd.update(pieces[-1])
+                lists.append([x for x in _BLANKS.split(t) if x])
+                odd.update(lists[-1])
             else:
-                pieces.append(_PIECE.findall(t.lower()))
-                plain.update(pieces[-1])
-        new = plain - self.index.keys()
-        self._learn(list(new), list(odd - self.index.keys() - new))
-        counts = np.array([len(p) for p in pieces], dtype=np.int64)
-        get = self.index.__getitem__
-        at = np.fromiter(map(get, chain.from_iterable(pieces)), np.int64, counts.sum())
-        sizes, starts = self.size[at], self.start[at]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
-        cut = np.concatenate(([0], ends))[np.cumsum(counts)] if len(counts) else []
-        out = np.split(ids, cut[:-1]) if len(counts) else []
+                lists.append(t.lower().split())
+                plain.update(lists[-1])
+        known = self.chunks.index
+        new = [c for c in plain if c not in known]
+        if new:
+            self._learn(new)
+        self._each(self.chunks, [c for c in odd if c not in known])
+        ids, sizes = self.chunks.ids(lists)
+        out = np.split(ids, np.cumsum(sizes)[:-1]) if texts else []
         for i, t in enumerate(texts):
             if _SPECIAL in t:
-                out[i] = self._whole([t])[0]
-        if len(self.index) > CACHE_PIECES:
-            self._forget()
+                out[i] = self._whole(t)
+        self.chunks.trim()
         return out
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import (decontaminate, hosts, packing, pii, quality_gam, rule_list,
-                           secret_scan, toxicity, warc)
+from clickflow.llm import (decontaminate, hosts, near_dup, packing, pii, quality_gam,
+                           rule_list, secret_scan, toxicity, warc)
 from clickflow.llm.sqltext import table
 
 
@@ -25,6 +25,11 @@ def op1_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op2_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return near_dup.near_duplicates(docs, k=3, percent=85)
+
+
 def op3_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonym_report(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -84,5 +89,5 @@ def op10_host_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_gam_quality, op3_feistel_pii, op4_boosted_toxicity, op5_rule_list, op6_benchmark_ngrams, op7_warc_segments, op8_trigram_secrets,
+        op1_gam_quality, op2_chosen_path, op3_feistel_pii, op4_boosted_toxicity, op5_rule_list, op6_benchmark_ngrams, op7_warc_segments, op8_trigram_secrets,
         op9_tiered_packing, op10_host_filter)}

@@ -1,0 +1,140 @@
+"""Near-duplicate groups against all-pairs comparison."""
+
+import collections
+import random
+
+import numpy as np
+import pytest
+
+from clickflow.llm import near_dup
+from clickflow.llm.components import connected_components
+
+
+def shingles(t, k):
+    w = (t or "").encode().lower().split()
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if len(w) >= k \
+        else frozenset([tuple(w)])
+
+
+def brute(docs, k, percent):
+    """(doc_id, set size, component id) of each row by comparing all pairs."""
+    sets = [shingles(t, k) for _, t in docs]
+    up = list(range(len(docs)))
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)):
+                both = len(a & b)
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    up[find(i)] = find(j)
+    low = collections.defaultdict(list)
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            low[find(i)].append(d)
+    return collections.Counter(
+        (d, len(sets[i]), (d if not sets[i] else min(low[find(i)], default=None)))
+        for i, (d, _) in enumerate(docs))
+
+
+def edited(r, words, edits):
+    w = list(words)
+    for _ in range(edits):
+        w[r.randrange(len(w))] = f"e{r.randrange(10 ** 6)}"
+    return w
+
+
+def corpus(seed=5):
+    """Random documents, exact copies, near copies from few to many edits,
+    copies of copies, truncations and two large families."""
+    r = random.Random(seed)
+    vocab = [f"w{i}" for i in range(300)]
+    out, n = [], 0
+
+    def put(words):
+        nonlocal n
+        out.append((n, " ".join(words)))
+        n += 1
+
+    bases = [[r.choice(vocab) for _ in range(r.choice([8, 40, 100, 150]))] for _ in range(40)]
+    for b in bases:
+        put(b)
+        for _ in range(r.randrange(6)):
+            put(edited(r, b, r.randrange(8)))
+        if r.random() < 0.5:
+            put([x.upper() for x in b])
+    family = [r.choice(vocab) for _ in range(150)]
+    sister = edited(r, family, 25)
+    for i in range(160):
+        put(edited(r, family, r.choice([0, 1, 2, 3, 4, 5, 6, 8, 12])))
+        put(edited(r, sister, r.choice([0, 1, 2, 4, 5, 7])))
+    for cut in range(100, 150, 4):
+        put(family[:cut])
+    chain = family
+    for _ in range(15):   # each close to the one before only
+        chain = edited(r, chain, 3)
+        put(chain)
+    out += [(n, None), (n + 1, ""), (n + 2, " \n"), (n + 3, "two words"), (n + 4, "TWO  words"),
+            (n + 5, "one"), (None, "two words"), (None, "only null"), (n + 6, "big " * 60_000),
+            (n + 7, "big " * 50_000), (0, out[0][1])]
+    return out
+
+
+@pytest.mark.parametrize("k,percent,block", [(3, 85, 2000), (5, 80, 40)])
+def test_components_match_brute_force(spark, monkeypatch, k, percent, block):
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    docs = corpus()
+    df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, fp string")
+    out = near_dup.near_duplicates(df, k, percent).collect()
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in out)
+    assert got == brute(docs, k, percent)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in out)
+
+
+def test_one_row_of_each_group_stays(spark):
+    docs = corpus(7)
+    df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, rk string")
+    kept = near_dup.drop_near_duplicates(df, 5, 80)
+    assert kept.columns == df.columns
+    want = brute(docs, 5, 80)
+    one = {c for (_, n, c) in want if n}
+    none = sorted(d for (d, n, _) in want.elements() if not n)
+    got = [r.doc_id for r in kept.collect()]
+    assert collections.Counter(got) == collections.Counter([*one, *none])
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert near_dup.near_duplicates(df).count() == 0
+    assert near_dup.drop_near_duplicates(df).count() == 0
+
+
+def test_components_of_long_chains_and_stars(spark):
+    edges = [(f"{i:05d}", f"{i + 1:05d}") for i in range(200)]
+    edges += [("hub", f"leaf{i}") for i in range(500)] + [("x", "x"), ("q", "p"), ("p", "q")]
+    df = spark.createDataFrame(edges, "a string, b string")
+    out = {r.node: r.root for r in connected_components(df, "t").collect()}
+    assert {out[f"{i:05d}"] for i in range(201)} == {"00000"}
+    assert {out[f"leaf{i}"] for i in range(500)} | {out["hub"]} == {"hub"} and out["q"] == "p"
+    assert connected_components(df.limit(0), "t").count() == 0
+
+
+def test_recall_follows_from_the_number_of_trees():
+    path, percent = 4, 80
+    trees = near_dup.trees_for(percent, path, 0.01)
+    assert 1 - (1 - 0.8 ** path) ** trees >= 0.99
+    rng, met = np.random.default_rng(0), 0
+    for _ in range(300):
+        both = rng.integers(0, 2 ** 63, 160).astype(np.uint64)
+        a = np.sort(np.concatenate([both, rng.integers(0, 2 ** 63, 20).astype(np.uint64)]))
+        b = np.sort(np.concatenate([both, rng.integers(0, 2 ** 63, 20).astype(np.uint64)]))
+        met += bool((near_dup.path_keys(a, trees, path) == near_dup.path_keys(b, trees, path)).any())
+    assert met >= 290
+    assert near_dup.path_length(10 ** 10) > near_dup.path_length(10 ** 5) == 4
