@@ -1,7 +1,113 @@
-"""DuckDB SQL of the queries here that SQL can express."""
+"""DuckDB SQL of the queries here that SQL can express.
+
+Learned models, similarity groups, pseudonyms and tokenisation have none; they
+are tested against brute force, round trips or held-out accuracy.
+"""
 
 from __future__ import annotations
 
+# Window by window over the whole tables, joined on the windows' words.
+OP6 = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+gram AS (
+  SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT item, w, least(len(w), 10) AS k,
+               unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+        FROM item WHERE len(w) > 0)),
+win AS (
+  SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM doc, (SELECT DISTINCT k FROM gram) WHERE len(w) >= k)),
+hit AS (SELECT win.r, win.k, win.i, gram.item FROM win JOIN gram USING (k, g)),
+words AS (
+  SELECT r, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT r, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT r, i, k FROM hit))
+  GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
+
+OP7 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h
+  FROM pages),
+d AS (
+  SELECT *, translate(array_to_string(list_transform(range(8), lambda i: to_base(
+    CAST('0x' || h[5 * i + 1:5 * i + 5] AS BIGINT), 32, 4)), ''),
+    '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS digest,
+    min(page_id) OVER (PARTITION BY h) AS first_id
+  FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first_id IS DISTINCT FROM page_id AND first_id IS NOT NULL THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
+FROM d"""
+
+
+def _spans(kind: str, rank: int, pattern: str, group: int = 0, least: int = 1) -> str:
+    """SQL for one rule's spans of ``doc`` (r, t): lengths of the pieces between
+    matches and of the matches, added up in turn."""
+    return f"""
+  SELECT r, '{kind}' AS kind, {rank} AS rank, s, e FROM (
+    SELECT r, length(g[i]) AS gl,
+      list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+        + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s,
+      list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+        + list_sum(list_transform(m[1:i], lambda x: length(x))) AS e
+    FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (
+      SELECT r, regexp_extract_all(t, '{pattern}') AS m,
+             regexp_extract_all(t, '{pattern}', {group}) AS g,
+             regexp_split_to_array(t, '{pattern}') AS gaps FROM doc)))
+  WHERE gl >= {least}"""
+
+
+def _op8() -> str:
+    q = "''"
+    either = "".join  # letters of the names in either case, without Unicode folding
+
+    def ci(word: str) -> str:
+        return either(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+    names = "|".join([ci("password"), ci("passwd"), ci("secret"), ci("token"),
+                      ci("api") + "_?" + ci("key")])
+    assign = rf'({names})["{q}]?\x20*[:=]\x20*["{q}]?([A-Za-z0-9+/_.=-]+)'
+    rules = [
+        ("assign", assign, 2, 6), ("access", "AKIA[A-Z0-9]{16,}", 0, 1),
+        ("hex", "[0-9a-f]{24,}", 0, 1),
+        ("private_key", "-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", 0, 1),
+        ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+        ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+        ("google", "AIza[A-Za-z0-9_-]{35}", 0, 1),
+        ("stripe", "[rs]k_live_[A-Za-z0-9]{16,}", 0, 1),
+        ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1)]
+    spans = "\n  UNION ALL".join(_spans(k, i, p, g, n) for i, (k, p, g, n) in enumerate(rules))
+    return f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+span AS ({spans}),
+one AS (
+  SELECT r, count(*) FILTER (kind = 'assign') AS n_assign,
+         count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT), ','
+                    ORDER BY s, rank) FILTER (rank < 3) AS base,
+         string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT), ','
+                    ORDER BY s, rank) AS every
+  FROM span GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign,
+       CAST(coalesce(n_access, 0) AS BIGINT) AS n_access, CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM doc LEFT JOIN one USING (r)"""
+
 
 def llm_sql() -> dict[str, str]:
-    return {}
+    return {"op6_benchmark_ngrams": OP6, "op7_warc_segments": OP7, "op8_trigram_secrets": _op8()}
