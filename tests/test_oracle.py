@@ -10,11 +10,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from clickflow.plans.oracle import all_sql
+from clickflow.plans.queries import all_queries
 from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "orders", "events", "documents"]
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = all_queries()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +42,7 @@ def _sorted_rows(pdf):
 def test_every_query_has_an_oracle_or_is_approximate():
     assert set(QUERIES) - set(SQL) == {"uv_hourly_approx"}
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
 DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double"}
