@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clickflow.functions.time import epoch_day
 from clickflow.operators.behavior import HOUR_MS, MINUTE_MS
-from clickflow.operators.windows import rank_in_group, sliding_counts
+from clickflow.operators.windows import first_in_group, rank_in_group, sliding_counts
 
 DEFAULT_CAP = 100
 
@@ -30,6 +30,13 @@ def _cap_groups(reset: str | None) -> list[str]:
     return ["user_id", "ad_id"] + (["_day"] if reset == "day" else [])
 
 
+def _with_day(clicks: DataFrame, reset: str | None) -> DataFrame:
+    c = clicks.select(*CLICK_COLUMNS)
+    if reset not in ("day", None):
+        raise ValueError("reset must be 'day' or None")
+    return c.withColumn("_day", epoch_day("ts_sec")) if reset == "day" else c
+
+
 def ranked_clicks(clicks: DataFrame, reset: str | None = "day",
                   materialize: bool = False) -> DataFrame:
     """Every click with its 1-based position among the clicks of the same
@@ -40,27 +47,28 @@ def ranked_clicks(clicks: DataFrame, reset: str | None = "day",
     ``reset=None`` never restarts. ``materialize`` checkpoints the clicks
     before ranking (see ``rank_in_group``).
     """
-    c = clicks.select(*CLICK_COLUMNS)
-    if reset == "day":
-        c = c.withColumn("_day", epoch_day("ts_sec"))
-    elif reset is not None:
-        raise ValueError("reset must be 'day' or None")
-    r = rank_in_group(c, _cap_groups(reset), "ts_sec", "seq", "click_no", materialize)
-    return r.drop("_day") if reset == "day" else r
+    c = _with_day(clicks, reset)
+    return rank_in_group(c, _cap_groups(reset), "ts_sec", "seq", "click_no", materialize).drop("_day")
+
+
+def first_clicks(clicks: DataFrame, n: int, reset: str | None = "day") -> DataFrame:
+    """The first ``n`` clicks of each group with ``click_no``; the rest is
+    dropped before the shuffle."""
+    c = _with_day(clicks, reset)
+    return first_in_group(c, _cap_groups(reset), ["ts_sec", "seq"], n, "click_no").drop("_day")
 
 
 def ad_click_cap(clicks: DataFrame, cap: int = DEFAULT_CAP,
-                 reset: str | None = "day", materialize: bool = False) -> DataFrame:
+                 reset: str | None = "day") -> DataFrame:
     """ST2: the clicks that pass -- the first ``cap`` of each group."""
-    return ranked_clicks(clicks, reset, materialize).where(F.col("click_no") <= cap) \
-        .select(*CLICK_COLUMNS)
+    return first_clicks(clicks, cap, reset).select(*CLICK_COLUMNS)
 
 
 def ad_click_warnings(clicks: DataFrame, cap: int = DEFAULT_CAP,
-                      reset: str | None = "day", materialize: bool = False) -> DataFrame:
+                      reset: str | None = "day") -> DataFrame:
     """ST3: one warning per capped group, at its first dropped click:
     user_id, ad_id, warning, ts_sec."""
-    return (ranked_clicks(clicks, reset, materialize).where(F.col("click_no") == cap + 1)
+    return (first_clicks(clicks, cap + 1, reset).where(F.col("click_no") == cap + 1)
             .select("user_id", "ad_id", F.lit(warning_text(cap)).alias("warning"),
                     "ts_sec"))
 

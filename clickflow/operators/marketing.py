@@ -24,9 +24,9 @@ def marketing_by_channel(events: DataFrame, size_ms: int = HOUR_MS,
     """Counts per (channel, behavior) per sliding window (1 h / 5 s):
     channel, behavior, window_end, count.
 
-    Each row lies in 720 windows. Rows are first counted per 5 s pane, then
-    each pane count is fanned out to its 720 window ends and summed, so the
-    fan-out applies to pane rows rather than to raw events.
+    Each row lies in 720 windows. Rows are counted per 5 s pane, and the
+    window counts come from a running sum over pane deltas instead of a
+    720-way fan-out (see ``sliding_counts_sweep``).
     """
     e = not_uninstall(events).select("channel", "behavior", "ts_ms")
     return sliding_counts(e, ["channel", "behavior"], "ts_ms", size_ms, slide_ms)

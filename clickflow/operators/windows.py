@@ -25,12 +25,14 @@ def pane_of(ts_ms: str | Column, slide_ms: int) -> Column:
 
 
 # Panes per window above which the sweep beats the fan-out (measured: equal
-# at 12, sweep 4x faster at 720).
+# at 12, sweep 4x faster at 720). It depends on the window's shape only, not
+# on the data; both forms give the same rows.
 SWEEP_MIN_PANES = 64
 
 
 def sliding_counts(df: DataFrame, keys: list[str], ts_ms: str, size_ms: int,
-                   slide_ms: int, count_col: str = "count") -> DataFrame:
+                   slide_ms: int, count_col: str = "count",
+                   sweep: bool | None = None) -> DataFrame:
     """Rows per key and sliding window, via pane pre-aggregation.
 
     Rows are first counted per (key, pane) -- a partial + final hash
@@ -39,12 +41,13 @@ def sliding_counts(df: DataFrame, keys: list[str], ts_ms: str, size_ms: int,
     summed. The fan-out therefore multiplies pane rows, not raw rows (where
     ``window()`` would expand every input row). Above ``SWEEP_MIN_PANES``
     panes per window (1 h / 5 s has 720) the fan-out itself dominates and
-    the difference-array sweep below is used instead.
+    the difference-array sweep below is used instead; ``sweep`` fixes the
+    choice.
     """
     if size_ms % slide_ms:
         raise ValueError("window size must be a multiple of the slide")
     n = size_ms // slide_ms
-    if n > SWEEP_MIN_PANES:
+    if sweep if sweep is not None else n > SWEEP_MIN_PANES:
         return sliding_counts_sweep(df, keys, ts_ms, size_ms, slide_ms, count_col)
     panes = (df.groupBy(*keys, pane_of(ts_ms, slide_ms).alias("_pane"))
              .agg(F.count(F.lit(1)).alias("_n")))
@@ -69,8 +72,9 @@ def sliding_counts_sweep(df: DataFrame, keys: list[str], ts_ms: str, size_ms: in
     of the deltas in pane order is the window count, constant between two
     delta positions. So:
 
-    1. each row emits its two deltas, summed per (key, position) with
-       map-side partial aggregation (a hot key collapses early);
+    1. rows are counted per (key, pane) with map-side combining (a hot key
+       collapses early); each pane count then emits its two deltas, summed
+       per (key, position);
     2. the running sum is taken per (key, time chunk), with the totals of
        earlier chunks added from a small per-chunk prefix table, so a key
        with a third of all rows is still spread over its chunks;
@@ -85,9 +89,10 @@ def sliding_counts_sweep(df: DataFrame, keys: list[str], ts_ms: str, size_ms: in
     n = size_ms // slide_ms
     chunk = max((chunk_ms or max(4 * size_ms, 6 * 3_600_000)) // slide_ms, n)
     pane = pane_of(ts_ms, slide_ms)
-    deltas = (df.select(*keys, F.inline(F.array(
-        F.struct((pane + 1).alias("_pos"), F.lit(1).cast("long").alias("_d")),
-        F.struct((pane + n + 1).alias("_pos"), F.lit(-1).cast("long").alias("_d")))))
+    panes = df.groupBy(*keys, pane.alias("_pane")).agg(F.count(F.lit(1)).alias("_n"))
+    deltas = (panes.select(*keys, F.inline(F.array(
+        F.struct((F.col("_pane") + 1).alias("_pos"), F.col("_n").alias("_d")),
+        F.struct((F.col("_pane") + n + 1).alias("_pos"), (-F.col("_n")).alias("_d")))))
         .groupBy(*keys, "_pos").agg(F.sum("_d").alias("_d")))
     # one zero delta at every chunk start inside a key's span, so each
     # stretch ends inside its own chunk
@@ -139,6 +144,23 @@ def top_k(df: DataFrame, partition_by: list[str], order_by: list[Column], k: int
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
+def first_in_group(df: DataFrame, group_cols: list[str], order_by: list[str], k: int,
+                   rank_col: str = "rank", buckets: int = 64) -> DataFrame:
+    """The first ``k`` rows of each group by ``order_by`` with their rank.
+
+    In two steps, both planned as a WindowGroupLimit: first within (group,
+    hash bucket of the order columns), then within the group. Map tasks drop
+    all but ``k`` rows per group and bucket before the shuffle, a hot group's
+    first step is spread over its buckets, and its second one gets at most
+    ``buckets * k`` rows. Exact: a row among the group's first ``k`` is among
+    its bucket's first ``k`` too.
+    """
+    bucket = F.pmod(F.xxhash64(*order_by), F.lit(buckets)).alias("_bucket")
+    part = top_k(df.select("*", bucket), [*group_cols, "_bucket"], [F.col(c) for c in order_by], k,
+                 "_part")
+    return top_k(part.drop("_part", "_bucket"), group_cols, [F.col(c) for c in order_by], k, rank_col)
+
+
 def rank_in_group(df: DataFrame, group_cols: list[str], sec_col: str, seq_col: str,
                   rank_col: str = "rank", materialize: bool = False) -> DataFrame:
     """Exact ``row_number()`` within ``group_cols`` ordered by (sec, seq).
