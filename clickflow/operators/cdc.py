@@ -2,8 +2,9 @@
 
 Envelopes arrive as JSON text ``value``. Each row object is routed to the
 topic ``ODS_<TABLE>`` as JSON text. Envelopes without ``data`` (DDL,
-heartbeats) are filtered out instead of failing the batch. The operation
-type is ignored, as in the reference (deletes pass as rows).
+heartbeats) are filtered out instead of failing the batch; malformed ones are
+in ``bad_envelopes``. The operation type is ignored, as in the reference
+(deletes pass as rows). An envelope is parsed once.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickflow import schemas
+from clickflow.sources.scans import bad, decode_json, good
 
 # Topic prefix.
 TOPIC_PREFIX = "ODS_"
@@ -26,20 +28,24 @@ def cdc_split_array(envelopes: DataFrame) -> DataFrame:
     """``{"table":..,"data":[{..},..]}`` -> one (topic, value) per row
     object. The element schema is ``string`` so each object is passed on as
     its JSON text, not re-typed."""
-    e = envelopes.select(F.from_json("value", schemas.CDC_ARRAY).alias("e"))
-    return (e.where(F.col("e.data").isNotNull())
-            .select(topic_for(F.col("e.table")).alias("topic"),
-                    F.explode("e.data").alias("value")))
+    e = good(decode_json(envelopes, schemas.CDC_ARRAY))
+    return (e.where(F.col("data").isNotNull())
+            .select(topic_for(F.col("table")).alias("topic"), F.explode("data").alias("value")))
 
 
 def cdc_split_object(envelopes: DataFrame) -> DataFrame:
     """``{"table":..,"data":{..}}`` -> (topic, value) with the data
     object as JSON text (one parse per envelope: ``data`` is read as a
     string, which keeps the object's JSON text)."""
-    e = envelopes.select(F.from_json("value", schemas.CDC_OBJECT).alias("e"))
-    return (e.where(F.col("e.data").isNotNull())
-            .select(topic_for(F.col("e.table")).alias("topic"),
-                    F.col("e.data").alias("value")))
+    e = good(decode_json(envelopes, schemas.CDC_OBJECT))
+    return (e.where(F.col("data").isNotNull())
+            .select(topic_for(F.col("table")).alias("topic"), F.col("data").alias("value")))
+
+
+def bad_envelopes(envelopes: DataFrame, form: str = "object") -> DataFrame:
+    """The envelopes that are no JSON of the form ('array' or 'object'): value."""
+    schema = schemas.CDC_ARRAY if form == "array" else schemas.CDC_OBJECT
+    return bad(decode_json(envelopes, schema, keep=["value"])).select("value")
 
 
 def for_topic(routed: DataFrame, topic: str) -> DataFrame:

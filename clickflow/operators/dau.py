@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from clickflow import schemas
 from clickflow.functions.time import day_hour_minute, ms_utc_text
 from clickflow.operators.windows import top_k
+from clickflow.sources.scans import bad, decode_json, good
 
 # Topic names of the router and dashboard labels.
 START_TOPIC = "GMALL_START"
@@ -36,19 +37,31 @@ def start_logs(logs: DataFrame) -> DataFrame:
 
 def raw_log_archive(logs: DataFrame) -> DataFrame:
     """K5: every line verbatim with its event day ``dt`` (the archive's
-    day partition): dt, value. Write with ``sinks.write_archive``."""
+    day partition): dt, value. Write with ``sinks.archive_logs``."""
     dt = ms_utc_text(F.get_json_object("value", "$.ts").cast("long"), "yyyy-MM-dd")
     return logs.select(dt.alias("dt"), "value")
 
 
 def decode_app_logs(logs: DataFrame) -> DataFrame:
-    """S7 for app logs: seq, mid, uid, ar, ch, vc, ts (ms), dt."""
-    j = logs.select("seq", F.from_json("value", schemas.APP_LOG).alias("j"))
-    dt, _, _ = day_hour_minute(F.col("j.ts"))
-    return j.select("seq", F.col("j.common.mid").alias("mid"),
-                    F.col("j.common.uid").alias("uid"), F.col("j.common.ar").alias("ar"),
-                    F.col("j.common.ch").alias("ch"), F.col("j.common.vc").alias("vc"),
-                    F.col("j.ts").alias("ts"), dt.alias("dt"))
+    """S7 for app logs, parsed once: seq, mid, uid, ar, ch, vc, ts (ms), dt and
+    is_start (a non-null ``start``). Malformed lines are left out; see
+    ``bad_app_logs``."""
+    j = good(decode_json(logs, schemas.APP_LOG, keep=["seq"]))
+    dt, _, _ = day_hour_minute(F.col("ts"))
+    return j.select("seq", F.col("common.mid").alias("mid"),
+                    F.col("common.uid").alias("uid"), F.col("common.ar").alias("ar"),
+                    F.col("common.ch").alias("ch"), F.col("common.vc").alias("vc"),
+                    "ts", dt.alias("dt"), F.col("start").isNotNull().alias("is_start"))
+
+
+def bad_app_logs(logs: DataFrame) -> DataFrame:
+    """App-log lines that are no JSON of the log's shape: seq, value."""
+    return bad(decode_json(logs, schemas.APP_LOG, keep=["seq", "value"])).select("seq", "value")
+
+
+def decoded_starts(logs: DataFrame) -> DataFrame:
+    """The start logs of ``logs``, decoded."""
+    return decode_app_logs(logs).where("is_start").drop("is_start")
 
 
 def dau_first(logs: DataFrame) -> DataFrame:
@@ -59,7 +72,7 @@ def dau_first(logs: DataFrame) -> DataFrame:
     group is ever gathered in one place. Output: dt, mid, uid, ar, ch, vc,
     ts, seq.
     """
-    return _first_per_day(decode_app_logs(start_logs(logs)))
+    return _first_per_day(decoded_starts(logs))
 
 
 def _first_per_day(d: DataFrame) -> DataFrame:
@@ -73,7 +86,7 @@ def dau_first_observed(logs: DataFrame) -> tuple[DataFrame, Observation, Observa
     the row counts before and after the dedup (``.get['rows']`` once an
     action has run). Collected with the job itself, no extra pass."""
     before, after = Observation("dedup_before"), Observation("dedup_after")
-    d = decode_app_logs(start_logs(logs)).observe(before, F.count(F.lit(1)).alias("rows"))
+    d = decoded_starts(logs).observe(before, F.count(F.lit(1)).alias("rows"))
     out = _first_per_day(d).observe(after, F.count(F.lit(1)).alias("rows"))
     return out, before, after
 
@@ -115,20 +128,21 @@ def dau_day_compare(docs: DataFrame) -> DataFrame:
 
     Every (dt, hr) count is emitted twice -- as 'today' for its own day and
     as 'yesterday' for the next calendar day (P10 fixed) -- so no join is
-    needed.
+    needed and the documents are read once.
     """
-    by_hour = dau_by_hour(docs)
-    today = by_hour.select("dt", F.lit("today").alias("day"), "hr", "count")
     nxt = F.date_format(F.date_add(F.to_date("dt"), 1), "yyyy-MM-dd")
-    yesterday = by_hour.select(nxt.alias("dt"), F.lit("yesterday").alias("day"), "hr",
-                               "count")
-    return today.unionByName(yesterday)
+    both = F.array(F.struct(F.col("dt"), F.lit("today").alias("day")),
+                   F.struct(nxt.alias("dt"), F.lit("yesterday").alias("day")))
+    return (dau_by_hour(docs).select(F.explode(both).alias("d"), "hr", "count")
+            .select("d.dt", "d.day", "hr", "count"))
 
 
 def dedup_metrics(logs: DataFrame) -> DataFrame:
     """Start logs before and after the first-per-day dedup, per day:
-    dt, rows_before, rows_after."""
-    d = decode_app_logs(start_logs(logs))
+    dt, rows_before, rows_after. Logs without a device count as one device,
+    as in ``dau_first``."""
+    d = decoded_starts(logs)
+    # a struct is never NULL, so a NULL device is counted too
     return d.groupBy("dt").agg(F.count(F.lit(1)).alias("rows_before"),
-                               F.countDistinct("mid").alias("rows_after"))
+                               F.countDistinct(F.struct("mid")).alias("rows_after"))
 

@@ -90,7 +90,7 @@ DAU_QUERIES: dict[str, Query] = {
 def _orders(t: Tables) -> DataFrame:
     """Object envelopes -> ODS_ORDER_INFO -> decoded order records."""
     routed = cdc.cdc_split_object(t.cdc_object())
-    return scans.decode_orders(cdc.for_topic(routed, ORDER_TOPIC))
+    return scans.good(scans.decode_orders(cdc.for_topic(routed, ORDER_TOPIC)))
 
 
 ORDER_INPUT_COLUMNS = [n for n, _ in ORDER_FIELDS[:11]]

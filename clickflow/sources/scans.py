@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickflow import schemas
 
@@ -22,6 +23,7 @@ ACCESS_LOG_REQUIRED = ["ip", "ts_ms", "method", "url"]
 
 # Web-log time layout (field 3) and zone field (field 4).
 ACCESS_LOG_TIME_FORMAT = "dd/MM/yyyy:HH:mm:ss Z"
+CORRUPT = "_corrupt"
 
 
 def parsed_once(df: DataFrame, cols: list[Column]) -> DataFrame:
@@ -109,6 +111,19 @@ def read_access_log(spark: SparkSession, path: str) -> DataFrame:
     return parse_access_log_lines(read_lines(spark, path))
 
 
+def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str, lower: int,
+              upper: int, num_partitions: int, fetch_size: int = 10_000,
+              options: dict[str, str] | None = None) -> DataFrame:
+    """S6 over a database: ``table`` (or a parenthesised query) read in
+    parallel ranges of ``partition_column`` (bounds set the stride only; rows
+    outside them are read too). Needs the driver jar on the classpath."""
+    r = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
+         .option("partitionColumn", partition_column).option("lowerBound", str(lower))
+         .option("upperBound", str(upper)).option("numPartitions", str(num_partitions))
+         .option("fetchsize", str(fetch_size)))
+    return r.options(**(options or {})).load()
+
+
 def sql_rows(spark: SparkSession, sql: str) -> DataFrame:
     """Run SQL text; rows keep their column labels."""
     return spark.sql(sql)
@@ -116,22 +131,24 @@ def sql_rows(spark: SparkSession, sql: str) -> DataFrame:
 
 def decode_json(df: DataFrame, schema, value_col: str = "value",
                 keep: list[str] | None = None) -> DataFrame:
-    """JSON text -> typed columns. Malformed text gives a NULL record,
-    marked ``_bad`` (the reference failed the batch)."""
+    """JSON text -> typed columns, parsed once per record. Text that is
+    NULL or no JSON object of these types is marked ``_bad`` (the reference
+    failed the batch on it); split with ``good`` and ``bad``. ``keep`` names
+    columns to carry along, e.g. the text itself for a quarantine."""
     keep = keep or []
-    j = df.select(*keep, F.from_json(F.col(value_col), schema).alias("_j"))
-    out = j.select(*keep, *[F.col("_j")[f.name].alias(f.name) for f in schema])
-    return _flag_all_null(out, [f.name for f in schema])
-
-
-def _flag_all_null(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.withColumn("_bad", reduce(lambda a, b: a & b,
-                                        [F.col(c).isNull() for c in cols]))
-
-
-def decode_orders(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Order JSON -> the order record; absent fields are NULL."""
-    d = df.select(F.from_json(F.col(value_col), schemas.ORDER_INPUT).alias("_o"))
-    cols = [F.col("_o")[n].alias(n) for n, _ in schemas.ORDER_FIELDS[:11]]
+    # the raw text lands in the extra field exactly when it is malformed
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    j = parsed_once(df, [*[F.col(c) for c in keep], F.from_json(
+        F.col(value_col), with_corrupt, {"columnNameOfCorruptRecord": CORRUPT}).alias("_j")])
+    return j.select(*keep, *[F.col("_j")[f.name].alias(f.name) for f in schema],
+                    (F.col("_j").isNull() | F.col("_j")[CORRUPT].isNotNull()).alias("_bad"))
+
+
+def decode_orders(df: DataFrame, value_col: str = "value",
+                  keep: list[str] | None = None) -> DataFrame:
+    """Order JSON -> the order record and ``_bad``; absent fields are
+    NULL. A malformed record, or one without an id, is bad."""
+    d = decode_json(df, schemas.ORDER_INPUT, value_col, keep)
+    cols = [n for n, _ in schemas.ORDER_FIELDS[:11]]
     cols += [F.lit(None).cast(t).alias(n) for n, t in schemas.ORDER_FIELDS[11:]]
-    return d.select(*cols)
+    return d.select(*(keep or []), *cols, (F.col("_bad") | F.col("id").isNull()).alias("_bad"))
