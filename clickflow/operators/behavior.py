@@ -22,6 +22,8 @@ from clickflow.operators.windows import (
     rank_in_group, sliding_counts, top_k, tumbling_end,
 )
 
+# Arrival numbers are below this, so (ts_sec, seq) packs into one decimal.
+SEQ_SPAN = 10 ** 18
 HOUR_MS = 3_600_000
 MINUTE_MS = 60_000
 
@@ -213,12 +215,17 @@ def uv_running(behaviors: DataFrame, mask: int = DEFAULT_MASK,
         "window_end", tumbling_end("ts_ms", size_ms))
     # first row per (hour, user), then hash once per (hour, user), then the
     # first of those per (hour, offset): the same row, fewer hash calls
-    per_user = (pv.groupBy("window_end", "user_id")
-                .agg(F.min(F.struct("ts_sec", "seq")).alias("_u"))
-                .select("window_end", "user_id", "_u.ts_sec", "_u.seq"))
+    # (ts_sec, seq) as one number, so both minima are hash aggregates
+    wide = "decimal(38,0)"
+    at = (F.col("ts_sec").cast(wide) * F.lit(SEQ_SPAN).cast("decimal(19,0)")
+          + F.col("seq").cast(wide)).cast(wide)
+    per_user = pv.groupBy("window_end", "user_id").agg(F.min(at).alias("_at"))
     firsts = (with_offset(per_user, mask).groupBy("window_end", "offset")
-              .agg(F.min(F.struct("ts_sec", "seq", "user_id")).alias("_f"))
-              .select("window_end", "_f.ts_sec", "_f.seq", "_f.user_id"))
+              .agg(F.min("_at").alias("_at"), F.min_by("user_id", "_at").alias("user_id")))
+    span = F.lit(SEQ_SPAN).cast("decimal(19,0)")
+    firsts = firsts.select("window_end", "user_id",
+                           F.floor((F.col("_at") - F.pmod("_at", span)) / span).cast("long").alias("ts_sec"),
+                           F.pmod("_at", span).cast("long").alias("seq"))
     ranked = rank_in_group(firsts, ["window_end"], "ts_sec", "seq", "count")
     return ranked.select(F.lit("uv").alias("url"), "window_end", "count",
                          "user_id", "ts_sec")

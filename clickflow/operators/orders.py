@@ -2,10 +2,8 @@
 
 Orders are the typed record of ``clickflow.schemas.ORDER`` (see
 ``sources.scans.decode_orders``). Dimension joins are left joins so no order
-is ever lost. Only the province dimension is broadcast: it is a fixed list
-of provinces. User state and the user dimension grow with the user base, so
-those joins are left to the planner: AQE broadcasts them while they are
-small and otherwise runs a sort-merge join with skew splitting.
+is ever lost. All joins are left to the planner: AQE broadcasts a dimension
+while it is small and otherwise runs a sort-merge join with skew splitting.
 """
 
 from __future__ import annotations
@@ -38,19 +36,23 @@ def order_first_flag(orders: DataFrame, user_state: DataFrame,
     """
     st = user_state.select(F.col("user_id").alias("_su"),
                            F.col("if_consumed").alias("_consumed"))
-    j = orders.drop("if_first_order").join(st, F.col("user_id") == F.col("_su"), "left")
     consumed = F.lower(F.col("_consumed")) == "1"
     if not within_batch:
+        j = orders.drop("if_first_order").join(st, F.col("user_id") == F.col("_su"), "left")
         flag = (F.when(F.col("_su").isNull(), F.lit(NO_STATE))
                 .when(consumed, F.lit(NOT_FIRST_ORDER)).otherwise(F.lit(FIRST_ORDER)))
         return j.withColumn("if_first_order", flag).drop("_su", "_consumed")
+    # one row per user: its earliest order, unless the state says consumed;
+    # the orders themselves are joined once, to that
     earliest = (orders.groupBy(F.col("user_id").alias("_eu"))
                 .agg(F.min(F.struct("create_time", "id"))["id"].alias("_first_id")))
-    j = j.join(earliest, F.col("user_id") == F.col("_eu"), "left")
-    first = (F.col("id") == F.col("_first_id")) & ~F.coalesce(consumed, F.lit(False))
+    firsts = (earliest.join(st, F.col("_eu") == F.col("_su"), "left")
+              .where(~F.coalesce(consumed, F.lit(False))).select("_eu", "_first_id"))
+    j = orders.drop("if_first_order").join(firsts, F.col("user_id") == F.col("_eu"), "left")
+    first = F.col("id") == F.col("_first_id")
     return (j.withColumn("if_first_order",
                          F.when(first, F.lit(FIRST_ORDER)).otherwise(F.lit(NOT_FIRST_ORDER)))
-            .drop("_su", "_consumed", "_eu", "_first_id"))
+            .drop("_eu", "_first_id"))
 
 
 def order_with_province(orders: DataFrame, provinces: DataFrame) -> DataFrame:
@@ -58,7 +60,7 @@ def order_with_province(orders: DataFrame, provinces: DataFrame) -> DataFrame:
     p = provinces.select(F.col("id").alias("_pid"), F.col("name").alias("_pname"),
                          F.col("area_code").alias("_parea"),
                          F.col("iso_code").alias("_piso"))
-    j = orders.join(F.broadcast(p), F.col("province_id") == F.col("_pid"), "left")
+    j = orders.join(p, F.col("province_id") == F.col("_pid"), "left")
     return (j.withColumn("province_name", F.col("_pname"))
             .withColumn("province_area_code", F.col("_parea"))
             .withColumn("province_iso_code", F.col("_piso"))
