@@ -9,8 +9,6 @@ Spark code: windows are pane arithmetic plus ``range(n)``, rankings are plain
 
 from __future__ import annotations
 
-from clickflow.operators.dau import EVENT_TOPIC, START_TOPIC
-
 HOUR = 3_600_000
 MIN5 = 300_000
 
@@ -146,22 +144,18 @@ ACCESS_LOG_SCAN = ACCESS_LOGS
 
 
 def behavior_sql() -> dict[str, str]:
-    from clickflow.functions.text import (
-        REPORT_ITEM_COUNT_LABEL, REPORT_ITEM_LABEL, REPORT_ITEM_RULE_BOTTOM,
-        REPORT_PAGE_COUNT_LABEL, REPORT_PAGE_LABEL, REPORT_PAGE_RULE_BOTTOM,
-    )
     full, small = (1 << 29) - 1, (1 << 6) - 1
     return {
         "behavior_scan": BEHAVIOR_SCAN,
         "access_log_scan": ACCESS_LOG_SCAN,
         "item_window_counts": ITEM_COUNTS,
         "hot_items": HOT_ITEMS,
-        "hot_items_report": report(HOT_ITEMS, "item_id", REPORT_ITEM_LABEL,
-                                   REPORT_ITEM_COUNT_LABEL, REPORT_ITEM_RULE_BOTTOM),
+        "hot_items_report": report(HOT_ITEMS, "item_id", " 商品ID = ", " 热门度 = ",
+                                   "==================="),
         "page_window_counts": PAGE_COUNTS,
         "hot_pages": HOT_PAGES,
-        "hot_pages_report": report(HOT_PAGES, "url", REPORT_PAGE_LABEL,
-                                   REPORT_PAGE_COUNT_LABEL, REPORT_PAGE_RULE_BOTTOM),
+        "hot_pages_report": report(HOT_PAGES, "url", " = ", " 浏览量 = ",
+                                   "=============================="),
         "pv_hourly": PV_HOURLY,
         "pv_hourly_salted": PV_HOURLY,
         "uv_hourly": UV_HOURLY,
@@ -220,7 +214,7 @@ FROM ({EVENT_BASE})"""
 
 ROUTED = f"""
 SELECT seq, CASE WHEN json_extract_string(value, '$.start') IS NOT NULL
-                 THEN '{START_TOPIC}' ELSE '{EVENT_TOPIC}' END AS topic, value
+                 THEN 'GMALL_START' ELSE 'GMALL_EVENT' END AS topic, value
 FROM ({APP_LOGS})"""
 
 DECODED_STARTS = f"""
@@ -231,7 +225,7 @@ SELECT seq, json_extract_string(value, '$.common.mid') AS mid,
        json_extract_string(value, '$.common.vc') AS vc,
        CAST(json_extract_string(value, '$.ts') AS BIGINT) AS ts,
        strftime(make_timestamp(CAST(json_extract_string(value, '$.ts') AS BIGINT) * 1000), '%Y-%m-%d') AS dt
-FROM ({ROUTED}) WHERE topic = '{START_TOPIC}'"""
+FROM ({ROUTED}) WHERE topic = 'GMALL_START'"""
 
 DAU_FIRST = f"""
 SELECT dt, mid, uid, ar, ch, vc, ts, seq FROM (

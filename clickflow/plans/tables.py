@@ -18,31 +18,8 @@ COLUMNS = {
 }
 
 
-# Not spread: fixed-size dimensions, and documents, whose large texts cost
-# more to shuffle than the filters that run on them in the scan (measured:
-# doc_search 2.0 s unspread vs 2.7 s spread at sf0.1).
-NO_SPREAD = {"nation", "region", "documents"}
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on a scan that yields fewer splits than cores.
-
-    The test tables are single-row-group files, i.e. one task per scan,
-    while the per-row work on them (JSON, text, hashing) is CPU-bound. On a
-    cluster the same scan yields thousands of splits and this is a no-op.
-    Round-robin repartitioning is sorted first by Spark, so a retried task
-    gets the same rows.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- e.g. no RDD access on a remote session
-        return df
-    return df.repartition(target) if n < target else df
-
-
 # One lazy scan per (application, table): the test tables are read-only, so
-# the footer read, file listing and spread check happen once, not per query.
+# the footer read and file listing happen once, not per query.
 _SCANS: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -58,8 +35,7 @@ class Tables:
         if key not in _SCANS:
             df = self.spark.read.parquet(path)
             cols = COLUMNS.get(name)
-            df = df.select(*cols) if cols else df
-            _SCANS[key] = df if name in NO_SPREAD else spread(df)
+            _SCANS[key] = df.select(*cols) if cols else df
         return _SCANS[key]
 
     # reference inputs ----------------------------------------------------

@@ -1,7 +1,8 @@
 """Goldens for the ad-click jobs on the 143-row sample click log (FIXTURES.md §3).
 
 The sample is not part of this repository: point ``CLICKFLOW_AD_SAMPLE`` at
-the CSV to run these tests; they are skipped otherwise.
+the CSV to run the tests on it. ``test_hand_made_sample`` has rows of the same
+shape (one user over the cap, others below) and always runs.
 """
 
 import os
@@ -61,3 +62,26 @@ def test_province_windows(clicks):
 def test_poly_hash_golden(spark):
     v = spark.range(1).select(poly_hash(F.lit("937166")).alias("h")).first().h
     assert v == 5543688
+
+
+def test_hand_made_sample(spark):
+    """100 clicks of one user on one ad pass, the 101st warns, the rest drops;
+    another ad, another user and the next UTC day start anew."""
+    day = 1_511_654_400
+    lines = [f"937166,1715,beijing,beijing,{day + i}" for i in range(120)]
+    lines += [f"937166,20,beijing,beijing,{day + i}" for i in range(3)]
+    lines += [f"5,1715,hebei,x,{day + 7}", f"937166,1715,beijing,beijing,{day + 86_400}", "bad,row"]
+    df = spark.createDataFrame(list(enumerate(lines)), "n long, value string")
+    parsed = scans.good(scans.parse_ad_click_lines(df.orderBy("n").select("value").coalesce(1)))
+    clicks = parsed.withColumn("seq", F.coalesce("seq", F.monotonically_increasing_id()))
+    out = ads.ad_click_outcomes(clicks, cap=100)
+    assert {r.outcome: r["count"] for r in out.groupBy("outcome").count().collect()} == \
+        {"pass": 105, "warn": 1, "drop": 19}
+    warns = ads.ad_click_warnings(clicks, cap=100).collect()
+    assert [(w.user_id, w.ad_id, w.warning, w.ts_sec) for w in warns] == \
+        [(937166, 1715, "click over100次", day + 100)]
+    passed = ads.ad_click_cap(clicks, cap=100)
+    assert passed.count() == 105
+    w = ads.ad_clicks_by_province(passed)
+    assert {r.province: r["sum(count)"] for r in w.groupBy("province").sum("count").collect()} == \
+        {"beijing": 104 * 12, "hebei": 12}

@@ -3,6 +3,7 @@ brute-force definitions."""
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from clickflow.functions.time import previous_day_key
 from clickflow.operators import behavior as bh
 from clickflow.operators import cdc, dau, orders, search
 from clickflow.operators.windows import (
-    rank_in_group, sliding_counts, sliding_counts_sweep, top_k,
+    first_in_group, rank_in_group, sliding_counts, sliding_counts_sweep, top_k,
 )
 from clickflow.sources import scans
 from conftest import rows
@@ -146,6 +147,59 @@ def test_bad_lines_are_flagged_not_fatal(spark):
     assert scans.bad(p).count() == 1
 
 
+def test_first_in_group_equals_row_number(spark):
+    df = _random_events(spark)
+    for k, buckets in [(1, 64), (3, 1), (10, 7)]:
+        got = first_in_group(df, ["k"], ["ts_sec", "seq"], k, "r", buckets)
+        want = df.withColumn("r", F.row_number().over(
+            Window.partitionBy("k").orderBy("ts_sec", "seq"))).where(F.col("r") <= k)
+        assert rows(got, ["seq", "r"]) == rows(want, ["seq", "r"])
+
+
+@pytest.mark.parametrize("panes", [12, 64, 65])
+def test_both_window_forms_agree_around_the_switch(spark, panes):
+    df = _random_events(spark, 800)
+    slide = 60_000
+    both = [rows(sliding_counts(df, ["k"], "ts_ms", panes * slide, slide, sweep=s))
+            for s in (False, True, None)]
+    assert both[0] == both[1] == both[2]
+
+
+def test_malformed_json_is_quarantined(spark):
+    order = '{"id":1,"user_id":2,"create_time":"2024-01-01 00:00:00"}'
+    lines = [order, '{"id":', "", None, '{"id":"x"}', '{"user_id":3}', "[1]"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "n int, value string")
+    d = scans.decode_orders(df, keep=["n", "value"])
+    assert [r.n for r in scans.good(d).collect()] == [0]
+    assert sorted((r.n, r.value) for r in scans.bad(d).collect()) == list(enumerate(lines))[1:]
+    env = spark.createDataFrame([('{"table":"t","data":{"a":1}}',), ("{oops",), ('{"table":"t"}',)],
+                                "value string")
+    assert [r.value for r in cdc.bad_envelopes(env).collect()] == ["{oops"]
+    assert [r.value for r in cdc.cdc_split_object(env).collect()] == ['{"a":1}']
+    logs = spark.createDataFrame([(1, '{"common":{"mid":"m"},"start":{},"ts":1}'), (2, "{x")],
+                                 "seq long, value string")
+    assert [r.seq for r in dau.bad_app_logs(logs).collect()] == [2]
+    assert [r.seq for r in dau.dau_first(logs).collect()] == [1]
+
+
+def test_dedup_metrics_count_a_missing_device_like_dau_first(spark):
+    logs = spark.createDataFrame(
+        [(i, '{"common":{%s},"start":{},"ts":5}' % m) for i, m in
+         enumerate(['"mid":"a"', '"uid":"u"', '"uid":"v"'])], "seq long, value string")
+    m = dau.dedup_metrics(logs).first()
+    assert (m.rows_before, m.rows_after) == (3, 2) and dau.dau_first(logs).count() == 2
+
+
+def test_search_inside_structs_and_by_any_column(spark):
+    docs = spark.createDataFrame(
+        [(1, "red", "en", 3, [("a", 1)]), (2, "red red", "en", 7, [("b", 2)]),
+         (3, "red !", "en", 5, [("a", 3), ("b", 4)]), (4, "red", "en", 3, None)],
+        "doc_id long, text string, lang string, n_chars long, parts array<struct<name:string,n:int>>")
+    got = search.doc_search(docs, "red", where=search.element_match("parts", "name", "a"),
+                            order_by=[F.asc("doc_id")])
+    assert [r.doc_id for r in got.collect()] == [1, 3]
+
+
 def test_doc_search_highlight(spark):
     docs = spark.createDataFrame(
         [(1, "Red fox, red.", "en", 13), (2, "reddish", "en", 7), (3, "red", "de", 3)],

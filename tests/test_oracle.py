@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from clickflow.operators import behavior as bh
 from clickflow.plans.oracle import all_sql
 from clickflow.plans.queries import all_queries
 from conftest import SF_SMALL
@@ -75,3 +76,13 @@ def test_uv_approx_within_tolerance(spark):
     assert exact.keys() == approx.keys()
     for k, v in exact.items():
         assert math.isclose(approx[k], v, rel_tol=0.05, abs_tol=1)
+
+
+def test_uv_approx_on_a_large_hour(spark):
+    """20,000 visitors in one hour: within three standard errors of the sketch."""
+    from pyspark.sql import functions as F
+    b = spark.range(60_000).select((F.col("id") % 20_000).alias("user_id"), F.lit("pv").alias("behavior"),
+                                   (F.col("id") % 3600).alias("ts_sec"))
+    got = bh.uv_hourly_approx(b).first()["count"]
+    assert got != 20_000 and math.isclose(got, 20_000, rel_tol=0.15)
+    assert math.isclose(bh.uv_hourly_approx(b, rsd=0.01).first()["count"], 20_000, rel_tol=0.03)
