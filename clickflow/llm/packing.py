@@ -20,6 +20,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -29,7 +30,7 @@ BLOCK_TOKENS = 1 << 18     # tokens packed together, at least (one document more
 STEP_TOKENS = 1 << 16      # tokens of a step group
 CACHE_CHUNKS = 600_000     # blank-separated chunks whose ids a worker remembers
 CACHE_PIECES = 300_000     # and pieces
-TEXT_BATCH = 1 << 20       # characters tokenised together
+TEXT_BATCH = 1 << 21       # characters tokenised together
 
 # Characters whose lower case and class are the same for the tokenizer's
 # normaliser and for Python: ASCII (but four control characters that only
@@ -67,16 +68,17 @@ class IdStore:
         self.used += len(ids)
         self.index.update(zip(strings, range(n, m)))
 
-    def ids(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all lists in a row, number of ids of each list)."""
-        counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(lists)), np.int64,
-                         counts.sum())
-        sizes = self.size[at]
+    def ids(self, strings: list[str], order: np.ndarray | None = None
+            ) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all strings in a row, number of ids of each); ``order`` names
+        strings by position, to repeat or rearrange them."""
+        at = np.fromiter(map(self.index.__getitem__, strings), np.int64, len(strings))
+        starts, sizes = self.start[at], self.size[at]
+        if order is not None:
+            starts, sizes = starts[order], sizes[order]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.start[at] - (ends - sizes), sizes) + np.arange(total)]
-        return ids, np.diff(np.concatenate(([0], ends))[np.cumsum(counts)], prepend=0)
+        return self.flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)], sizes
 
     def trim(self) -> None:
         if len(self.index) > self.most:
@@ -116,8 +118,10 @@ class WordTokenizer:
         """Remember chunks of plain characters by way of their pieces, which go
         to the tokenizer many at a time."""
         lists = [_PIECE.findall(c) for c in plain]
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        pieces = list(chain.from_iterable(lists))
         known = self.pieces.index
-        new = [p for p in set(chain.from_iterable(lists)) if p not in known]
+        new = [p for p in set(pieces) if p not in known]
         for lo in range(0, len(new), 5000):
             part = new[lo:lo + 5000]
             ids = self._whole(" ".join(part))
@@ -126,37 +130,55 @@ class WordTokenizer:
                 self.pieces.add(part, ids, np.diff(stop, prepend=0))
             else:
                 self._each(self.pieces, part)
-        self.chunks.add(plain, *self.pieces.ids(lists))
+        ids, sizes = self.pieces.ids(pieces)
+        self.chunks.add(plain, ids, _sums(sizes, counts))
         self.pieces.trim()
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of every text, without special tokens around it."""
-        lists: list[list[str]] = []
-        plain: set[str] = set()
-        odd: set[str] = set()
-        for t in texts:
-            if _SPECIAL in t:
-                lists.append([])
-            elif _ODD.search(t):
-                lists.append([x for x in _BLANKS.split(t) if x])
-                odd.update(lists[-1])
-            else:
-                lists.append(t.lower().split())
-                plain.update(lists[-1])
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts of plain characters. Arrow cuts them at blanks and
+        numbers the distinct chunks, so only those are looked up."""
+        lists = pc.ascii_split_whitespace(pc.utf8_lower(pa.array(texts, pa.large_string())))
+        coded = lists.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
         known = self.chunks.index
-        new = [c for c in plain if c not in known]
+        new = [c for c in chunks if c not in known]
         if new:
             self._learn(new)
-        self._each(self.chunks, [c for c in odd if c not in known])
-        ids, sizes = self.chunks.ids(lists)
-        out = np.split(ids, np.cumsum(sizes)[:-1]) if texts else []
+        ids, sizes = self.chunks.ids(chunks, coded.indices.to_numpy())
+        counts = np.diff(lists.offsets.to_numpy())
+        return np.split(ids, np.cumsum(_sums(sizes, counts))[:-1])
+
+    def _odd(self, text: str) -> np.ndarray:
+        """Ids of a text with other characters, cut at ASCII blanks."""
+        chunks = [x for x in _BLANKS.split(text) if x]
+        known = self.chunks.index
+        self._each(self.chunks, [c for c in dict.fromkeys(chunks) if c not in known])
+        return self.chunks.ids(chunks)[0]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of every text, without special tokens around it."""
+        out: list[np.ndarray | None] = [None] * len(texts)
+        plain = []
         for i, t in enumerate(texts):
             if _SPECIAL in t:
                 out[i] = self._whole(t)
+            elif _ODD.search(t):
+                out[i] = self._odd(t)
+            else:
+                plain.append(i)
+        if plain:
+            for i, ids in zip(plain, self._plain([texts[i] for i in plain])):
+                out[i] = ids
         self.chunks.trim()
         return out
 
 
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of runs of ``counts`` values."""
+    total = np.concatenate(([0], np.cumsum(values)))
+    return np.diff(total[np.cumsum(counts)], prepend=0)
+
+
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
