@@ -14,10 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.sqltext import ascii_lower, let, save_shared, words
+from clickflow.llm.sqltext import ascii_lower, let, save_shared, split_words, words
 
 # ASCII letters and digits, and everything beyond ASCII, make words.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The same words in a text that is not lower-cased.
 ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 N = 10
@@ -28,12 +28,16 @@ MAX_SET_ROWS = 1_000_000
 
 
 def item_words(text: Column) -> Column:
-    return words(ascii_lower(text), WORD)
+    return split_words(ascii_lower(text), SEPARATORS)
 
 
-def _window_hash(w: Column, i: Column, n: int) -> Column:
-    """Hash of the ``n`` words from position ``i`` (0-based)."""
-    return F.xxhash64(*[w[i + j] for j in range(n)])
+def word_hashes(w: Column) -> Column:
+    return F.transform(w, lambda x: F.xxhash64(x))
+
+
+def _window_hash(hashes: Column, i: Column, n: int) -> Column:
+    """Hash of the window of ``n`` words from position ``i`` (0-based)."""
+    return F.xxhash64(F.lit(n), *[hashes[i + j] for j in range(n)])
 
 
 def window_set(benchmark: DataFrame, n: int = N) -> DataFrame:
@@ -44,8 +48,8 @@ def window_set(benchmark: DataFrame, n: int = N) -> DataFrame:
                          item_words(F.col("text")).alias("w")).where(F.size("w") > 0)
     b = b.withColumn("size", F.least(F.size("w"), F.lit(n)))
     starts = F.explode(F.sequence(F.lit(0), F.size("w") - F.col("size")))
-    b = b.select("item", "w", "size", starts.alias("i"))
-    h = F.coalesce(*[F.when(F.col("size") == k, _window_hash(F.col("w"), F.col("i"), k))
+    b = b.select("item", "w", word_hashes(F.col("w")).alias("wh"), "size", starts.alias("i"))
+    h = F.coalesce(*[F.when(F.col("size") == k, _window_hash(F.col("wh"), F.col("i"), k))
                      for k in range(n, 0, -1)])
     window = F.array_join(F.slice("w", F.col("i") + 1, F.col("size")), " ")
     return (b.select("size", h.alias("h"), window.alias("window"), "item")
@@ -58,13 +62,15 @@ def _layout(sizes: list[int]) -> tuple[Column, Column, Column]:
     leading NULL, and the (size, start) of array position ``p``."""
     w = F.col("w")
     count = [F.greatest(F.size(w) - k + 1, F.lit(0)) for k in sizes]
-    parts = [F.array(F.lit(None).cast("long"))]
 
-    def hashes(k: int) -> Column:
-        return F.when(F.size(w) >= k, F.transform(
-            F.sequence(F.lit(0), F.size(w) - k), lambda i: _window_hash(w, i, k))).otherwise(F.array().cast("array<long>"))
+    def windows(h: Column, k: int) -> Column:
+        return F.when(F.size(h) >= k, F.transform(
+            F.sequence(F.lit(0), F.size(h) - k), lambda i: _window_hash(h, i, k))
+        ).otherwise(F.array().cast("array<long>"))
+
+    def laid_out(h: Column) -> Column:
+        return F.concat(F.array(F.lit(None).cast("long")), *[windows(h, k) for k in sizes])
 
-    parts += [hashes(k) for k in sizes]
     at, size, start = F.lit(1), None, None
     for k, c in zip(sizes, count):
         inside = F.col("p") < at + c
@@ -72,12 +78,13 @@ def _layout(sizes: list[int]) -> tuple[Column, Column, Column]:
         size = F.when(inside, k) if size is None else size.when(inside, k)
         start = F.when(inside, here) if start is None else start.when(inside, here)
         at = at + c
-    return F.concat(*parts), size, start
+    return let(word_hashes(w), laid_out), size, start
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N,
               max_set_rows: int = MAX_SET_ROWS, keep: list[str] | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc (a struct of its columns ``keep``, by
+    """One row per row of ``docs`` (a scan or written table, so that a task that
+    runs again sees its rows in the same order): doc (a struct of its columns ``keep``, by
     default all), n_words, hits (sorted (start, size) word windows) and items
     (sorted ids as strings).
 
@@ -100,7 +107,9 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N,
 
     def probe(part: int) -> DataFrame:
         g = grams if rounds == 1 else grams.where(F.pmod("h", F.lit(rounds)) == part)
-        same = ((F.col("dh") == F.col("h")) & (F.col("size") == size)
+        g = g.select("h", "window", "items")
+        # one long to probe by; the words are compared on a hit only
+        same = ((F.col("dh") == F.col("h"))
                 & (F.array_join(F.slice("w", start + 1, size), " ") == F.col("window")))
         j = d.join(F.broadcast(g), same, "left")
         found = F.col("items").isNotNull()
