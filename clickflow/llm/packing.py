@@ -24,13 +24,15 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from clickflow.llm.sqltext import small_batches
+
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
 BLOCK_TOKENS = 1 << 18     # tokens packed together, at least (one document more at most)
 STEP_TOKENS = 1 << 16      # tokens of a step group
 CACHE_CHUNKS = 600_000     # blank-separated chunks whose ids a worker remembers
 CACHE_PIECES = 300_000     # and pieces
-TEXT_BATCH = 1 << 21       # characters tokenised together
+TEXT_BATCH = 1 << 22       # characters tokenised together
 
 # Characters whose lower case and class are the same for the tokenizer's
 # normaliser and for Python: ASCII (but four control characters that only
@@ -68,14 +70,12 @@ class IdStore:
         self.used += len(ids)
         self.index.update(zip(strings, range(n, m)))
 
-    def ids(self, strings: list[str], order: np.ndarray | None = None
-            ) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all strings in a row, number of ids of each); ``order`` names
-        strings by position, to repeat or rearrange them."""
-        at = np.fromiter(map(self.index.__getitem__, strings), np.int64, len(strings))
+    def ids(self, at: np.ndarray | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all strings in a row, number of ids of each); strings may be
+        given by their numbers."""
+        if isinstance(at, list):
+            at = np.fromiter(map(self.index.__getitem__, at), np.int64, len(at))
         starts, sizes = self.start[at], self.size[at]
-        if order is not None:
-            starts, sizes = starts[order], sizes[order]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         return self.flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)], sizes
@@ -107,7 +107,9 @@ class WordTokenizer:
         self.chunks, self.pieces = IdStore(CACHE_CHUNKS), IdStore(CACHE_PIECES)
 
     def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        # the fast form skips offsets, which nothing here needs
+        found = self.tok.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, dtype=np.uint32)
 
     def _each(self, store: IdStore, strings: list[str]) -> None:
         if strings:
@@ -140,11 +142,15 @@ class WordTokenizer:
         lists = pc.ascii_split_whitespace(pc.utf8_lower(pa.array(texts, pa.large_string())))
         coded = lists.flatten().dictionary_encode()
         chunks = coded.dictionary.to_pylist()
-        known = self.chunks.index
-        new = [c for c in chunks if c not in known]
+        at = list(map(self.chunks.index.get, chunks))
+        new = [i for i, a in enumerate(at) if a is None]
         if new:
-            self._learn(new)
-        ids, sizes = self.chunks.ids(chunks, coded.indices.to_numpy())
+            self._learn([chunks[i] for i in new])
+            n = len(self.chunks.index) - len(new)
+            for i in new:
+                at[i] = n
+                n += 1
+        ids, sizes = self.chunks.ids(np.array(at, dtype=np.int64)[coded.indices.to_numpy()])
         counts = np.diff(lists.offsets.to_numpy())
         return np.split(ids, np.cumsum(_sums(sizes, counts))[:-1])
 
@@ -316,23 +322,27 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, fields.values())], list(fields))
 
+        def pack(docs: list[int | None], texts: list[str]) -> None:
+            for doc, t in zip(docs, tok.encode(texts)):
+                write(packer.add(doc, np.append(t, np.uint32(END_ID))))
+                if packer.tokens >= BLOCK_TOKENS:
+                    write(packer.flush())
+
+        docs, texts, size = [], [], 0
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1)
-            lo = 0
-            while lo < len(ids):
-                part, size = [], 0
-                while lo + len(part) < len(ids) and (not part or size < TEXT_BATCH):
-                    part.append(texts[lo + len(part)].as_py() or "")
-                    size += len(part[-1])
-                for doc, t in zip(ids[lo:lo + len(part)], tok.encode(part)):
-                    write(packer.add(doc, np.append(t, np.uint32(END_ID))))
-                    if packer.tokens >= BLOCK_TOKENS:
-                        write(packer.flush())
-                lo += len(part)
-                if len(rows) >= 5000:
-                    yield emit()
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
+                docs.append(doc)
+                texts.append(text.as_py() or "")
+                size += len(texts[-1])
+                if size >= TEXT_BATCH:
+                    pack(docs, texts)
+                    docs, texts, size = [], [], 0
+            if len(rows) >= 5000:
+                yield emit()
+        pack(docs, texts)
         write(packer.finish())
         yield emit()
 
+    small_batches(docs.sparkSession)
     schema = SCHEMA + (", ids array<int>" if with_ids else "")
     return docs.select("doc_id", "text").mapInArrow(run, schema)
