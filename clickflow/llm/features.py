@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.flat import Flat, as_bytes, byte_table, chunks
-from clickflow.llm.sqltext import crc_fold
+from clickflow.llm.flat import Flat, as_bytes, byte_table, chunks, release_memory
+from clickflow.llm.sqltext import crc_fold, small_batches
 
 Extract = Callable[[list[bytes]], np.ndarray]
 
@@ -111,10 +111,28 @@ def feature_rows(docs: DataFrame, extract: Extract, keep: list[str]) -> DataFram
                 rows = pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays(
                     [*[b.column(c).slice(lo, hi - lo) for c in keep], rows], [*keep, "x"])
+            release_memory()
 
+    small_batches(docs.sparkSession)
     return docs.select(*keep, "text").mapInArrow(run, schema)
 
 
+def keep_rows(docs: DataFrame, wanted: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
+    """The rows of ``docs`` whose text ``wanted`` (a mask for texts) holds for;
+    all columns as they are."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = as_bytes(b.column(at))
+            for lo, hi in chunks(texts):
+                yield b.slice(lo, hi - lo).filter(pa.array(wanted(texts[lo:hi])))
+            release_memory()
+
+    small_batches(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)
+
+
 def sample_ids(labels: DataFrame, label: str, max_rows: int) -> DataFrame:
     """doc_id and y of at most ``max_rows`` labelled documents outside the
     held-out fold, in the order of a hash of the id. Several labels of an id

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK_BYTES = 1 << 20   # texts are taken in chunks of about this many bytes
+CHUNK_BYTES = 1 << 19   # texts are taken in chunks of about this many bytes
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _U = np.uint64
@@ -143,6 +143,19 @@ class Flat:
         return np.bincount(self.doc, weights=values, minlength=self.n)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: workers are reused and stay, and
+    an executor runs several of them beside its heap."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):   # not this C library
+        pass
+
+
 def as_bytes(column) -> list[bytes]:
     """An Arrow string column as UTF-8 bytes; NULL is empty."""
     import pyarrow as pa

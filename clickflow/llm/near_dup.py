@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm.components import connected_components
-from clickflow.llm.flat import Flat, as_bytes, chunks, mix
-from clickflow.llm.sqltext import save_shared
+from clickflow.llm.flat import Flat, as_bytes, chunks, mix, release_memory
+from clickflow.llm.sqltext import save_shared, small_batches
 
 MISS = 1e-5            # chance that no tree joins a pair right at the threshold
 CLUSTER = 32           # classes compared exhaustively
@@ -105,6 +105,7 @@ def sketch(docs: DataFrame, k: int, trees: int, path: int) -> DataFrame:
                 [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(fp, pa.string()),
                  pa.ListArray.from_arrays(pa.array(at), pa.array(flat))],
                 ["doc_id", "rk", "n", "fp", "keys"])
+            release_memory()
 
     d = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("rk"), "text")
     id_type = dict(d.dtypes)["doc_id"]
@@ -123,6 +124,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_fingerprint(s) for s in sets], pa.string()),
                  pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], ["fp", "tokens"])
+            release_memory()
 
     keys = wanted.select("rk").distinct()
     few = wanted.count() <= BROADCAST_ROWS
@@ -261,6 +263,7 @@ def _large_links(sets: DataFrame, percent: int) -> list[DataFrame]:
 def duplicate_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(sketch rows, classes): sketch rows are doc_id, rk, n and fp of every row
     of ``docs``; classes map each fp that is repeated or linked to its root."""
+    small_batches(docs.sparkSession)
     path = path_length(docs.count())
     trees = trees_for(percent, path)
     rows = save_shared(sketch(docs, k, trees, path), "near-sketch")
@@ -319,11 +322,12 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> Data
     ranked = ranked.groupBy("rk", "keep").agg(F.count(F.lit(1)).alias("rows"))
     # rows to take out: all but the first, and repeats of the first
     out = save_shared(ranked.where("not keep or rows > 1"), "near-out")
-    d = docs.select("*", row_key(F.col("doc_id"), F.col("text")).alias("_rk"))
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                    row_key(F.col("doc_id"), F.col("text")).alias("rk"))
     few = out.count() <= BROADCAST_ROWS
-    gone = out.select(F.col("rk").alias("_rk"))
-    kept = d.join(F.broadcast(gone) if few else gone, "_rk", "left_anti")
-    again = out.where("keep").select(F.col("rk").alias("_rk"))
+    gone = out.select("rk")
+    kept = d.join(F.broadcast(gone) if few else gone, "rk", "left_anti")
+    again = out.where("keep").select("rk")
     if not again.isEmpty():
-        kept = kept.unionByName(d.join(again, "_rk", "left_semi").dropDuplicates(["_rk"]))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+        kept = kept.unionByName(d.join(again, "rk", "left_semi").dropDuplicates(["rk"]))
+    return kept.select(*[F.col("doc")[c].alias(c) for c in docs.columns])

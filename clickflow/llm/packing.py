@@ -24,14 +24,15 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from clickflow.llm.flat import release_memory
 from clickflow.llm.sqltext import small_batches
 
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
 BLOCK_TOKENS = 1 << 18     # tokens packed together, at least (one document more at most)
 STEP_TOKENS = 1 << 16      # tokens of a step group
-CACHE_CHUNKS = 600_000     # blank-separated chunks whose ids a worker remembers
-CACHE_PIECES = 300_000     # and pieces
+CACHE_CHUNKS = 400_000     # blank-separated chunks whose ids a worker remembers
+CACHE_PIECES = 200_000     # and pieces
 TEXT_BATCH = 1 << 22       # characters tokenised together
 
 # Characters whose lower case and class are the same for the tokenizer's
@@ -342,6 +343,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...]
         pack(docs, texts)
         write(packer.finish())
         yield emit()
+        release_memory()
 
     small_batches(docs.sparkSession)
     schema = SCHEMA + (", ids array<int>" if with_ids else "")

@@ -16,8 +16,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.features import (QUALITY, collect_sample, feature_rows, quality_features,
-                                    sample_ids)
+from clickflow.llm.features import (QUALITY, collect_sample, feature_rows, keep_rows,
+                                    quality_features, sample_ids)
 from clickflow.llm.sqltext import held_out
 
 SAMPLE_ROWS = 20_000   # labelled documents the model is fitted on, at most
@@ -163,16 +163,15 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS)
     return fit_gam(*collect_sample(rows, max_rows, len(QUALITY)))
 
 
-def score_documents(docs: DataFrame, model: Gam, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (default doc_id) and score per row of ``docs``: every whole text,
-    also empty and NULL ones; repeated rows give one each."""
-    keep = keep or ["doc_id"]
+def score_documents(docs: DataFrame, model: Gam) -> DataFrame:
+    """doc_id and score per row of ``docs``: every whole text, also empty and
+    NULL ones; repeated rows give one each."""
 
     def extract(texts: list[bytes]) -> np.ndarray:
         return model.score(quality_features(texts))[:, None]
 
-    rows = feature_rows(docs, extract, keep)
-    return rows.select(*keep, F.col("x")[0].alias("score"))
+    rows = feature_rows(docs, extract, ["doc_id"])
+    return rows.select("doc_id", F.col("x")[0].alias("score"))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -184,8 +183,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows scored below ``threshold``; same columns."""
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                        F.col("text"))
-    s = score_documents(plain, fit_quality(docs, labels), ["row"])
-    return s.where(F.col("score") >= threshold).select(
-        *[F.col("row")[c].alias(c) for c in docs.columns])
+    model = fit_quality(docs, labels)
+    return keep_rows(docs, lambda texts: model.score(quality_features(texts)) >= threshold)
