@@ -66,6 +66,17 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Put this package's folder on the Python workers' path, where they see
+    the same folder (one machine, or an installation at the same place). A
+    cluster without that needs the package installed or in ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def sub_dir(spark: SparkSession, *parts: str) -> str:
     """A path below the shared folder (used for stream checkpoints, staging)."""
     base = shared_dir(spark).rstrip("/")

@@ -1,9 +1,12 @@
 """Sinks (K1-K5): topics, bulk document upsert, raw archive, ranked batches."""
 
 from clickflow.sinks.writers import (
-    archive_logs, ranked_batches, replay_file_to_topic, rerank_windows, update_user_state,
-    upsert_docs, write_topic,
+    archive_logs, compact, init_user_state, latest_ranks, path_exists, ranked_batches,
+    read_user_state, replay_file_to_topic, rerank_windows, stored_before, touched_buckets,
+    update_user_state, upsert_docs, write_batch, write_topic,
 )
 
-__all__ = ["archive_logs", "ranked_batches", "replay_file_to_topic", "rerank_windows",
-           "update_user_state", "upsert_docs", "write_topic"]
+__all__ = ["archive_logs", "compact", "init_user_state", "latest_ranks", "path_exists",
+           "ranked_batches", "read_user_state", "replay_file_to_topic", "rerank_windows",
+           "stored_before", "touched_buckets", "update_user_state", "upsert_docs", "write_batch",
+           "write_topic"]

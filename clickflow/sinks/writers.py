@@ -1,4 +1,12 @@
-"""Batch writers, also used from ``foreachBatch`` for streams."""
+"""Batch writers, also used from ``foreachBatch`` for streams.
+
+Tables written batch by batch are append-only: micro-batch ``n`` owns the
+folder ``batch_id=n`` and overwrites only that, so a replayed batch writes the
+same rows again and nothing stored by another batch is ever touched. What
+earlier batches stored is read with ``batch_id < n``. A failed read raises;
+only a path that does not exist counts as an empty table. Compact such a
+table off line with ``compact``.
+"""
 
 from __future__ import annotations
 
@@ -6,22 +14,60 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickflow.operators.windows import top_k
-from clickflow.session import shared_dir
+
+BATCH = "batch_id"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system; other errors surface."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
+
+
+def stored_before(spark: SparkSession, path: str, schema: T.StructType,
+                  batch_id: int | None = None) -> DataFrame:
+    """The rows of an append-only table that batches before ``batch_id`` (all
+    for None) stored, with their ``batch_id``; no rows if there is no table."""
+    full = T.StructType([f for f in schema.fields if f.name != BATCH]
+                        + [T.StructField(BATCH, T.LongType())])
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], full)
+    d = spark.read.schema(full).parquet(path)
+    return d if batch_id is None else d.where(F.col(BATCH) < batch_id)
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None) -> None:
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{path}/{BATCH}={batch_id}")
+
+
+def compact(spark: SparkSession, path: str, out: str, schema: T.StructType,
+            partition_by: list[str] | None = None) -> None:
+    """Off line: the table's rows as one batch (``batch_id=-1``) of ``out``."""
+    write_batch(stored_before(spark, path, schema).drop(BATCH), out, -1, partition_by)
 
 
 def write_topic(df: DataFrame, *, kind: str = "files", path: str | None = None,
                 servers: str | None = None) -> None:
-    """K1: write (topic, value) rows to their topics.
+    """K1: write (topic, value[, key]) rows to their topics.
 
     ``kind='kafka'`` uses the Kafka sink (connector on the classpath, with
-    idempotent producers if the cluster enables them); ``kind='files'``
-    writes one folder per topic, the stand-in used where no broker exists.
+    idempotent producers if the cluster enables them) and sends the message
+    key where the rows have one; ``kind='files'`` writes one folder per topic,
+    the stand-in used where no broker exists (text lines, or JSON lines of key
+    and value where the rows have a key).
     """
+    keyed = "key" in df.columns
     if kind == "kafka":
-        (df.select("topic", "value").write.format("kafka")
+        (df.select("topic", *(["key"] if keyed else []), "value").write.format("kafka")
          .option("kafka.bootstrap.servers", servers).save())
+    elif keyed:
+        df.select("topic", "key", "value").write.mode("append").partitionBy("topic").json(path)
     else:
         df.select("topic", "value").write.mode("append").partitionBy("topic").text(path)
 
@@ -36,35 +82,24 @@ def archive_logs(df: DataFrame, path: str) -> None:
     df.select("dt", "value").write.mode("append").partitionBy("dt").text(path)
 
 
-def upsert_docs(batch: DataFrame, path: str, key: str = "id",
+def upsert_docs(batch: DataFrame, path: str, batch_id: int, key: str = "id",
                 partition: str = "dt") -> None:
-    """K3: idempotent bulk write of documents, partitioned by ``partition``.
-
-    Only the partitions the batch touches are rewritten: their current
-    documents plus the batch's new ones, keeping the existing document when
-    a key is already there (the first arrival wins, so a replayed batch
-    changes nothing). The merged rows are checkpointed to the shared folder
-    before the partitions are overwritten, because the overwrite replaces
-    the very files they were read from.
+    """K3: idempotent bulk write of documents, in folders per ``partition``.
+
+    The batch's documents whose key no earlier batch stored are appended under
+    ``batch_id``, so the first arrival wins and a replay changes nothing. Only
+    the partitions that the batch touches are read for their keys.
     """
     spark = batch.sparkSession
-    shared_dir(spark)  # checkpoint() below needs the shared folder
-    batch = batch.dropDuplicates([key])
+    batch = batch.dropDuplicates([key]).persist()
     try:
-        # the batch's schema keeps the partition column's type (no inference)
-        old = spark.read.schema(batch.schema).parquet(path)
-    except Exception:  # noqa: BLE001 -- first write: no table yet
-        old = None
-    if old is not None:
-        # the days a micro-batch touches: a handful of values
-        touched = batch.select(partition).distinct()
-        old_part = old.join(F.broadcast(touched), partition, "left_semi")
-        new_only = batch.join(old_part.select(key), key, "left_anti")
-        merged = old_part.unionByName(new_only).checkpoint()
-    else:
-        merged = batch
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition).parquet(path))
+        # the days of a micro-batch: a handful of values
+        days = [r[0] for r in batch.select(partition).distinct().collect()]
+        old = stored_before(spark, path, batch.schema, batch_id)
+        old = old.where(F.col(partition).isin(days)) if days else old.limit(0)
+        write_batch(batch.join(old.select(key), key, "left_anti"), path, batch_id, [partition])
+    finally:
+        batch.unpersist()
 
 
 def ranked_batches(path: str, partition_by: list[str], order_by: list, k: int,
@@ -77,41 +112,62 @@ def ranked_batches(path: str, partition_by: list[str], order_by: list, k: int,
     rewrites the same rows.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        ranked = top_k(batch, partition_by, order_by, k).select(*columns)
-        ranked.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        write_batch(top_k(batch, partition_by, order_by, k).select(*columns), path, batch_id)
     return write
 
 
 STATE_BUCKETS = 64
+USER_STATE = T.StructType([T.StructField("user_id", T.LongType()),
+                           T.StructField("if_consumed", T.StringType()),
+                           T.StructField("bucket", T.IntegerType())])
+
+
+def state_bucket(buckets: int = STATE_BUCKETS) -> F.Column:
+    return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def read_user_state(spark: SparkSession, path: str, batch_id: int | None = None,
+                    buckets: list[int] | None = None) -> DataFrame:
+    """J5's state: user_id, if_consumed as left by the batches before
+    ``batch_id``; with ``buckets`` only those folders are read. A user is
+    consumed ('1') once any batch says so."""
+    d = stored_before(spark, path, USER_STATE, batch_id)
+    if buckets is not None:
+        d = d.where(F.col("bucket").isin(buckets)) if buckets else d.limit(0)
+    return d.groupBy("user_id").agg(F.max("if_consumed").alias("if_consumed"))
+
 
+def init_user_state(state: DataFrame, path: str, buckets: int = STATE_BUCKETS) -> None:
+    """Store a state known before the first batch (as batch -1)."""
+    write_batch(state.select("user_id", "if_consumed", state_bucket(buckets)), path, -1, ["bucket"])
 
-def update_user_state(orders_batch: DataFrame, path: str,
+
+def touched_buckets(batch: DataFrame, buckets: int = STATE_BUCKETS) -> list[int]:
+    """The bucket numbers of a batch's users: at most ``buckets`` values."""
+    return [r[0] for r in batch.where("user_id is not null").select(state_bucket(buckets))
+            .distinct().collect()]
+
+
+def update_user_state(orders_batch: DataFrame, path: str, batch_id: int,
                       buckets: int = STATE_BUCKETS) -> None:
-    """J5 as a sink: after a batch of orders, every buyer is consumed ('1').
+    """J5 as a sink: every buyer of the batch is consumed ('1') from the next
+    batch on.
 
-    The state table is partitioned by a hash bucket of ``user_id``; only the
-    buckets holding this batch's buyers are read, merged and rewritten
-    (checkpointed first, since they are overwritten in place), so a batch
-    costs its buyers' buckets, not the whole user base. Re-running a batch
-    gives the same table.
+    The buyers that are not consumed yet are appended under ``batch_id``; only
+    their buckets are read and nothing is rewritten. Choose ``buckets`` by the
+    number of users (about a million users each) and keep it for a table's
+    life. Running a batch again stores the same rows.
     """
-    from clickflow.operators.orders import user_state_update
     spark = orders_batch.sparkSession
-    shared_dir(spark)
-    bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).alias("bucket")
-    buyers = orders_batch.select("user_id").distinct().withColumn("bucket", bucket)
-    schema = "user_id long, if_consumed string, bucket int"
+    buyers = (orders_batch.where("user_id is not null").select("user_id").distinct()
+              .select("user_id", state_bucket(buckets)).persist())
     try:
-        current = spark.read.schema(schema).parquet(path)
-        # the bucket numbers a batch touches: at most ``buckets`` values
-        current = current.join(F.broadcast(buyers.select("bucket").distinct()), "bucket",
-                               "left_semi")
-    except Exception:  # noqa: BLE001 -- first batch: no table yet
-        current = spark.createDataFrame([], schema)
-    merged = (user_state_update(buyers, current.select("user_id", "if_consumed"))
-              .withColumn("bucket", bucket.cast("int")).checkpoint())
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket").parquet(path))
+        known = read_user_state(spark, path, batch_id, touched_buckets(buyers, buckets))
+        new = buyers.join(known.where(F.lower("if_consumed") == "1"), "user_id", "left_anti")
+        write_batch(new.select("user_id", F.lit("1").alias("if_consumed"), "bucket"), path,
+                    batch_id, ["bucket"])
+    finally:
+        buyers.unpersist()
 
 
 def rerank_windows(counts_path: str, ranks_path: str, key: str, k: int,
@@ -119,29 +175,35 @@ def rerank_windows(counts_path: str, ranks_path: str, key: str, k: int,
     """A ``foreachBatch`` writer for rankings that re-fire (T2 with late data).
 
     In update mode a batch holds only the (key, window) counts that changed.
-    The writer keeps the latest count of every key per window in a table
-    partitioned by ``window_end``: it rewrites only the windows the batch
-    touches (their stored counts, with the batch's replacing old ones), then
-    re-ranks exactly those windows into ``ranks_path``. Each (key, window)
-    keeps one -- the latest -- count, unlike the reference, which ranked a
-    late url twice. Replaying a batch rewrites the same rows.
+    They are appended under ``batch_id``; the windows they touch are ranked
+    again from each key's latest count and appended to ``ranks_path``, whose
+    latest batch per window counts (``latest_ranks``). Each (key, window) has
+    one -- the latest -- count, unlike the reference, which ranked a late url
+    twice.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        shared_dir(spark)
-        batch = batch.select(key, "window_end", count_col)
-        # windows one micro-batch touches: bounded by its time span / slide
-        touched = batch.select("window_end").distinct()
+        batch = batch.select(key, "window_end", count_col).persist()
         try:
-            old = spark.read.schema(batch.schema).parquet(counts_path)
-            old = (old.join(F.broadcast(touched), "window_end", "left_semi")
-                   .join(batch.select(key, "window_end"), [key, "window_end"], "left_anti"))
-            merged = old.unionByName(batch).checkpoint()
-        except Exception:  # noqa: BLE001 -- first batch: no table yet
-            merged = batch
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("window_end").parquet(counts_path))
-        ranked = top_k(merged, ["window_end"], [F.desc(count_col), F.asc(key)], k)
-        (ranked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("window_end").parquet(ranks_path))
+            span = batch.agg(F.min("window_end").alias("lo"), F.max("window_end").alias("hi")).first()
+            write_batch(batch, counts_path, batch_id)
+            # windows one micro-batch touches: bounded by its time span / slide
+            touched = batch.select("window_end").distinct()
+            old = stored_before(spark, counts_path, batch.schema, batch_id).where(
+                F.col("window_end").between(span["lo"], span["hi"]))
+            old = old.join(touched, "window_end", "left_semi")
+            both = old.unionByName(batch.withColumn(BATCH, F.lit(batch_id).cast("long")))
+            latest = both.groupBy(key, "window_end").agg(
+                F.max_by(count_col, BATCH).alias(count_col))
+            write_batch(top_k(latest, ["window_end"], [F.desc(count_col), F.asc(key)], k),
+                        ranks_path, batch_id)
+        finally:
+            batch.unpersist()
     return write
+
+
+def latest_ranks(spark: SparkSession, ranks_path: str, schema: T.StructType) -> DataFrame:
+    """The current ranking of every window written by ``rerank_windows``."""
+    d = stored_before(spark, ranks_path, schema)
+    last = d.groupBy("window_end").agg(F.max(BATCH).alias(BATCH))
+    return d.join(last, ["window_end", BATCH]).drop(BATCH)

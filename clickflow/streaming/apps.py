@@ -10,13 +10,16 @@ taking a DataFrame do not care where it comes from).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clickflow import schemas
 from clickflow.operators import cdc, dau, orders
 from clickflow.session import sub_dir
-from clickflow.sinks import ranked_batches, update_user_state, upsert_docs
+from clickflow.sinks import (ranked_batches, read_user_state, touched_buckets, update_user_state,
+                             upsert_docs, write_batch)
+from clickflow.sinks.writers import STATE_BUCKETS
 from clickflow.sources import scans
 from clickflow.streaming import jobs
 from clickflow.streaming.run import DEFAULT_INTERVAL, start
@@ -25,16 +28,17 @@ ORDER_TOPIC = "ODS_ORDER_INFO"
 
 
 def dau_app(logs: DataFrame, docs_path: str, archive_path: str | None = None,
-            trigger: str = DEFAULT_INTERVAL, name: str = "dau") -> list[StreamingQuery]:
+            trigger: str = DEFAULT_INTERVAL, name: str = "dau",
+            delay: str = jobs.DEVICE_DELAY) -> list[StreamingQuery]:
     """E3 (and E2): app logs (``seq``, ``value``) -> first start log per
     (day, device) -> DAU documents upserted into a ``dt``-partitioned store
     (``dau.dau_total`` / ``dau_by_hour`` query it). With ``archive_path``
     every raw line is also archived by day (K5)."""
     spark = logs.sparkSession
-    firsts = jobs.dau_first_stream(logs)
+    firsts = jobs.dau_first_stream(logs, delay)
 
     def write_docs(batch: DataFrame, batch_id: int) -> None:
-        upsert_docs(dau.dau_docs(batch), docs_path)
+        upsert_docs(dau.dau_docs(batch), docs_path, batch_id)
 
     qs = [start(firsts, name, sink="foreach_batch", foreach_batch=write_docs, trigger=trigger,
                 checkpoint=sub_dir(spark, "streams", name))]
@@ -57,28 +61,33 @@ def cdc_app(envelopes: DataFrame, topics_path: str, form: str = "object",
 
 def order_app(order_values: DataFrame, state_path: str, provinces: DataFrame,
               users: DataFrame, out_path: str, trigger: str = DEFAULT_INTERVAL,
-              name: str = "orders") -> StreamingQuery:
+              name: str = "orders", buckets: int = STATE_BUCKETS,
+              bad_path: str | None = None) -> StreamingQuery:
     """E4, second hop: order JSON -> typed order (S8) with create date/hour
-    (P8), first-order flag from the user state table (J1), province and user
-    dimensions (J3, J4); then the state table marks the batch's buyers as
-    consumed (J5). Each micro-batch reads the state as of its start, so a
-    user's first batch of orders is flagged against the earlier state."""
+    (P8), first-order flag (J1), province and user dimensions (J3, J4); then
+    the batch's buyers are consumed (J5).
+
+    A user's first order is the earliest of the first batch that has one,
+    unless the state from before says consumed. The state a batch sees is
+    what earlier batches stored, in the buckets of its users, so a batch that
+    runs again flags its orders the same. Malformed records go to
+    ``bad_path`` if given."""
     spark = order_values.sparkSession
-    decoded = orders.order_time_parts(scans.decode_orders(order_values))
+    decoded = scans.decode_orders(order_values, keep=["value"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # two writes from one micro-batch: keep it while both run (a lost
         # block is recomputed from the batch's fixed source offsets)
         batch.persist()
         try:
-            try:
-                state = spark.read.schema("user_id long, if_consumed string").parquet(state_path)
-            except Exception:  # noqa: BLE001 -- no state yet
-                state = spark.createDataFrame([], "user_id long, if_consumed string")
+            if bad_path:
+                write_batch(scans.bad(batch).select("value"), bad_path, batch_id)
+            good = orders.order_time_parts(scans.good(batch).drop("value"))
+            state = read_user_state(spark, state_path, batch_id, touched_buckets(good, buckets))
             enriched = orders.order_with_user(orders.order_with_province(
-                orders.order_first_flag(batch, state), provinces), users)
-            enriched.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-            update_user_state(batch, state_path)
+                orders.order_first_flag(good, state, within_batch=True), provinces), users)
+            write_batch(enriched, out_path, batch_id)
+            update_user_state(good, state_path, batch_id, buckets)
         finally:
             batch.unpersist()
 
@@ -102,22 +111,32 @@ def hot_items_app(behaviors: DataFrame, out_path: str, k: int = 5,
                  checkpoint=sub_dir(behaviors.sparkSession, "streams", name))
 
 
-
 def ad_app(clicks: DataFrame, out_dir: str, cap: int = 100,
-           trigger: str = DEFAULT_INTERVAL, name: str = "ads") -> list[StreamingQuery]:
-    """Ad clicks: province counts over 1 h / 5 min windows of the clicks that
-    pass the per-(user, ad, day) cap (one query, chained state), and the
-    cap's warnings as a side output (``warnings``)."""
-    spark = clicks.sparkSession
-    counts = start(jobs.ad_clicks_by_province_one_query(clicks, cap), name, sink="parquet",
-                   path=f"{out_dir}/by_province", trigger=trigger,
-                   checkpoint=sub_dir(spark, "streams", name))
-
-    def write_warnings(batch: DataFrame, batch_id: int) -> None:
-        _, warns = jobs.split_ad_outcomes(batch)
-        warns.write.mode("overwrite").parquet(f"{out_dir}/warnings/batch_id={batch_id}")
-
-    warnings = start(jobs.ad_click_outcomes_stream(clicks, cap), f"{name}_warnings",
-                     sink="foreach_batch", foreach_batch=write_warnings, trigger=trigger,
-                     checkpoint=sub_dir(spark, "streams", f"{name}_warnings"))
-    return [counts, warnings]
+           trigger: str = DEFAULT_INTERVAL, name: str = "ads",
+           delay: str = jobs.DAY_DELAY) -> StreamingQuery:
+    """Ad clicks: one query keeps the per-(user, ad, day) cap's state and
+    writes both outputs of it, the passed clicks (``passed``) and the cap's
+    warnings (``warnings``), so they always agree. ``ad_province_app`` counts
+    the passed clicks."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()   # two outputs of one batch: the state runs once
+        try:
+            passed, warns = jobs.split_ad_outcomes(batch)
+            write_batch(passed, f"{out_dir}/passed", batch_id)
+            write_batch(warns, f"{out_dir}/warnings", batch_id)
+        finally:
+            batch.unpersist()
+
+    return start(jobs.ad_click_outcomes_stream(clicks, cap, delay), name, sink="foreach_batch",
+                 foreach_batch=write, trigger=trigger,
+                 checkpoint=sub_dir(clicks.sparkSession, "streams", name))
+
+
+def ad_province_app(spark: SparkSession, out_dir: str, trigger: str = DEFAULT_INTERVAL,
+                    name: str = "ads_province", delay: str = jobs.DAY_DELAY) -> StreamingQuery:
+    """Province counts over 1 h / 5 min windows of ``ad_app``'s passed clicks."""
+    passed = (spark.readStream.schema(schemas.AD_CLICK).parquet(f"{out_dir}/passed")
+              .select(*[f.name for f in schemas.AD_CLICK]))
+    return start(jobs.ad_clicks_by_province_stream(passed, delay=delay), name, sink="parquet",
+                 path=f"{out_dir}/by_province", trigger=trigger,
+                 checkpoint=sub_dir(spark, "streams", name))

@@ -7,6 +7,11 @@ watermark; windows are Spark's epoch-aligned ``window()``; results carry
 ``window_end`` as epoch ms like the batch forms, so stream and batch outputs
 compare directly.
 
+A row is late, and dropped and counted (``run.late_rows``), once it is older
+than the newest event time by more than ``delay``. Windowed counts default to
+the reference's ascending time; forms that keep state per day or hour default
+to twice that length, so a row is late only well after its day or hour is over.
+
 Output modes: windowed counts use ``append`` (one final row per window once
 the watermark passes its end); ``page_window_counts_stream`` uses
 ``update`` to reproduce the allowed-lateness re-fires.
@@ -27,6 +32,13 @@ from clickflow.streaming.state import NUMBER_COL, numbered, numbered_chainable
 DAY_MS = 86_400_000
 
 
+# Twice the key's length: a row is taken until the day (hour) after its own
+# is over.
+DAY_DELAY = "2 days"
+HOUR_DELAY = "2 hours"
+DEVICE_DELAY = "3 days"
+
+
 def with_event_time(df: DataFrame, delay: str = "0 seconds") -> DataFrame:
     """``ts`` from ``ts_sec`` (or ``ts_ms``) plus a watermark.
     ``'0 seconds'`` is the ascending-time extractor (max ts - 1 ms in the
@@ -43,9 +55,9 @@ def _end(w: str = "w") -> F.Column:
 # ---- behaviour ---------------------------------------------------------------
 
 def item_window_counts_stream(behaviors: DataFrame, size: str = "1 hour",
-                              slide: str = "5 minutes") -> DataFrame:
+                              slide: str = "5 minutes", delay: str = "0 seconds") -> DataFrame:
     """A1 streaming: item_id, window_end, count (append)."""
-    pv = with_event_time(bh.page_views(behaviors))
+    pv = with_event_time(bh.page_views(behaviors), delay)
     return (pv.groupBy(F.window("ts", size, slide).alias("w"), "item_id").count()
             .select("item_id", _end(), "count"))
 
@@ -61,9 +73,9 @@ def page_window_counts_stream(logs: DataFrame, size: str = "20 minutes",
             .select("url", _end(), "count"))
 
 
-def pv_hourly_stream(behaviors: DataFrame) -> DataFrame:
+def pv_hourly_stream(behaviors: DataFrame, delay: str = "0 seconds") -> DataFrame:
     """A3 streaming: url 'pv', window_end, count."""
-    pv = with_event_time(bh.page_views(behaviors))
+    pv = with_event_time(bh.page_views(behaviors), delay)
     return (pv.groupBy(F.window("ts", "1 hour").alias("w")).count()
             .select(F.lit("pv").alias("url"), _end(), "count"))
 
@@ -105,21 +117,25 @@ def uv_hourly_approx_stream(behaviors: DataFrame, rsd: float = 0.05) -> DataFram
             .select(F.lit("uv").alias("url"), _end(), "count"))
 
 
-def uv_first_offsets_stream(behaviors: DataFrame, mask: int = DEFAULT_MASK) -> DataFrame:
-    """W6, stage 1: the first row of each (hour, bitmap offset) -- the rows
-    that set a new bit. Write it to a sink; stage 2 reads it back."""
+def uv_first_offsets_stream(behaviors: DataFrame, mask: int = DEFAULT_MASK,
+                            delay: str = HOUR_DELAY) -> DataFrame:
+    """W6, stage 1: the first row to arrive of each (hour, bitmap offset) --
+    the rows that set a new bit; with several in one batch, any of them. Write
+    it to a sink; stage 2 reads it back."""
     pv = bh.with_offset(bh.page_views_exact(behaviors), mask)
     pv = with_event_time(pv.withColumn("window_end", bh.tumbling_end(F.col("ts_sec") * 1000,
-                                                                      bh.HOUR_MS)))
-    first = numbered(pv.select("window_end", "offset", "user_id", "ts_sec", "seq", "ts"),
-                     ["window_end", "offset"], ["ts_sec", "seq"], "window_end")
-    return first.where(F.col(NUMBER_COL) == 1).drop(NUMBER_COL)
+                                                                      bh.HOUR_MS)), delay)
+    return (pv.select("window_end", "offset", "user_id", "ts_sec", "seq", "ts")
+            .dropDuplicatesWithinWatermark(["window_end", "offset"]))
 
 
-def uv_running_stream(first_offsets: DataFrame) -> DataFrame:
+def uv_running_stream(first_offsets: DataFrame, delay: str = HOUR_DELAY) -> DataFrame:
     """W6, stage 2: the running UV per hour over stage 1's rows:
-    url 'uv', window_end, count, user_id, ts_sec."""
-    f = first_offsets.withWatermark("ts", "0 seconds")
+    url 'uv', window_end, count, user_id, ts_sec. Rows are numbered batch by
+    batch, within a batch by (ts_sec, seq). An hour's new visitors of one
+    batch meet in one task: they are bounded by the batch size, which the
+    source's per-trigger limit sets."""
+    f = first_offsets.withWatermark("ts", delay)
     n = numbered(f, ["window_end"], ["ts_sec", "seq"], "window_end")
     return n.select(F.lit("uv").alias("url"), "window_end", F.col(NUMBER_COL).alias("count"),
                     "user_id", "ts_sec")
@@ -127,12 +143,13 @@ def uv_running_stream(first_offsets: DataFrame) -> DataFrame:
 
 # ---- ads and marketing ---------------------------------------------------------
 
-def ad_click_outcomes_stream(clicks: DataFrame, cap: int = 100) -> DataFrame:
+def ad_click_outcomes_stream(clicks: DataFrame, cap: int = 100,
+                             delay: str = DAY_DELAY) -> DataFrame:
     """ST2 + ST3 streaming: every click numbered within (user, ad, UTC day);
     ``outcome`` 'pass' (<= cap), 'warn' (cap + 1, once), or 'drop'. Keyed
     state expires when the watermark passes the day's end. Split the two
     outputs with ``split_ad_outcomes`` (e.g. inside ``foreachBatch``)."""
-    c = with_event_time(clicks.select(*CLICK_COLUMNS))
+    c = with_event_time(clicks.select(*CLICK_COLUMNS), delay)
     c = c.withColumn("day", F.floor(F.col("ts_sec") / 86400).cast("long"))
     c = c.withColumn("_expire", (F.col("day") + 1) * DAY_MS)
     n = numbered(c, ["user_id", "ad_id", "day"], ["ts_sec", "seq"], "_expire")
@@ -144,12 +161,13 @@ def ad_click_outcomes_stream(clicks: DataFrame, cap: int = 100) -> DataFrame:
 
 
 def ad_clicks_by_province_one_query(clicks: DataFrame, cap: int = 100,
-                                     size: str = "1 hour",
-                                     slide: str = "5 minutes") -> DataFrame:
+                                     size: str = "1 hour", slide: str = "5 minutes",
+                                     delay: str = DAY_DELAY) -> DataFrame:
     """ST2 + A6 in one streaming query: the cap's numbering keeps ``ts`` as
     its event time (transformWithState), so the province windows follow
-    directly instead of running as a second query over a sink."""
-    c = with_event_time(clicks.select(*CLICK_COLUMNS))
+    directly instead of running as a second query over a sink. The windows
+    close ``delay`` after their end, as the cap accepts clicks until then."""
+    c = with_event_time(clicks.select(*CLICK_COLUMNS), delay)
     c = c.withColumn("day", F.floor(F.col("ts_sec") / 86400).cast("long"))
     # (transformWithState renames input columns that start with "_")
     c = c.withColumn("expire_ms", (F.col("day") + 1) * DAY_MS)
@@ -159,12 +177,13 @@ def ad_clicks_by_province_one_query(clicks: DataFrame, cap: int = 100,
             .select("province", _end(), "count"))
 
 
-def uv_running_one_query(behaviors: DataFrame, mask: int = DEFAULT_MASK) -> DataFrame:
+def uv_running_one_query(behaviors: DataFrame, mask: int = DEFAULT_MASK,
+                         delay: str = HOUR_DELAY) -> DataFrame:
     """W6 in one streaming query: first row per (hour, offset), then the
     running number per hour, as two chained transformWithState operators."""
     pv = bh.with_offset(bh.page_views_exact(behaviors), mask)
     pv = with_event_time(pv.withColumn("window_end", bh.tumbling_end(F.col("ts_sec") * 1000,
-                                                                      bh.HOUR_MS)))
+                                                                      bh.HOUR_MS)), delay)
     pv = pv.select("window_end", "offset", "user_id", "ts_sec", "seq", "ts")
     first = numbered_chainable(pv, ["window_end", "offset"], ["ts_sec", "seq"], "window_end")
     first = first.where(F.col(NUMBER_COL) == 1).drop(NUMBER_COL)
@@ -182,9 +201,10 @@ def split_ad_outcomes(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def ad_clicks_by_province_stream(passed: DataFrame, size: str = "1 hour",
-                                 slide: str = "5 minutes") -> DataFrame:
-    """A6 streaming over the passed clicks (read back from their sink)."""
-    p = with_event_time(passed)
+                                 slide: str = "5 minutes", delay: str = DAY_DELAY) -> DataFrame:
+    """A6 streaming over the passed clicks (read back from their sink); they
+    come as late as the cap lets them."""
+    p = with_event_time(passed, delay)
     return (p.groupBy(F.window("ts", size, slide).alias("w"), "province").count()
             .select("province", _end(), "count"))
 
@@ -205,12 +225,12 @@ def marketing_by_channel_stream(events: DataFrame, size: str = "1 hour",
 
 # ---- app logs ------------------------------------------------------------------
 
-def dau_first_stream(logs: DataFrame) -> DataFrame:
-    """ST1 streaming: the first start log per (UTC day, device) across
-    batches; state per key expires at the end of its day."""
-    d = dau.decode_app_logs(dau.start_logs(logs))
-    d = d.withColumn("ts_ms", F.col("ts")).drop("ts")
-    d = with_event_time(d).withColumn("_expire", (F.floor(F.col("ts_ms") / DAY_MS) + 1) * DAY_MS)
-    n = numbered(d, ["dt", "mid"], ["ts_ms", "seq"], "_expire")
-    return n.where(F.col(NUMBER_COL) == 1).select(
+def dau_first_stream(logs: DataFrame, delay: str = DEVICE_DELAY) -> DataFrame:
+    """ST1 streaming: the first start log to arrive per (UTC day, device)
+    across batches; with several in one batch, any of them. A key is kept for
+    ``delay`` (at least the day, or a device could count twice); older logs
+    are dropped and counted."""
+    d = dau.decoded_starts(logs)
+    d = with_event_time(d.withColumnRenamed("ts", "ts_ms"), delay)
+    return d.dropDuplicatesWithinWatermark(["dt", "mid"]).select(
         "dt", "mid", "uid", "ar", "ch", "vc", F.col("ts_ms").alias("ts"), "seq")

@@ -48,6 +48,13 @@ def start(df: DataFrame, name: str, *, sink: str = "parquet", path: str | None =
     return w.format(sink).start()
 
 
+def late_rows(q: StreamingQuery) -> int:
+    """Rows the query's stateful operators dropped as later than the
+    watermark, over the progress it still holds. Alert on it; the rows can be
+    replayed from the raw archive (K5)."""
+    return sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
+
+
 def drain(q: StreamingQuery) -> StreamingQuery:
     """Wait for an ``availableNow`` query to finish; re-raise its error."""
     q.awaitTermination()

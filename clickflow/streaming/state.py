@@ -1,17 +1,19 @@
-"""Keyed event-time state for the streaming forms (ST1, ST2/ST3, W6).
+"""Keyed event-time state for the streaming forms (ST2/ST3, W6).
 
-One state function covers all three: ``numbered`` gives every row its
+One state function covers both: ``numbered`` gives every row its
 running number within its key, in (event time, arrival) order, carrying the
 last number across micro-batches. The state is a single long per key and is
 dropped by an event-time timeout once the watermark passes the key's expiry
 (the end of its day or window), so it stays bounded.
 
 * click cap: number <= cap passes, number = cap + 1 is the warning;
-* first start log per (day, device): number = 1;
 * running UV: number = 1 per (window, offset), then numbered per window.
 
 Rows of one key within one micro-batch meet in one task (that is what keyed
 state is); the batch size is capped by the source's per-trigger limit.
+
+The functions here run in Python workers, which must be able to import this
+package: install it on the cluster or ship it with ``--py-files``.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from clickflow.session import workers_find_package
+
 NUMBER_COL = "_n"
 
 
@@ -52,6 +56,7 @@ def numbered(df: DataFrame, keys: list[str], order_cols: list[str],
     ``df`` must carry a watermark; ``expire_col`` holds, per row, the event
     time (epoch ms) after which its key can never get another row.
     """
+    workers_find_package(df.sparkSession)
     out = T.StructType(df.schema.fields + [T.StructField(NUMBER_COL, T.LongType())])
     state = T.StructType([T.StructField("n", T.LongType())])
     return df.groupBy(*keys).applyInPandasWithState(
@@ -96,6 +101,7 @@ def numbered_chainable(df: DataFrame, keys: list[str], order_cols: list[str],
     """``numbered`` whose output keeps ``event_time_col`` as its event time, so
     windowed aggregations (or a second numbering) can follow in the same
     query (transformWithState; needs the RocksDB state store)."""
+    workers_find_package(df.sparkSession)
     out = T.StructType(df.schema.fields + [T.StructField(NUMBER_COL, T.LongType())])
     return df.groupBy(*keys).transformWithStateInPandas(
         _Numbering(order_cols, expire_col), out, "append", "EventTime",
