@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm.flat import Flat, as_bytes, byte_table, chunks, release_memory
-from clickflow.llm.sqltext import crc_fold, small_batches
+from clickflow.llm.sqltext import crc_fold, ready_workers
 
 Extract = Callable[[list[bytes]], np.ndarray]
 
@@ -113,7 +113,7 @@ def feature_rows(docs: DataFrame, extract: Extract, keep: list[str]) -> DataFram
                     [*[b.column(c).slice(lo, hi - lo) for c in keep], rows], [*keep, "x"])
             release_memory()
 
-    small_batches(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     return docs.select(*keep, "text").mapInArrow(run, schema)
 
 
@@ -129,7 +129,7 @@ def keep_rows(docs: DataFrame, wanted: Callable[[list[bytes]], np.ndarray]) -> D
                 yield b.slice(lo, hi - lo).filter(pa.array(wanted(texts[lo:hi])))
             release_memory()
 
-    small_batches(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
 
 

@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 
 from clickflow.llm.components import connected_components
 from clickflow.llm.flat import Flat, as_bytes, chunks, mix, release_memory
-from clickflow.llm.sqltext import save_shared, small_batches
+from clickflow.llm.sqltext import ready_workers, save_shared
 
 MISS = 1e-5            # chance that no tree joins a pair right at the threshold
-CLUSTER = 32           # classes compared exhaustively
-BLOCK = 2_000          # members of one side of a compared block in a large cluster
+CLUSTER = 32           # classes compared exhaustively,
+CLUSTER_TOKENS = 1 << 22   # and their shingles in all
+BLOCK = 2_000          # members of one side of a compared block in a large cluster,
+BLOCK_TOKENS = 1 << 20     # and their differences in all
 PATH = 4               # tokens of a path, at least
 STRANGERS = 1 / 200    # similarity of unrelated documents
 BROADCAST_ROWS = 500_000   # 8-byte keys in a broadcast, at most
@@ -134,19 +136,21 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
 
 def clusters(classes: DataFrame) -> DataFrame:
-    """fp, rk, cluster, size and weight of the classes (fp, rk, keys) that share
-    a node with another one. ``weight`` sums the sizes of a class's nodes."""
+    """fp, rk, cluster, small and weight of the classes (fp, rk, n, keys) that
+    share a node with another one. ``small`` clusters are within the bounds of
+    exhaustive comparison; ``weight`` sums the sizes of a class's nodes."""
     members = classes.select("fp", F.explode("keys").alias("key"))
     nodes = save_shared(members.groupBy("key").agg(
         F.min("fp").alias("hub"), F.count(F.lit(1)).alias("in_node")).where("in_node > 1"),
         "near-nodes")
     held = save_shared(members.join(nodes, "key").select("fp", "hub", "in_node"), "near-members")
     roots = connected_components(held.select(F.col("fp").alias("a"), F.col("hub").alias("b")), "near")
-    size = save_shared(roots.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "near-sizes")
     weight = held.groupBy("fp").agg(F.sum("in_node").alias("weight"))
-    c = roots.withColumnsRenamed({"node": "fp"}).join(size, "root").join(weight, "fp")
-    return c.join(classes.select("fp", "rk"), "fp").select(
-        "fp", "rk", F.col("root").alias("cluster"), "size", "weight")
+    c = save_shared(roots.withColumnsRenamed({"node": "fp"}).join(weight, "fp")
+                    .join(classes.select("fp", "rk", "n"), "fp"), "near-rooted")
+    small = ((F.count(F.lit(1)) <= CLUSTER) & (F.sum("n") <= CLUSTER_TOKENS)).alias("small")
+    size = save_shared(c.groupBy("root").agg(small), "near-sizes")
+    return c.join(size, "root").select("fp", "rk", F.col("root").alias("cluster"), "small", "weight")
 
 
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -222,7 +226,7 @@ def _compare_block(percent: int):
 
 
 def _large_links(sets: DataFrame, percent: int) -> list[DataFrame]:
-    """Links in clusters of more than ``CLUSTER`` classes: to the pivot, and
+    """Links in clusters that are not small: to the pivot, and
     between members that share one of their first differences."""
     pivots = save_shared(sets.groupBy("cluster").agg(
         F.max(F.struct("weight", "fp"))["fp"].alias("fp"))
@@ -244,11 +248,11 @@ def _large_links(sets: DataFrame, percent: int) -> list[DataFrame]:
     first = F.floor(F.col("n") * (100 - percent) / percent).cast("int") + 1
     rows = d.select("cluster", "fp", "n", "core", "diff",
                     F.posexplode(F.slice("diff", F.lit(1), first)).alias("at", "token"))
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("held") / BLOCK_TOKENS))
     shared = save_shared(rows.groupBy("cluster", "token").agg(
-        F.count(F.lit(1)).alias("members"), F.min("core").alias("all_core"))
-        .where("members > 1 and not all_core")
-        .select("cluster", "token", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")),
-        "near-buckets")
+        F.count(F.lit(1)).alias("members"), F.sum(F.size("diff")).alias("held"),
+        F.min("core").alias("all_core")).where("members > 1 and not all_core")
+        .select("cluster", "token", blocks.cast("int").alias("blocks")), "near-buckets")
     # a large bucket is compared block against block: every member meets all
     # blocks, each cell holds two of them
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
@@ -263,20 +267,21 @@ def _large_links(sets: DataFrame, percent: int) -> list[DataFrame]:
 def duplicate_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(sketch rows, classes): sketch rows are doc_id, rk, n and fp of every row
     of ``docs``; classes map each fp that is repeated or linked to its root."""
-    small_batches(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     path = path_length(docs.count())
     trees = trees_for(percent, path)
     rows = save_shared(sketch(docs, k, trees, path), "near-sketch")
     classes = save_shared(rows.where("fp <> ''").groupBy("fp").agg(
-        F.min("rk").alias("rk"), F.first("keys").alias("keys"), F.count(F.lit(1)).alias("copies")),
+        F.min("rk").alias("rk"), F.first("keys").alias("keys"), F.max("n").alias("n"),
+        F.count(F.lit(1)).alias("copies")),
         "near-classes")
     found = save_shared(clusters(classes), "near-clusters")
     sets = save_shared(found.join(full_sets(docs, found, k), "fp")
-                       .select("cluster", "size", "weight", "fp", "tokens"), "near-sets")
-    small = sets.where(F.col("size") <= CLUSTER)
+                       .select("cluster", "small", "weight", "fp", "tokens"), "near-sets")
+    small = sets.where("small")
     parts = [small.select("cluster", "fp", "tokens").groupBy("cluster")
              .applyInPandas(_compare_all(percent), LINK)]
-    large = sets.where(F.col("size") > CLUSTER)
+    large = sets.where("not small")
     if not large.isEmpty():
         parts += _large_links(large, percent)
     links = parts[0]

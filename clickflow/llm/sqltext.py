@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.session import shared_dir
+from clickflow.session import shared_dir, workers_find_package
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -62,10 +62,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(crc_fold(doc_id) == 0, F.lit(False))
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Lower the session's rows per Arrow batch to ``rows`` if it is higher.
-    Rows here are whole documents: the default of 10,000 would hold tens of
+def ready_workers(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+    """Let Python workers import this package, and lower the session's rows per
+    Arrow batch to ``rows`` if it is higher. Rows here are whole documents: the default of 10,000 would hold tens of
     megabytes of text, several times over, in every Python worker."""
+    workers_find_package(spark)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(name))
     if now <= 0 or now > rows:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickflow.llm.sqltext import let, save_shared
+from clickflow.llm.sqltext import let, ready_workers, save_shared
 from clickflow.session import shared_dir
 
 VERSION = "WARC/1.1"
@@ -238,6 +238,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     a revisit or a damaged record), payload_bytes, payload_digest, refers_to,
     complete. Digest and length of a response come from its decoded bytes,
     those of a revisit from its header."""
+    ready_workers(spark)
     whole = reassemble(read_records(spark, path))
     w = whole.withColumn("payload", F.when(F.col("type") != "revisit", payload_of("block")))
     is_revisit = F.col("type") == "revisit"

@@ -87,9 +87,13 @@ def corpus(seed=5):
     return out
 
 
-@pytest.mark.parametrize("k,percent,block", [(3, 85, 2000), (5, 80, 40)])
-def test_components_match_brute_force(spark, monkeypatch, k, percent, block):
-    monkeypatch.setattr(near_dup, "BLOCK", block)
+@pytest.mark.parametrize("k,percent,bounds", [
+    (3, 85, {}), (5, 80, {"BLOCK": 40, "CLUSTER": 3}),
+    (3, 85, {"BLOCK_TOKENS": 2000, "CLUSTER_TOKENS": 500})])
+def test_components_match_brute_force(spark, monkeypatch, k, percent, bounds):
+    """Also where small bounds send most clusters the large way, in many blocks."""
+    for name, value in bounds.items():
+        monkeypatch.setattr(near_dup, name, value)
     docs = corpus()
     df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, fp string")
     out = near_dup.near_duplicates(df, k, percent).collect()
