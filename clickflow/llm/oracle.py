@@ -55,6 +55,60 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
 FROM d"""
 
 
+# Rules, then the posterior bound of the host's rate; one CTE per level.
+_RHO = """least(greatest(coalesce(sum((good - n * mu) ** 2 - n * mu * (1 - mu))
+       / nullif(sum(n * (n - 1) * mu * (1 - mu)), 0), 1e-4), 1e-4), 0.99)"""
+OP10 = f"""
+WITH u AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN url[instr(url, '://') + 3:] ELSE '' END AS rest
+  FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u),
+lab AS (
+  SELECT doc_id AS page_id, CAST(avg(quality) >= 0.5 AS INTEGER) AS good
+  FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+h0 AS (
+  SELECT host, count(good) AS n, coalesce(sum(good), 0) AS good, string_split(host, '.') AS l
+  FROM p LEFT JOIN lab USING (page_id) GROUP BY host),
+h1 AS (
+  SELECT *, array_to_string(l[-2:], '.') IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'co.nz',
+    'com.br', 'co.in') AS two FROM h0),
+h AS (
+  SELECT host, n, good,
+    CASE WHEN two AND len(l) > 2 THEN array_to_string(l[-3:], '.')
+         WHEN NOT two AND len(l) > 1 THEN array_to_string(l[-2:], '.') ELSE host END AS domain,
+    CASE WHEN two THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix
+  FROM h1),
+o AS (SELECT (sum(good) + 1.0) / (sum(n) + 2.0) AS mu FROM h),
+s0 AS (SELECT suffix, sum(n) AS n, sum(good) AS good, any_value(o.mu) AS mu FROM h, o GROUP BY suffix),
+s AS (SELECT suffix, (good + k * mu) / (n + k) AS rate
+      FROM s0, (SELECT 1 / {_RHO} - 1 AS k FROM s0)),
+d0 AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good, any_value(rate) AS mu
+       FROM h JOIN s USING (suffix) GROUP BY domain, suffix),
+d AS (SELECT domain, (good + k * mu) / (n + k) AS rate
+      FROM d0, (SELECT 1 / {_RHO} - 1 AS k FROM d0)),
+r0 AS (SELECT host, n, good, rate AS mu FROM h JOIN d USING (domain)),
+r AS (SELECT host, (good + k * mu) / (n + k) AS rate, n + k + 1 AS m
+      FROM r0, (SELECT 1 / {_RHO} - 1 AS k FROM r0)),
+v AS (SELECT host, CASE WHEN rate + 1.645 * sqrt(rate * (1 - rate) / m) < 0.5 THEN 'block'
+                        ELSE 'allow' END AS by_host FROM r),
+x AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.www.example.com' AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM p LEFT JOIN v USING (host))
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+  CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block'
+       WHEN rule IS NOT NULL THEN 'allow' ELSE by_host END AS verdict
+FROM x"""
+
+
 def _spans(kind: str, rank: int, pattern: str, group: int = 0, least: int = 1) -> str:
     """SQL for one rule's spans of ``doc`` (r, t): lengths of the pieces between
     matches and of the matches, added up in turn."""
@@ -110,4 +164,5 @@ FROM doc LEFT JOIN one USING (r)"""
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op6_benchmark_ngrams": OP6, "op7_warc_segments": OP7, "op8_trigram_secrets": _op8()}
+    return {"op6_benchmark_ngrams": OP6, "op7_warc_segments": OP7, "op8_trigram_secrets": _op8(),
+            "op10_host_filter": OP10}

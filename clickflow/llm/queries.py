@@ -84,7 +84,7 @@ def op10_host_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url")
     outcomes = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
-    return hosts.judge_urls(pages, outcomes)
+    return hosts.judge_urls(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
 def llm_queries() -> dict[str, Query]:
