@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK_BYTES = 1 << 19   # texts are taken in chunks of about this many bytes
+CHUNK_BYTES = 1 << 18   # texts are taken in chunks of about this many bytes
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _U = np.uint64

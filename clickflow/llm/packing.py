@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from clickflow.llm.flat import release_memory
-from clickflow.llm.sqltext import small_batches
+from clickflow.llm.sqltext import ready_workers
 
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
@@ -33,7 +33,7 @@ BLOCK_TOKENS = 1 << 18     # tokens packed together, at least (one document more
 STEP_TOKENS = 1 << 16      # tokens of a step group
 CACHE_CHUNKS = 400_000     # blank-separated chunks whose ids a worker remembers
 CACHE_PIECES = 200_000     # and pieces
-TEXT_BATCH = 1 << 22       # characters tokenised together
+TEXT_BATCH = 1 << 21       # characters tokenised together
 
 # Characters whose lower case and class are the same for the tokenizer's
 # normaliser and for Python: ASCII (but four control characters that only
@@ -53,8 +53,8 @@ class IdStore:
     def __init__(self, most: int):
         self.most = most
         self.index: dict[str, int] = {}
-        self.start = np.zeros(1 << 16, dtype=np.int64)
-        self.size = np.zeros(1 << 16, dtype=np.int64)
+        self.start = np.zeros(1 << 16, dtype=np.int32)
+        self.size = np.zeros(1 << 16, dtype=np.int32)
         self.flat = np.zeros(1 << 18, dtype=np.uint32)
         self.used = 0
 
@@ -77,9 +77,10 @@ class IdStore:
         if isinstance(at, list):
             at = np.fromiter(map(self.index.__getitem__, at), np.int64, len(at))
         starts, sizes = self.start[at], self.size[at]
-        ends = np.cumsum(sizes)
+        ends = np.cumsum(sizes, dtype=np.int32)
         total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)], sizes
+        return self.flat[np.repeat(starts - (ends - sizes), sizes)
+                         + np.arange(total, dtype=np.int32)], sizes
 
     def trim(self) -> None:
         if len(self.index) > self.most:
@@ -345,6 +346,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...]
         yield emit()
         release_memory()
 
-    small_batches(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     schema = SCHEMA + (", ids array<int>" if with_ids else "")
     return docs.select("doc_id", "text").mapInArrow(run, schema)
