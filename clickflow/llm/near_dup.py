@@ -142,8 +142,9 @@ def clusters(classes: DataFrame) -> DataFrame:
     members = classes.select("fp", F.explode("keys").alias("key"))
     nodes = save_shared(members.groupBy("key").agg(
         F.min("fp").alias("hub"), F.count(F.lit(1)).alias("in_node")).where("in_node > 1"),
-        "near-nodes")
-    held = save_shared(members.join(nodes, "key").select("fp", "hub", "in_node"), "near-members")
+        "near-nodes", few_files=True)
+    held = save_shared(members.join(nodes, "key").select("fp", "hub", "in_node"), "near-members",
+                       few_files=True)
     roots = connected_components(held.select(F.col("fp").alias("a"), F.col("hub").alias("b")), "near")
     weight = held.groupBy("fp").agg(F.sum("in_node").alias("weight"))
     c = save_shared(roots.withColumnsRenamed({"node": "fp"}).join(weight, "fp")
@@ -270,14 +271,15 @@ def duplicate_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame,
     ready_workers(docs.sparkSession)
     path = path_length(docs.count())
     trees = trees_for(percent, path)
-    rows = save_shared(sketch(docs, k, trees, path), "near-sketch")
+    rows = save_shared(sketch(docs, k, trees, path), "near-sketch", few_files=True)
     classes = save_shared(rows.where("fp <> ''").groupBy("fp").agg(
         F.min("rk").alias("rk"), F.first("keys").alias("keys"), F.max("n").alias("n"),
         F.count(F.lit(1)).alias("copies")),
         "near-classes")
     found = save_shared(clusters(classes), "near-clusters")
     sets = save_shared(found.join(full_sets(docs, found, k), "fp")
-                       .select("cluster", "small", "weight", "fp", "tokens"), "near-sets")
+                       .select("cluster", "small", "weight", "fp", "tokens"), "near-sets",
+                       few_files=True)
     small = sets.where("small")
     parts = [small.select("cluster", "fp", "tokens").groupBy("cluster")
              .applyInPandas(_compare_all(percent), LINK)]
