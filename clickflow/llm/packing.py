@@ -31,9 +31,9 @@ TIERS = (2048, 1024, 512, 256)
 END_ID = 1
 BLOCK_TOKENS = 1 << 18     # tokens packed together, at least (one document more at most)
 STEP_TOKENS = 1 << 16      # tokens of a step group
-CACHE_CHUNKS = 400_000     # blank-separated chunks whose ids a worker remembers
-CACHE_PIECES = 200_000     # and pieces
-TEXT_BATCH = 1 << 21       # characters tokenised together
+REMEMBERED = 600_000       # blank-separated chunks whose ids a worker remembers (half
+                           # as many pieces of chunks): about 250 bytes each
+TEXT_BATCH = 1 << 22       # characters tokenised together, at most
 
 # Characters whose lower case and class are the same for the tokenizer's
 # normaliser and for Python: ASCII (but four control characters that only
@@ -99,14 +99,14 @@ class WordTokenizer:
     with a special token in them as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         ends = np.zeros(self.tok.get_vocab_size() + 1, dtype=bool)
         for token, i in self.tok.get_vocab().items():
             ends[i] = token.endswith("</w>")
         self.ends = ends
-        self.chunks, self.pieces = IdStore(CACHE_CHUNKS), IdStore(CACHE_PIECES)
+        self.chunks, self.pieces = IdStore(remembered), IdStore(remembered // 2)
 
     def _whole(self, text: str) -> np.ndarray:
         # the fast form skips offsets, which nothing here needs
@@ -187,14 +187,15 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.diff(total[np.cumsum(counts)], prepend=0)
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
+_tokenizers: dict[tuple[str, int], WordTokenizer] = {}
 
 
-def tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer a worker process and file."""
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
+def tokenizer(path: str, remembered: int = REMEMBERED) -> WordTokenizer:
+    """One tokenizer a worker process, file and size."""
+    key = (path, remembered)
+    if key not in _tokenizers:
+        _tokenizers[key] = WordTokenizer(path, remembered)
+    return _tokenizers[key]
 
 
 @dataclass
@@ -279,10 +280,11 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS,
-                   with_ids: bool = False) -> DataFrame:
+                   with_ids: bool = False, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece of ``docs`` (doc_id, text): doc_id, start, length,
     ids_crc32, doc_tokens, sequence_id, offset, tier, step_group, and with
-    ``with_ids`` the ids themselves.
+    ``with_ids`` the ids themselves. ``remembered`` trades a worker's memory for
+    its speed.
 
     A document's ids end with ``END_ID``; a NULL or empty text has that id
     alone. Repeated rows are packed as rows of their own, a NULL doc_id stays
@@ -298,7 +300,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tok, packer = tokenizer(tokenizer_path), Packer(tiers)
+        tok, packer = tokenizer(tokenizer_path, remembered), Packer(tiers)
         base = TaskContext.get().partitionId() << 33
         rows: list[tuple] = []
         seqs, by_tier = 0, dict.fromkeys(tiers, 0)
@@ -330,13 +332,14 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...]
                 if packer.tokens >= BLOCK_TOKENS:
                     write(packer.flush())
 
+        batch = min(TEXT_BATCH, 10 * remembered)
         docs, texts, size = [], [], 0
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
                 docs.append(doc)
                 texts.append(text.as_py() or "")
                 size += len(texts[-1])
-                if size >= TEXT_BATCH:
+                if size >= batch:
                     pack(docs, texts)
                     docs, texts, size = [], [], 0
             if len(rows) >= 5000:

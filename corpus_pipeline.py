@@ -38,8 +38,9 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of tokenised documents packed into sequences."""
-    return pack_documents(docs, tokenizer_path())
+    """Pieces of tokenised documents packed into sequences; with a small word
+    memory, as the executors' heaps are full by then."""
+    return pack_documents(docs, tokenizer_path(), remembered=100_000)
 
 
 STAGES: list[tuple[str, Stage]] = [

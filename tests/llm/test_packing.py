@@ -20,15 +20,13 @@ def plain_ids(tok, text):
     return tok.tok.encode(text or "", add_special_tokens=False).ids + [packing.END_ID]
 
 
-def test_ids_equal_the_tokenizers(monkeypatch):
+def test_ids_equal_the_tokenizers():
     r = random.Random(3)
     odd = "İΣΑΣ<|endoftext|>'s'Sé́ﬁ​z　q\x1cw\x85r Ab1\n²½ªº×÷ßÿÀ’!?#\t-中文😀"
     texts = ["".join(r.choice(odd) for _ in range(r.randrange(60))) for _ in range(800)]
     texts += ["".join(r.choice("abAB'sSt 19!.,ÉéÿßÑ\n") for _ in range(r.randrange(60)))
               for _ in range(800)]
-    monkeypatch.setattr(packing, "CACHE_PIECES", 200)
-    monkeypatch.setattr(packing, "CACHE_CHUNKS", 500)
-    tok = packing.WordTokenizer(tokenizer_path())
+    tok = packing.WordTokenizer(tokenizer_path(), remembered=500)
     for lo in range(0, len(texts), 40):
         for t, ids in zip(texts[lo:lo + 40], tok.encode(texts[lo:lo + 40])):
             assert ids.tolist() == plain_ids(tok, t)[:-1]
