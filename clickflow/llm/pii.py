@@ -5,6 +5,24 @@ of the same format through a keyed permutation of that format's values: an
 alternating Feistel network with modular addition. Equal values get equal
 pseudonyms in every document, different values different ones. Everything is
 Spark expressions; rows without a match pass untouched.
+
+Forms taken:
+
+* e-mail addresses;
+* IBANs, together or in groups of four;
+* IPv4, and IPv6 in full or with ``::`` (with a decimal digit in it);
+* dates with a four-digit year from 1800 to 2199 and ``-``, ``/`` or ``.``: year
+  first, day first, or month first if the day is over 12 (12/25/2024); days and
+  months of one or two digits. 03/04/2024 is read day first;
+* card numbers of 13 to 19 digits, together or as 4-4-4-4 or 4-6-5;
+* 078-05-1120;
+* phone numbers: international with ``+`` or a separated ``00`` code; national
+  with a leading zero (06 12 34 56 78, 0170 1234567, (030) 1234567, 030/1234567,
+  0612345678); 3-3-4 with blank, dot or hyphen, also (555) 123-4567 and 1-555-...
+
+Not taken: names and postal addresses, dates with two-digit years, month names
+or no year, ``00`` codes written together with the number, local numbers without
+area code, and other unseparated numbers without a leading zero or ``+``.
 """
 
 from __future__ import annotations
@@ -18,27 +36,45 @@ KEY = "pseudonym-key-1"   # default; a deployment passes its own
 ROUNDS = 8
 
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+HEX = "[0-9A-Fa-f]{1,4}"
+YEAR, MONTH = "(?:1[89]|2[01])[0-9]{2}", "(?:1[0-2]|0?[1-9])"
+DAY = "(?:3[01]|[12][0-9]|0?[1-9])"
+# A number after its area code: together, or two to four groups
+LOCAL = (r"(?:[0-9]{5,8}(?:-[0-9]{1,4})?|(?=[0-9](?:[ .-]?[0-9]){4})[0-9]{2,4}"
+         r"(?:[ .-][0-9]{2,4}){1,3})")
 # Kinds in order of precedence at the same place. Digits may not touch others.
 PATTERNS = {
     "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*"
              r"\.[A-Za-z]{2,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "ip": rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])",
-    "date": r"(?<![0-9/.-])(?:(?:1[89]|2[01])[0-9]{2}([-/.])(?:1[0-2]|0[1-9])\1"
-            r"(?:3[01]|[12][0-9]|0[1-9])|(?:3[01]|[12][0-9]|0[1-9])([-/.])(?:1[0-2]|0[1-9])\2"
-            r"(?:1[89]|2[01])[0-9]{2})(?![0-9/-]|\.[0-9])",
+    "ip": rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])"
+          rf"|(?<![0-9A-Za-z_:.])(?=[A-Fa-f:]*[0-9])(?:(?:{HEX}:){{7}}{HEX}"
+          rf"|(?:{HEX}(?::{HEX}){{0,6}})?::(?:{HEX}(?::{HEX}){{0,6}})?)(?![0-9A-Za-z_:]|\.[0-9])",
+    "date": rf"(?<![0-9/.-])(?:{YEAR}([-/.]){MONTH}\1{DAY}|{DAY}([-/.]){MONTH}\2{YEAR}"
+            rf"|{MONTH}([-/.]){DAY}\3{YEAR})(?![0-9/-]|\.[0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?:(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}"
-             r"(?:[ .-]?[0-9]{2,4}){1,4}|(?<![0-9A-Za-z(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
-             r"|(?<![0-9A-Za-z.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
+    "phone": "(?:" + "|".join([
+        # after a country code; a first group of one digit needs two more groups
+        r"(?:(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?|(?<![0-9A-Za-z.,+-])00[1-9][0-9]{0,2}[ .-])"
+        r"(?:\([0-9]{1,4}\)[ .-]?)?(?:[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}"
+        r"|[0-9](?:[ .-]?[0-9]{2,4}){2,4})",
+        r"(?<![0-9A-Za-z])(?:1[ .-])?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}",
+        # national with a leading zero
+        r"(?<![0-9A-Za-z.,/+-])0[1-9](?:(?:[ .-]?[0-9]{2}){4}|[0-9]{8,9})(?![0-9A-Za-z])",
+        rf"(?<![0-9A-Za-z.,/+-])0[1-9][0-9]{{1,4}}(?: ?/ ?|[ .-]){LOCAL}",
+        rf"(?<![0-9A-Za-z])\(0[1-9][0-9]{{1,4}}\) ?{LOCAL}",
+        r"(?<![0-9A-Za-z.-])(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}"]) + ")(?![0-9])",
 }
 KINDS = list(PATTERNS)
-# \1 and \2 count groups of the whole expression: the date's are the only ones
+# \1 to \3 count groups of the whole expression: the date's are the only ones
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
-# 400 Gregorian years repeat exactly; their days are 27 * 5411.
-DAYS = (27, 5411)
+# 400 Gregorian years repeat exactly. Days up to the 12th and later ones are
+# permuted apart, so a month-first date stays one that cannot be read day first.
+MONTHS = 4800
+EARLY = (240, 240)    # 12 days in each month
+LATE = (9, 9833)      # the others
 FIRST_DAY = "1800-01-01"
 
 
@@ -85,6 +121,24 @@ def permute_digits(digits: Column, key: str, kind: str) -> Column:
     return let(digits, halves)
 
 
+def permute_number(digits: Column, key: str, kind: str) -> Column:
+    """Leading zeros stay; the rest is permuted among the numbers of its length
+    that have none."""
+    def halves(s: Column) -> Column:
+        d = s["d"]
+        n = F.length(d)
+        k = F.floor((n + 1) / 2).cast("int")
+        least, b = F.pow(F.lit(10.0), k - 1).cast("long"), F.pow(F.lit(10.0), n - k).cast("long")
+        low = F.coalesce(F.substring(d, k + 1, n - k).try_cast("long"), F.lit(0).cast("long"))
+        p = permute(F.substring(d, F.lit(1), k).cast("long") - least, low, least * 9, b, key, kind)
+        return F.concat(s["z"], F.when(n > 0, let(p, lambda x: F.concat(
+            (x["l"] + least).cast("string"),
+            F.when(n > k, F.lpad(x["r"].cast("string"), n - k, F.lit("0"))).otherwise(""))))
+            .otherwise(""))
+    return let(F.struct(F.regexp_extract(digits, "^0*", 0).alias("z"),
+                        F.regexp_replace(digits, "^0+", "").alias("d")), halves)
+
+
 def _only_digits(m: Column) -> Column:
     return F.regexp_replace(m, "[^0-9]", "")
 
@@ -143,25 +197,112 @@ def _ip(m: Column, key: str) -> Column:
     return let(F.split(m, r"\."), new)
 
 
+def _groups(part: Column) -> Column:
+    return F.filter(F.split(part, ":"), lambda g: g != "")
+
+
+def _is_ip6(m: Column) -> Column:
+    """Whether a match has eight groups, or at most seven besides its ``::``."""
+    return ~m.contains("::") | (F.size(_groups(m)) <= 7)
+
+
+def _ip6(m: Column, key: str) -> Column:
+    """All 128 bits permuted (equal addresses are linked however written), as
+    eight groups in lower case."""
+    def digits(part: Column) -> Column:
+        return F.array_join(F.transform(_groups(part), lambda g: F.lpad(g, 4, "0")), "")
+
+    def half(h: Column, at: int) -> Column:
+        return F.conv(F.substring(h, at, 16), 16, -10).cast("long")
+
+    def mixed(s: Column, no: int) -> Column:
+        def f(x: Column) -> Column:
+            h = F.sha2(F.concat_ws("|", F.lit(key), F.lit("ip6"), F.lit(str(no)),
+                                   x.cast("string")), 256)
+            return half(h, 1)
+        left, right = s["l"], s["r"]
+        return F.struct((left.bitwiseXOR(f(right)) if no % 2 == 0 else left).alias("l"),
+                        (right.bitwiseXOR(f(left)) if no % 2 else right).alias("r"))
+
+    def new(h: Column) -> Column:
+        state = F.struct(half(h, 1).alias("l"), half(h, 17).alias("r"))
+        for no in range(ROUNDS):
+            state = let(state, _bind(mixed, no))
+        out = let(state, lambda s: F.lower(F.concat(
+            F.lpad(F.hex(s["l"]), 16, "0"), F.lpad(F.hex(s["r"]), 16, "0"))))
+        return let(out, lambda o: F.concat_ws(":", *[
+            F.regexp_replace(F.substring(o, at, 4), "^0{1,3}", "") for at in range(1, 33, 4)]))
+
+    left, right = F.substring_index(m, "::", 1), F.substring_index(m, "::", -1)
+    both = F.concat(F.rpad(digits(left), 32 - F.length(digits(right)), F.lit("0")), digits(right))
+    return let(F.when(m.contains("::"), both).otherwise(digits(m)), new)
+
+
 def _day(m: Column) -> Column:
     """The date a match names; NULL for a day that does not exist."""
     p = F.split(m, "[-/.]")
     first = F.length(p[0]) == 4
-    return F.try_to_date(F.concat_ws("-", F.when(first, p[0]).otherwise(p[2]), p[1],
-                                     F.when(first, p[2]).otherwise(p[0])), "yyyy-MM-dd")
+    swapped = ~first & (p[1].cast("int") > 12)   # month first
+    month, day = F.when(swapped, p[0]).otherwise(p[1]), F.when(swapped, p[1]).otherwise(p[0])
+    return F.try_to_date(F.concat_ws(
+        "-", F.when(first, p[0]).otherwise(p[2]), F.lpad(month, 2, "0"),
+        F.lpad(F.when(first, p[2]).otherwise(day), 2, "0")), "yyyy-MM-dd")
+
+
+def permute_day(day: Column, key: str) -> Column:
+    """Another day of 1800 to 2199; up to the 12th, or after it, as ``day`` is."""
+    start = F.lit(FIRST_DAY).cast("date")
+
+    def month_start(no: Column) -> Column:
+        return F.add_months(start, no.cast("int"))
+
+    def later(no: Column) -> Column:   # days after the 12th in all months before
+        return F.datediff(month_start(no), start) - 12 * no
+
+    def new(s: Column) -> Column:
+        p = permute(F.floor(s["rank"] / s["b"]), s["rank"] % s["b"], s["a"], s["b"], key, "date")
+
+        def late_day(rank: Column) -> Column:
+            # a guess is off by one month at most
+            guess = F.floor(rank * MONTHS / (LATE[0] * LATE[1]))
+            no = let(guess, lambda g: g - 2 + sum(
+                (later(g + k) <= rank).cast("int") for k in (-1, 0, 1, 2)))
+            return let(no, lambda n: F.date_add(
+                month_start(n), (rank - later(n) + 12).cast("int")))
+
+        return let(let(p, lambda x: x["l"] * s["b"] + x["r"]), lambda rank: F.when(
+            s["early"], F.date_add(month_start(F.floor(rank / 12)), (rank % 12).cast("int")))
+            .otherwise(late_day(rank)))
+
+    def ranked(d: Column) -> Column:
+        no = (F.year(d) - 1800) * 12 + F.month(d) - 1
+        early = F.dayofmonth(d) <= 12
+        a, b = [F.when(early, x).otherwise(y).cast("long") for x, y in zip(EARLY, LATE)]
+        rank = F.when(early, 12 * no + F.dayofmonth(d) - 1).otherwise(
+            F.datediff(d, start) - 12 * (no + 1)).cast("long")
+        return F.struct(early.alias("early"), a.alias("a"), b.alias("b"), rank.alias("rank"))
+
+    return let(let(day, ranked), new)
 
 
 def _date(m: Column, key: str) -> Column:
-    def new(n: Column) -> Column:
-        p = permute(F.floor(n / DAYS[1]), n % DAYS[1], *DAYS, key, "date")
-        day = let(p, lambda s: F.date_add(F.lit(FIRST_DAY).cast("date"),
-                                          (s["l"] * DAYS[1] + s["r"]).cast("int")))
-        def text(d: Column) -> Column:
-            iso = F.regexp_replace(d.cast("string"), "-", "")
-            other = F.concat(F.substring(iso, 7, 2), F.substring(iso, 5, 2), F.substring(iso, 1, 4))
-            return F.when(m.rlike("^[0-9]{4}"), iso).otherwise(other)
-        return refill(m, let(day, text))
-    return let(F.datediff(_day(m), F.lit(FIRST_DAY).cast("date")), new)
+    """Written in the match's order; one-digit places stay without a zero."""
+    def text(d: Column) -> Column:
+        p, sep = F.split(m, "[-/.]"), F.regexp_extract(m, "[-/.]", 0)
+
+        def two(value: Column, like: Column) -> Column:
+            return F.when(F.length(like) == 1, value.cast("string")).otherwise(
+                F.lpad(value.cast("string"), 2, F.lit("0")))
+
+        year, month, day = F.year(d).cast("string"), F.month(d), F.dayofmonth(d)
+        return F.concat(
+            F.when(F.length(p[0]) == 4, year).when(p[1].cast("int") > 12, two(month, p[0]))
+            .otherwise(two(day, p[0])), sep,
+            F.when((F.length(p[0]) < 4) & (p[1].cast("int") > 12), two(day, p[1]))
+            .otherwise(two(month, p[1])), sep,
+            F.when(F.length(p[0]) == 4, two(day, p[2])).otherwise(year))
+
+    return let(permute_day(_day(m), key), text)
 
 
 def _letters(text: Column, key: str, kind: str, n: Column) -> Column:
@@ -184,10 +325,10 @@ def _iban(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    """Country code kept, the number permuted."""
-    code = F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[ .-]|\()", 0)
+    """Country code and leading zeros kept, the number permuted."""
+    code = F.regexp_extract(m, r"^(?:(?:\+|00)[0-9]{1,3}(?=[ .-]|\()|1(?=[ .-]))", 0)
     rest = F.substring(m, F.length(code) + 1, F.length(m))
-    return F.concat(code, refill(rest, permute_digits(_only_digits(rest), key, "phone")))
+    return F.concat(code, refill(rest, permute_number(_only_digits(rest), key, "phone")))
 
 
 def kind_of(m: Column) -> Column:
@@ -197,7 +338,7 @@ def kind_of(m: Column) -> Column:
     digits = _only_digits(m)
     return (F.when(m.contains("@"), "email")
             .when(whole("iban"), "iban")
-            .when(whole("ip"), "ip")
+            .when(whole("ip"), F.when(~m.contains(":") | _is_ip6(m), "ip"))
             .when(whole("date"), F.when(_day(m).isNotNull(), "date"))
             .when(whole("card"), F.when(F.pmod(luhn_sum(digits), F.lit(10)) == 0, "card")
                   .when(m.rlike(r"^[0-9]{4}[ -]"), "card"))
@@ -207,6 +348,7 @@ def kind_of(m: Column) -> Column:
 def pseudonym(m: Column, kind: Column, key: str = KEY) -> Column:
     digits = refill(m, permute_digits(_only_digits(m), key, "ssn"))
     return (F.when(kind == "email", _email(m, key)).when(kind == "iban", _iban(m, key))
+            .when((kind == "ip") & m.contains(":"), _ip6(m, key))
             .when(kind == "ip", _ip(m, key)).when(kind == "date", _date(m, key))
             .when(kind == "card", _card(m, key)).when(kind == "ssn", digits)
             .when(kind == "phone", _phone(m, key)).otherwise(m))

@@ -1,6 +1,7 @@
 """Pseudonyms: permutations of each format, linked across documents."""
 
 import datetime
+import ipaddress
 import re
 
 from pyspark.sql import functions as F
@@ -86,3 +87,70 @@ def test_counts_and_neighbours(spark):
     df = spark.createDataFrame([(1, t)], "doc_id long, text string")
     r = pii.pseudonym_report(df).first()
     assert (r.n_found, r.n_phone, r.n_card, r.n_ip, r.n_email, r.n_ssn) == (5, 1, 1, 1, 1, 1)
+
+
+def shape(t):
+    return re.sub("[0-9]", "9", t)
+
+
+WRITTEN = [
+    ("date", "12/25/2024"), ("date", "12.31.1999"), ("date", "3/4/2024"), ("date", "3/25/2024"),
+    ("date", "2024-3-4"), ("date", "25.3.2024"),
+    ("phone", "+33 6 12 34 56 78"), ("phone", "+81 3 1234 5678"), ("phone", "0033 6 12 34 56 78"),
+    ("phone", "+33 (0)6 12 34 56 78"), ("phone", "06 12 34 56 78"), ("phone", "0612345678"),
+    ("phone", "0170 1234567"), ("phone", "020 7946 0958"), ("phone", "(030) 1234567"),
+    ("phone", "030/1234567"), ("phone", "555 123 4567"), ("phone", "1-456-555-2186"),
+    ("ip", "2001:db8::1"), ("ip", "2001:0DB8:0:0:0:0:0:1"), ("ip", "fe80::1:2")]
+
+
+def test_written_forms(spark):
+    df = spark.createDataFrame([(i, f"x {v}, y ({v}).") for i, (_, v) in enumerate(WRITTEN)],
+                               "doc_id long, text string")
+    for r in pii.pseudonym_report(df).collect():
+        kind, value = WRITTEN[r.doc_id]
+        assert (r.n_found, r[f"n_{kind}"]) == (2, 2), value
+        new = re.fullmatch(r"x (.+), y \(\1\)\.", r.text)[1]
+        assert new != value
+        if kind == "ip":
+            ipaddress.IPv6Address(new)
+        elif kind == "phone":
+            assert shape(new) == shape(value)
+            assert value[0] not in "0+" or new[0] == value[0]
+        else:   # again a date of the same order
+            sep = re.search("[-/.]", value)[0]
+            a, b = [[int(n) for n in t.split(sep)] for t in (value, new)]
+            assert [n > 31 for n in a] == [n > 31 for n in b]
+            assert a[0] > 31 or (a[1] > 12) == (b[1] > 12)
+            assert all(x.lstrip("0") == x for x, y in zip(new.split(sep), value.split(sep))
+                       if len(y) == 1)
+
+
+def test_equal_values_in_new_forms_are_linked(spark):
+    days = run(spark, ["12/25/2024", "2024-12-25", "25.12.2024", "3/4/2024", "03/04/2024", "2024-4-3"])
+    parts = [[int(n) for n in re.split("[-/.]", t)] for t in days]
+    m, d, y = parts[0]
+    assert parts[1] == [y, m, d] and parts[2] == [d, m, y]
+    assert parts[3] == parts[4] == parts[5][::-1]
+    six, seven = run(spark, ["2001:db8::1", "2001:0DB8:0:0:0:0:0:1"])
+    assert six == seven
+    tel = run(spark, ["+33 6 12 34 56 78", "06 12 34 56 78", "0033 6 12 34 56 78", "0612345678"])
+    assert len({re.sub("[^0-9]", "", t)[-9:] for t in tel}) == 1
+
+
+def test_numbers_and_days_are_permuted_in_their_class(spark):
+    df = spark.range(10 ** 3).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
+    out = df.select("d", pii.permute_number(F.col("d"), "k", "t").alias("n")).collect()
+    assert len({r.n for r in out}) == 1000
+    assert all(len(r.d.lstrip("0")) == len(r.n.lstrip("0")) and len(r.n) == 3 for r in out)
+    day = F.date_add(F.lit(pii.FIRST_DAY).cast("date"), F.col("id").cast("int"))
+    days = spark.range(146_097).select(day.alias("d"), pii.permute_day(day, "k").alias("n"))
+    bad = (F.dayofmonth("d") <= 12) != (F.dayofmonth("n") <= 12)
+    r = days.agg(F.count_distinct("n").alias("n"), F.sum(bad.cast("int")).alias("bad"),
+                 F.min("n").cast("string").alias("lo"), F.max("n").cast("string").alias("hi")).first()
+    assert tuple(r) == (146_097, 0, "1800-01-01", "2199-12-31")
+
+
+def test_look_alikes_are_left_alone(spark):
+    texts = ["10:20:30", "std::vector a::b", "1:2:3:4:5:6:7:8:9", "1::2::3", "13/13/2024", "0.123 45",
+             "2/30/2024", "007 and 0 12", "add::bad", "1/2/3", "v 3.4.20245"]
+    assert run(spark, texts) == texts
