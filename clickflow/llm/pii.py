@@ -1,6 +1,6 @@
 """Format-preserving pseudonyms for personal data.
 
-Validated numbers, addresses and dates found in a text are replaced by values
+Numbers, addresses and dates found in a text are replaced by values
 of the same format through a keyed permutation of that format's values: an
 alternating Feistel network with modular addition. Equal values get equal
 pseudonyms in every document, different values different ones. Everything is
@@ -9,13 +9,16 @@ Spark expressions; rows without a match pass untouched.
 Forms taken:
 
 * e-mail addresses;
-* IBANs, together or in groups of four;
+* IBANs of the countries and lengths of ``IBAN_LENGTHS``, together or in groups of
+  four, with right check digits; so are the pseudonyms' (national check digits
+  inside are not looked at);
 * IPv4, and IPv6 in full or with ``::`` (with a decimal digit in it);
 * dates with a four-digit year from 1800 to 2199 and ``-``, ``/`` or ``.``: year
   first, day first, or month first if the day is over 12 (12/25/2024); days and
   months of one or two digits. 03/04/2024 is read day first;
-* card numbers of 13 to 19 digits, together or as 4-4-4-4 or 4-6-5;
-* 078-05-1120;
+* card numbers of 13 to 19 digits with a right Luhn sum; as 4-4-4-4 or 4-6-5 also
+  with a wrong one, whose pseudonym is wrong by as much;
+* social security and taxpayer numbers (078-05-1120) without impossible parts;
 * phone numbers: international with ``+`` or a separated ``00`` code; national
   with a leading zero (06 12 34 56 78, 0170 1234567, (030) 1234567, 030/1234567,
   0612345678); 3-3-4 with blank, dot or hyphen, also (555) 123-4567 and 1-555-...
@@ -42,18 +45,29 @@ DAY = "(?:3[01]|[12][0-9]|0?[1-9])"
 # A number after its area code: together, or two to four groups
 LOCAL = (r"(?:[0-9]{5,8}(?:-[0-9]{1,4})?|(?=[0-9](?:[ .-]?[0-9]){4})[0-9]{2,4}"
          r"(?:[ .-][0-9]{2,4}){1,3})")
+# Countries by the length of their IBANs
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FO FI GL NL SD", 19: "MK SI",
+    20: "AT BA EE KZ XK LT LU MN", 21: "HR LV LI CH", 22: "BG BH CR GE DE IE ME RS GB VA",
+    23: "TL GI IQ IL OM SO AE", 24: "AD CZ MD PK RO SA SK ES SE TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
 # Kinds in order of precedence at the same place. Digits may not touch others.
 PATTERNS = {
     "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*"
              r"\.[A-Za-z]{2,}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(
+        rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}"
+        + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        for n, c in IBAN_LENGTHS.items()) + ")(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])"
           rf"|(?<![0-9A-Za-z_:.])(?=[A-Fa-f:]*[0-9])(?:(?:{HEX}:){{7}}{HEX}"
           rf"|(?:{HEX}(?::{HEX}){{0,6}})?::(?:{HEX}(?::{HEX}){{0,6}})?)(?![0-9A-Za-z_:]|\.[0-9])",
     "date": rf"(?<![0-9/.-])(?:{YEAR}([-/.]){MONTH}\1{DAY}|{DAY}([-/.]){MONTH}\2{YEAR}"
             rf"|{MONTH}([-/.]){DAY}\3{YEAR})(?![0-9/-]|\.[0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "ssn": r"(?<![0-9-])(?!000|666)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "phone": "(?:" + "|".join([
         # after a country code; a first group of one digit needs two more groups
         r"(?:(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?|(?<![0-9A-Za-z.,+-])00[1-9][0-9]{0,2}[ .-])"
@@ -175,13 +189,14 @@ def luhn_sum(digits: Column) -> Column:
 
 
 def _card(m: Column, key: str) -> Column:
-    """First digit kept, the others permuted, the check digit made right."""
+    """First digit kept, the others permuted, the check digit made right -- or
+    wrong by as much as it was, so mistyped numbers get pseudonyms of their own."""
     def new(d: Column) -> Column:
         n = F.length(d)
         body = F.concat(F.substring(d, 1, 1), permute_digits(
             F.substring(d, F.lit(2), n - 2), key, "card"))
         return let(body, lambda b: F.concat(b, F.pmod(
-            F.lit(10) - F.pmod(luhn_sum(F.concat(b, F.lit("0"))), F.lit(10)), F.lit(10))
+            luhn_sum(d) - luhn_sum(F.concat(b, F.lit("0"))), F.lit(10))
             .cast("string")))
     return refill(m, new(_only_digits(m)))
 
@@ -318,10 +333,52 @@ def _email(m: Column, key: str) -> Column:
     return F.concat(_letters(F.lower(m), key, "email", local), F.lit("@mail.invalid"))
 
 
+def mod97(text: Column) -> Column:
+    """Remainder of the number that letters (A is 10) and digits spell."""
+    def add(a: Column, c: Column) -> Column:
+        return F.when(c.between("0", "9"), a * 10 + F.ascii(c) - 48).otherwise(
+            a * 100 + F.ascii(c) - 55) % 97
+    return F.aggregate(F.split(text, ""), F.lit(0), add)
+
+
+def _is_iban(m: Column) -> Column:
+    def right(t: Column) -> Column:
+        return F.substring(t, 3, 2).between("02", "98") & (mod97(F.concat(
+            F.substring(t, F.lit(5), F.length(t)), F.substring(t, 1, 4))) == 1)
+    return let(F.replace(m, F.lit(" "), F.lit("")), right)
+
+
 def _iban(m: Column, key: str) -> Column:
-    """Country kept, digits permuted, letters kept; spaces as they were."""
-    head, rest = F.substring(m, 1, 2), F.substring(m, F.lit(3), F.length(m))
-    return F.concat(head, refill(rest, permute_digits(_only_digits(rest), key, "iban")))
+    """Country and letters kept, digits permuted, check digits made right;
+    spaces as they were."""
+    head, rest = F.substring(m, 1, 2), F.substring(m, F.lit(5), F.length(m))
+
+    def new(r: Column) -> Column:
+        body = F.concat(F.replace(r, F.lit(" "), F.lit("")), head, F.lit("00"))
+        return F.concat(head, F.lpad((98 - mod97(body)).cast("string"), 2, "0"), r)
+    return let(refill(rest, permute_digits(_only_digits(rest), key, "iban")), new)
+
+
+def _ssn(m: Column, key: str) -> Column:
+    """Areas of persons (below 900, without 000 and 666) and of taxpayers (from
+    900) apart; no part all zeros."""
+    def new(s: Column) -> Column:
+        low = s["area"] < 900
+        areas = F.when(low, 898).otherwise(100).cast("long")
+        left = F.when(low, s["area"] - F.when(s["area"] > 666, 2).otherwise(1)).otherwise(
+            s["area"] - 900)
+        p = permute(left, (s["group"] - 1) * 9999 + s["serial"] - 1, areas, 99 * 9999, key, "ssn")
+
+        def text(x: Column) -> Column:
+            area = F.when(~low, x["l"] + 900).otherwise(
+                x["l"] + F.when(x["l"] >= 665, 2).otherwise(1))
+            return F.concat_ws("-", *[F.lpad(v.cast("string"), n, F.lit("0")) for v, n in (
+                (area, 3), (F.floor(x["r"] / 9999) + 1, 2), (x["r"] % 9999 + 1, 4))])
+        return let(p, text)
+
+    p = F.split(m, "-")
+    return let(F.struct(*[p[i].cast("long").alias(n) for i, n in enumerate(
+        ("area", "group", "serial"))]), new)
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -337,7 +394,7 @@ def kind_of(m: Column) -> Column:
         return m.rlike(f"^(?:{PATTERNS[k]})$")
     digits = _only_digits(m)
     return (F.when(m.contains("@"), "email")
-            .when(whole("iban"), "iban")
+            .when(whole("iban"), F.when(_is_iban(m), "iban"))
             .when(whole("ip"), F.when(~m.contains(":") | _is_ip6(m), "ip"))
             .when(whole("date"), F.when(_day(m).isNotNull(), "date"))
             .when(whole("card"), F.when(F.pmod(luhn_sum(digits), F.lit(10)) == 0, "card")
@@ -346,21 +403,31 @@ def kind_of(m: Column) -> Column:
 
 
 def pseudonym(m: Column, kind: Column, key: str = KEY) -> Column:
-    digits = refill(m, permute_digits(_only_digits(m), key, "ssn"))
     return (F.when(kind == "email", _email(m, key)).when(kind == "iban", _iban(m, key))
             .when((kind == "ip") & m.contains(":"), _ip6(m, key))
             .when(kind == "ip", _ip(m, key)).when(kind == "date", _date(m, key))
-            .when(kind == "card", _card(m, key)).when(kind == "ssn", digits)
+            .when(kind == "card", _card(m, key)).when(kind == "ssn", _ssn(m, key))
             .when(kind == "phone", _phone(m, key)).otherwise(m))
 
 
+def _pattern(text: Column) -> Column:
+    """``ANY``, where what looks like an IBAN and is none does not hide what
+    stands in it (a card after a word of two letters and two digits, say)."""
+    wrong = F.filter(F.regexp_extract_all(text, F.lit(PATTERNS["iban"]), F.lit(0)),
+                     lambda m: ~_is_iban(m))
+    before, after = ANY.split(f"(?:{PATTERNS['iban']})")
+    return let(wrong, lambda w: F.when(F.size(w) > 0, F.concat(
+        F.lit(before + "(?!(?:"), F.array_join(F.array_distinct(w), "|"),
+        F.lit(f")(?![A-Za-z0-9]))(?:{PATTERNS['iban']}){after}"))).otherwise(F.lit(ANY)))
+
+
 def replace_pii(text: Column, key: str = KEY) -> Column:
     """Struct (text, kinds): the text with pseudonyms in place, and the kind of
     every replaced value in order. NULL stays NULL, with no kinds."""
     none = F.array().cast("array<string>")
 
-    def replaced(found: Column) -> Column:
-        gaps = F.split(text, ANY, -1)
+    def replaced(found: Column, pattern: Column) -> Column:
+        gaps = F.split(text, pattern, -1)
         pairs = F.transform(found, lambda m: let(kind_of(m), lambda k: F.struct(
             k.alias("kind"), pseudonym(m, k, key).alias("new"))))
         return let(F.struct(gaps.alias("gaps"), pairs.alias("pairs")), lambda z: F.struct(
@@ -369,11 +436,14 @@ def replace_pii(text: Column, key: str = KEY) -> Column:
             F.filter(F.transform(z["pairs"], lambda p: p["kind"]), lambda k: k.isNotNull())
             .alias("kinds")))
 
-    # every kind has a digit or an @
-    found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))) \
-        .otherwise(none)
-    return let(found, lambda m: F.when(F.size(m) > 0, replaced(m)).otherwise(
-        F.struct(text.alias("text"), none.alias("kinds"))))
+    def by(pattern: Column) -> Column:
+        # every kind has a digit or an @
+        found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, pattern, F.lit(0))) \
+            .otherwise(none)
+        return let(found, lambda m: F.when(F.size(m) > 0, replaced(m, pattern)).otherwise(
+            F.struct(text.alias("text"), none.alias("kinds"))))
+
+    return let(_pattern(text), by)
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:

@@ -154,3 +154,37 @@ def test_look_alikes_are_left_alone(spark):
     texts = ["10:20:30", "std::vector a::b", "1:2:3:4:5:6:7:8:9", "1::2::3", "13/13/2024", "0.123 45",
              "2/30/2024", "007 and 0 12", "add::bad", "1/2/3", "v 3.4.20245"]
     assert run(spark, texts) == texts
+
+
+def iban_ok(t):
+    t = t.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1
+
+
+def test_checked_numbers_stay_right_and_wrong_ones_apart(spark):
+    ibans = [IBAN, "DE89370400440532013000", "FR14 2004 1010 0505 0001 3M02 606",
+             "BE68 5390 0754 7034", "NO93 8601 1117 947"]
+    out = run(spark, [f"{v} USA" for v in ibans] + ["AB12 CDEF GHIJ KLMN", "GB30 NWBK 6016 1331 9268 19",
+                                                    f"BE12 {CARD[:4]} {CARD[4:8]} {CARD[8:12]} {CARD[12:]}",
+                                                    "000-12-3456 666-12-3456 123-00-4567 123-45-0000"])
+    for v, t in zip(ibans, out):
+        new = t.removesuffix(" USA")
+        assert new != v and iban_ok(new) and new[:2] == v[:2] and shape(new) == shape(v)
+    assert out[5] == "AB12 CDEF GHIJ KLMN" and out[6] == "GB30 NWBK 6016 1331 9268 19"
+    assert out[7][:5] == "BE12 " and luhn_ok(out[7][5:]) and CARD not in out[7].replace(" ", "")
+    assert out[8] == "000-12-3456 666-12-3456 123-00-4567 123-45-0000"
+    cards = run(spark, [" ".join(f"4111 1111 1111 111{i}," for i in range(10))])[0].split(", ")
+    assert len({c.strip(",") for c in cards}) == 10 and [luhn_ok(c) for c in cards].count(True) == 1
+    assert luhn_ok(cards[1])
+
+
+def test_social_security_numbers_are_permuted_in_their_class(spark):
+    df = spark.range(1, 1000).where("id <> 666").select(
+        F.concat(F.lpad(F.col("id").cast("string"), 3, "0"), F.lit("-99-9999")).alias("s"))
+    out = df.select("s", pii._ssn(F.col("s"), "k").alias("n")).collect()
+    assert len({r.n for r in out}) == 998
+    for r in out:
+        area, group, serial = r.n.split("-")
+        assert (area < "900") == (r.s < "900") and area not in ("000", "666")
+        assert [len(area), len(group), len(serial)] == [3, 2, 4]
+        assert group != "00" and serial != "0000"
