@@ -125,3 +125,39 @@ def test_domain_parts(spark, host, want):
     from pyspark.sql import functions as F
     d, s = hosts.domain_parts(F.col("h"))
     assert tuple(spark.createDataFrame([(host,)], "h string").select(d, s).first()) == want
+
+
+def test_addresses_ports_and_a_given_suffix_list(spark):
+    from pyspark.sql import functions as F
+    want = {"10.1.2.3": ("10.1.2.3",) * 2, "10.1.2.3:80": ("10.1.2.3",) * 2,
+            "[2001:db8::1]:80": ("[2001:db8::1]",) * 2, "[2001:db8::1]": ("[2001:db8::1]",) * 2,
+            "u@a.b.org:8080": ("b.org", "org"), "b.co.uk:80": ("b.co.uk", "co.uk")}
+    df = spark.createDataFrame([(h, 1) for h in want], "host string, n int")
+    assert {r.host: (r.domain, r.suffix) for r in hosts.with_domains(df).collect()} == want
+    listed = spark.createDataFrame([(s,) for s in (
+        "com", "com.cn", "Gov.UK", "*.ck", "!www.ck", "k12.ma.us", "com.cn", None, "")],
+        "suffix string")
+    want = {"a.b.com.cn": ("b.com.cn", "com.cn"), "x.gov.uk:80": ("x.gov.uk", "gov.uk"),
+            "a.b.c.ck": ("b.c.ck", "c.ck"), "a.www.ck": ("www.ck", "ck"), "c.ck": ("c.ck", "c.ck"),
+            "p.q.k12.ma.us": ("q.k12.ma.us", "k12.ma.us"), "a.b.co.uk": ("co.uk", "uk"),
+            "com.cn": ("com.cn", "com.cn"), "x.com": ("x.com", "com"), "": ("", ""),
+            "local": ("local", "local"), "10.1.2.3": ("10.1.2.3",) * 2}
+    df = spark.createDataFrame([(h, 1) for h in want], "host string, n int")
+    out = hosts.with_domains(df, listed)
+    assert out.columns == ["host", "n", "domain", "suffix"] and out.count() == len(want)
+    assert {r.host: (r.domain, r.suffix) for r in out.collect()} == want
+    assert hosts.with_domains(df, listed.limit(0)).where(F.col("domain").isNull()).count() == 0
+
+
+def test_a_new_host_follows_its_own_site_under_a_listed_suffix(spark):
+    rows, labels = [], []
+    for d in range(20):
+        for k in range(20):
+            rows.append((len(rows), f"http://h{k % 2}.d{d}.com.cn/p"))
+            labels.append((rows[-1][0], int(d >= 10)))
+        rows.append((len(rows), f"http://new.d{d}.com.cn/"))
+    out = hosts.judge_urls(spark.createDataFrame(rows, "page_id long, url string"),
+                           spark.createDataFrame(labels, "page_id long, good int"),
+                           suffixes=spark.createDataFrame([("com.cn",)], "suffix string")).collect()
+    rate = {r.host: r.rate for r in out}
+    assert rate["new.d0.com.cn"] < 0.2 and rate["new.d19.com.cn"] > 0.8
