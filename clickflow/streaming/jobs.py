@@ -80,10 +80,11 @@ def pv_hourly_stream(behaviors: DataFrame, delay: str = "0 seconds") -> DataFram
             .select(F.lit("pv").alias("url"), _end(), "count"))
 
 
-def pv_hourly_salted_stream(behaviors: DataFrame, buckets: int = 100) -> DataFrame:
+def pv_hourly_salted_stream(behaviors: DataFrame, buckets: int = 100,
+                            delay: str = "0 seconds") -> DataFrame:
     """A3 + ST5 streaming: salted partial counts per (window, salt), then a
     chained aggregation sums them per window (both in append mode)."""
-    pv = with_event_time(bh.page_views(behaviors))
+    pv = with_event_time(bh.page_views(behaviors), delay)
     salt = F.pmod(F.xxhash64("user_id", "item_id", "ts_sec", "seq"), F.lit(buckets))
     part = pv.groupBy(F.window("ts", "1 hour").alias("w"), salt.alias("salt")).count()
     return (part.groupBy("w").agg(F.sum("count").alias("count"))
@@ -98,20 +99,22 @@ def _uv_stream(pv: DataFrame, id_col: str) -> DataFrame:
             .select(F.lit("uv").alias("url"), _end(), "count"))
 
 
-def uv_hourly_stream(behaviors: DataFrame) -> DataFrame:
+def uv_hourly_stream(behaviors: DataFrame, delay: str = "0 seconds") -> DataFrame:
     """A4 streaming."""
-    return _uv_stream(with_event_time(bh.page_views_exact(behaviors)), "user_id")
+    return _uv_stream(with_event_time(bh.page_views_exact(behaviors), delay), "user_id")
 
 
-def uv_hourly_bitmap_stream(behaviors: DataFrame, mask: int = DEFAULT_MASK) -> DataFrame:
+def uv_hourly_bitmap_stream(behaviors: DataFrame, mask: int = DEFAULT_MASK,
+                            delay: str = "0 seconds") -> DataFrame:
     """A5 streaming: distinct bitmap offsets per hour."""
-    pv = with_event_time(bh.with_offset(bh.page_views_exact(behaviors), mask))
+    pv = with_event_time(bh.with_offset(bh.page_views_exact(behaviors), mask), delay)
     return _uv_stream(pv, "offset")
 
 
-def uv_hourly_approx_stream(behaviors: DataFrame, rsd: float = 0.05) -> DataFrame:
+def uv_hourly_approx_stream(behaviors: DataFrame, rsd: float = 0.05,
+                            delay: str = "0 seconds") -> DataFrame:
     """A5, Spark-native: an HLL++ sketch per hour (one aggregation)."""
-    pv = with_event_time(bh.page_views_exact(behaviors))
+    pv = with_event_time(bh.page_views_exact(behaviors), delay)
     return (pv.groupBy(F.window("ts", "1 hour").alias("w"))
             .agg(F.approx_count_distinct("user_id", rsd).alias("count"))
             .select(F.lit("uv").alias("url"), _end(), "count"))
@@ -210,10 +213,11 @@ def ad_clicks_by_province_stream(passed: DataFrame, size: str = "1 hour",
 
 
 def marketing_by_channel_stream(events: DataFrame, size: str = "1 hour",
-                                slide: str = "5 seconds") -> DataFrame:
+                                slide: str = "5 seconds",
+                                delay: str = "0 seconds") -> DataFrame:
     """A7 streaming: 5 s pane counts, then a chained sliding sum of panes
     (each pane row, not each event, is expanded to its 720 windows)."""
-    e = with_event_time(not_uninstall(events))
+    e = with_event_time(not_uninstall(events), delay)
     # ``window_time`` (the pane's last instant) keeps the event-time marker;
     # panes align with the slide, so it lies in exactly the pane's windows
     panes = (e.groupBy(F.window("ts", slide).alias("p"), "channel", "behavior").count()

@@ -5,6 +5,7 @@ far-future sentinel row, which moves the watermark past every real window
 so append-mode results are complete; the sentinel's own window never closes.
 """
 
+import collections
 import os
 
 import pytest
@@ -459,6 +460,33 @@ def test_one_query_forms_accept_late_rows(spark, scratch):
         assert rows(got, key) == rows(want, key)
 
 
+@pytest.mark.parametrize("name,batch", [
+    ("pv_hourly_salted", bh.pv_hourly), ("uv_hourly", bh.uv_hourly),
+    ("uv_hourly_bitmap", bh.uv_hourly_bitmap), ("uv_hourly_approx", bh.uv_hourly_approx)])
+def test_hourly_counts_take_a_delay(spark, scratch, name, batch):
+    d, far = os.path.join(scratch, "in"), 10 * 86_400
+    _files(spark, d, _late_views() + [[(0, 0, 0, "pv", DAY + far, 99)]], BEHAVIOR)
+    s = getattr(jobs, f"{name}_stream")(_stream(spark, d, BEHAVIOR), delay="2 hours")
+    got = _run(s, f"delay_{name}", scratch).where(F.col("window_end") < (DAY + far) * 1000)
+    views = spark.createDataFrame([r for b in _late_views() for r in b], BEHAVIOR)
+    assert rows(got) == rows(batch(views))
+
+
+def test_marketing_takes_a_delay(spark, scratch):
+    d, far, schema = os.path.join(scratch, "in"), 10 * 86_400, "channel string, behavior string, ts_ms long"
+    batches = [[("a", "CLICK", DAY * 1000)], [("a", "CLICK", (DAY + 7000) * 1000)],
+               [("a", "CLICK", (DAY + 1) * 1000), ("b", "CLICK", (DAY + 100) * 1000)]]
+    _files(spark, d, batches + [[("z", "CLICK", (DAY + far) * 1000)]], schema)
+    s = jobs.marketing_by_channel_stream(_stream(spark, d, schema), slide="5 minutes", delay="3 hours")
+    got = _run(s, "delay_marketing", scratch).where("channel <> 'z'")
+    want = collections.Counter()
+    for channel, behavior, ms in (r for b in batches for r in b):
+        first = ms // 300_000 * 300_000 + 300_000
+        for k in range(12):
+            want[channel, behavior, first + k * 300_000] += 1
+    assert rows(got) == sorted(((*k, n) for k, n in want.items()), key=repr)
+
+
 def test_rows_beyond_the_delay_are_counted(spark, scratch):
     d = os.path.join(scratch, "in")
     batches = [[(1, 1, "a", "x", DAY, 1)], [(1, 1, "a", "x", DAY + 5 * 86_400, 2)],
