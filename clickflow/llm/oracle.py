@@ -163,6 +163,40 @@ SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign,
 FROM doc LEFT JOIN one USING (r)"""
 
 
+def _op13(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """One pair of CTEs a round: distances by dimension, then exact means."""
+    ctes = [f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims})""",
+            f"""pt AS MATERIALIZED (
+  SELECT r, d, CAST(floor(1024 * CAST(embedding[d] AS DOUBLE)) AS BIGINT) AS x
+  FROM kept, range(1, {dims + 1}) t(d))""",
+            f"""c0 AS MATERIALIZED (
+  SELECT c, d, x FROM (SELECT r, row_number() OVER (
+    ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)) NULLS LAST, embedding) - 1 AS c
+    FROM kept) JOIN pt USING (r) WHERE c < {k})"""]
+    for i in range(rounds + 1):
+        ctes.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, (dist, c)) AS c, min(dist) AS dist
+  FROM (SELECT r, c, sum((pt.x - c{i}.x) * (pt.x - c{i}.x)) AS dist
+        FROM pt JOIN c{i} USING (d) GROUP BY r, c) GROUP BY r)""")
+        if i < rounds:
+            ctes.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c, d, coalesce((s - ((s % n) + n) % n) // n, x) AS x
+  FROM c{i} LEFT JOIN (SELECT c, d, sum(x) AS s, count(*) AS n FROM pt JOIN a{i} USING (r)
+                       GROUP BY c, d) USING (c, d))""")
+    body = ",\n".join(ctes)
+    return f"""
+WITH {body},
+per AS (SELECT c, CAST(sum(dist) AS BIGINT) AS ci FROM a{rounds} GROUP BY c),
+digest AS (SELECT c, sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY d)) AS sha
+           FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(dist AS BIGINT) AS distance, ci AS cluster_inertia,
+       CAST((SELECT sum(ci) FROM per) AS BIGINT) AS inertia, sha AS centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN per USING (c) JOIN digest USING (c)"""
+
+
 def llm_sql() -> dict[str, str]:
     return {"op6_benchmark_ngrams": OP6, "op7_warc_segments": OP7, "op8_trigram_secrets": _op8(),
-            "op10_host_filter": OP10}
+            "op10_host_filter": OP10,
+            "op13_rotated_centroids": _op13()}
