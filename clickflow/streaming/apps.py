@@ -12,16 +12,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clickflow import schemas
 from clickflow.operators import cdc, dau, orders
+from clickflow.operators.windows import rank_in_group
 from clickflow.session import sub_dir
 from clickflow.sinks import (ranked_batches, read_user_state, touched_buckets, update_user_state,
                              upsert_docs, write_batch)
-from clickflow.sinks.writers import STATE_BUCKETS
+from clickflow.sinks.store import Store
+from clickflow.sinks.writers import BATCH, STATE_BUCKETS
 from clickflow.sources import scans
-from clickflow.streaming import jobs
+from clickflow.streaming import jobs, keyed
 from clickflow.streaming.run import DEFAULT_INTERVAL, start
 
 ORDER_TOPIC = "ODS_ORDER_INFO"
@@ -95,6 +98,28 @@ def order_app(order_values: DataFrame, state_path: str, provinces: DataFrame,
                  checkpoint=sub_dir(spark, "streams", name))
 
 
+def order_state_app(order_values: DataFrame, provinces: DataFrame, users: DataFrame,
+                    out_path: str, user_state: DataFrame | None = None,
+                    trigger: str = DEFAULT_INTERVAL, name: str = "orders",
+                    bad_path: str | None = None) -> list[StreamingQuery]:
+    """``order_app`` with the users' consumed flags in keyed state (J5), seeded
+    from ``user_state`` when the query first starts: a batch reads its own
+    orders and the dimensions and nothing that earlier batches wrote. The
+    enriched orders go to a file sink, which takes each batch once. Malformed
+    records go to ``bad_path`` by a query of their own."""
+    spark = order_values.sparkSession
+    good = orders.order_time_parts(scans.good(scans.decode_orders(order_values)))
+    flagged = keyed.first_order_stream(good, user_state)
+    enriched = orders.order_with_user(orders.order_with_province(flagged, provinces), users)
+    qs = [start(enriched, name, path=out_path, trigger=trigger,
+                checkpoint=sub_dir(spark, "streams", name))]
+    if bad_path:
+        bad = scans.bad(scans.decode_orders(order_values, keep=["value"])).select("value")
+        qs.append(start(bad, f"{name}_bad", sink="text", path=bad_path, trigger=trigger,
+                        checkpoint=sub_dir(spark, "streams", f"{name}_bad")))
+    return qs
+
+
 def order_values_from_topics(spark, topics_path: str) -> DataFrame:
     """The ``ODS_ORDER_INFO`` folder written by ``cdc_app`` as a stream."""
     return spark.readStream.schema("value string").text(f"{topics_path}/topic={ORDER_TOPIC}")
@@ -140,3 +165,71 @@ def ad_province_app(spark: SparkSession, out_dir: str, trigger: str = DEFAULT_IN
     return start(jobs.ad_clicks_by_province_stream(passed, delay=delay), name, sink="parquet",
                  path=f"{out_dir}/by_province", trigger=trigger,
                  checkpoint=sub_dir(spark, "streams", name))
+
+
+def route_late_app(flagged: DataFrame, out_path: str, trigger: str = DEFAULT_INTERVAL,
+                   name: str = "late") -> StreamingQuery:
+    """Rows of ``keyed.with_late_flag`` in one file sink, split by ``late``:
+    the folder ``late=true`` parks the late rows, ``on_time_rows`` streams the
+    others."""
+    return start(flagged, name, path=out_path, partition_by=["late"], trigger=trigger,
+                 checkpoint=sub_dir(flagged.sparkSession, "streams", name))
+
+
+def on_time_rows(spark: SparkSession, routed_path: str, schema) -> DataFrame:
+    """The on-time rows of ``route_late_app`` as a stream. It takes whole
+    batches of the router (no limit of files per trigger), so a query with the
+    router's ``delay`` never is ahead of the watermark they were compared with
+    and drops none of them."""
+    return (spark.readStream.schema(_routed(schema)).parquet(routed_path)
+            .where("not late").drop("late"))
+
+
+def parked_rows(spark: SparkSession, routed_path: str, schema) -> DataFrame:
+    """The late rows that ``route_late_app`` has parked, with ``watermark_ms``,
+    the watermark that had passed them; only their folder is read."""
+    return spark.read.schema(_routed(schema)).parquet(routed_path).where("late").drop("late")
+
+
+def _routed(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema, T.StructField("watermark_ms", T.LongType()),
+                         T.StructField("late", T.BooleanType())])
+
+
+def uv_running_app(behaviors: DataFrame, out_path: str, mask: int = jobs.DEFAULT_MASK,
+                   delay: str = "0 seconds", trigger: str = DEFAULT_INTERVAL,
+                   name: str = "uv_running") -> StreamingQuery:
+    """The running UV per hour, exact for rows up to ``delay`` out of order.
+
+    A batch of ``uv_final_firsts_stream`` holds whole seconds, later ones than
+    all batches before. Its rows are counted per (hour, second), a running sum
+    over the seconds and what earlier batches counted of the hour give each
+    second's offset, and rows are numbered only inside their second, so an
+    hour's visitors are spread over its seconds."""
+    spark = behaviors.sparkSession
+    totals = Store(spark, f"{out_path}/totals", "window_end long, n long")
+    ranks = Store(spark, f"{out_path}/ranks", UV_RANKS)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            before = totals.read(before=batch_id).groupBy("window_end").agg(F.sum("n").alias("before"))
+            ranked = rank_in_group(batch, ["window_end"], "ts_sec", "seq", "count")
+            ranks.append(ranked.join(before, "window_end", "left").select(
+                F.lit("uv").alias("url"), "window_end",
+                (F.col("count") + F.coalesce("before", F.lit(0))).alias("count"), "user_id", "ts_sec"),
+                batch_id)
+            totals.append(batch.groupBy("window_end").agg(F.count(F.lit(1)).alias("n")), batch_id)
+        finally:
+            batch.unpersist()
+
+    return start(jobs.uv_final_firsts_stream(behaviors, mask, delay), name, sink="foreach_batch",
+                 foreach_batch=write, trigger=trigger, checkpoint=sub_dir(spark, "streams", name))
+
+
+UV_RANKS = "url string, window_end long, count long, user_id long, ts_sec long"
+
+
+def read_uv_running(spark: SparkSession, out_path: str) -> DataFrame:
+    """The rows that ``uv_running_app`` wrote."""
+    return Store(spark, f"{out_path}/ranks", UV_RANKS).read().drop(BATCH)

@@ -27,6 +27,7 @@ from clickflow.operators import behavior as bh
 from clickflow.operators import dau
 from clickflow.operators.ads import CLICK_COLUMNS, warning_text
 from clickflow.operators.marketing import not_uninstall
+from clickflow.streaming.keyed import final_first_offsets_stream, ring_sums, top_k_windows
 from clickflow.streaming.state import NUMBER_COL, numbered, numbered_chainable
 
 DAY_MS = 86_400_000
@@ -62,6 +63,17 @@ def item_window_counts_stream(behaviors: DataFrame, size: str = "1 hour",
             .select("item_id", _end(), "count"))
 
 
+def hot_items_stream(behaviors: DataFrame, k: int = 5, size: str = "1 hour",
+                     slide: str = "5 minutes", delay: str = "0 seconds") -> DataFrame:
+    """T1 streaming as one plan (append): window_end, rank, item_id, count.
+    The counts' aggregation is followed by two steps that keep ``k`` rows per
+    window each."""
+    pv = with_event_time(bh.page_views(behaviors), delay)
+    counts = pv.groupBy(F.window("ts", size, slide).alias("w"), "item_id").count()
+    return top_k_windows(counts.select("item_id", _end(), "count", F.window_time("w").alias("ts")),
+                         "item_id", k)
+
+
 def page_window_counts_stream(logs: DataFrame, size: str = "20 minutes",
                               slide: str = "5 minutes",
                               delay: str = "61 seconds") -> DataFrame:
@@ -144,6 +156,19 @@ def uv_running_stream(first_offsets: DataFrame, delay: str = HOUR_DELAY) -> Data
                     "user_id", "ts_sec")
 
 
+def uv_final_firsts_stream(behaviors: DataFrame, mask: int = DEFAULT_MASK,
+                           delay: str = "0 seconds") -> DataFrame:
+    """W6, stage 1 of the exact form: window_end, offset, user_id, ts_sec, seq
+    of the rows that set a new bit, each once the watermark reaches it, so
+    rows up to ``delay`` out of order are ranked right. A batch gives out whole
+    seconds; ``apps.uv_running_app`` numbers them."""
+    pv = bh.with_offset(bh.page_views_exact(behaviors), mask)
+    pv = with_event_time(pv.withColumn("window_end", bh.tumbling_end(F.col("ts_sec") * 1000,
+                                                                      bh.HOUR_MS)), delay)
+    return final_first_offsets_stream(
+        pv.select("window_end", "offset", "user_id", "ts_sec", "seq", "ts"))
+
+
 # ---- ads and marketing ---------------------------------------------------------
 
 def ad_click_outcomes_stream(clicks: DataFrame, cap: int = 100,
@@ -227,6 +252,19 @@ def marketing_by_channel_stream(events: DataFrame, size: str = "1 hour",
             .select("channel", "behavior", _end(), "count"))
 
 
+def marketing_ring_stream(events: DataFrame, size_ms: int = bh.HOUR_MS, slide_ms: int = 5_000,
+                          delay: str = "0 seconds") -> DataFrame:
+    """A7 streaming without a fan-out: 5 s pane counts, then a ring of the
+    window's panes per (channel, behavior) whose running sum gives each window
+    end's count. A key without an event in its window gives no rows and keeps
+    no state."""
+    e = with_event_time(not_uninstall(events), delay)
+    panes = (e.groupBy(F.window("ts", f"{slide_ms} milliseconds").alias("p"), "channel", "behavior")
+             .count().select("channel", "behavior", "count", F.window_time("p").alias("pane_time"),
+                             (F.unix_millis("p.start") / slide_ms).cast("long").alias("pane")))
+    return ring_sums(panes, ["channel", "behavior"], size_ms, slide_ms)
+
+
 # ---- app logs ------------------------------------------------------------------
 
 def dau_first_stream(logs: DataFrame, delay: str = DEVICE_DELAY) -> DataFrame:
