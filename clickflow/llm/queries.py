@@ -89,7 +89,7 @@ def op10_host_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return bpe.encode(docs, tokenizer_path()).select(
+    return bpe.encode(docs, tokenizer_path(), replayable=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

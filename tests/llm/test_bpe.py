@@ -37,16 +37,32 @@ def test_encode_and_decode_equal_the_library(spark, tok):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
-def test_blocks_are_bounded_and_words_encoded_once(spark):
+def test_blocks_are_bounded_and_hold_words_once(spark):
     docs = [(i, f"w{i % 7} the end {i}") for i in range(500)]
     df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
-    blocks = bpe.word_blocks(df, block_bytes=1000).cache()
-    sizes = [r.n for r in blocks.where("words is null").groupBy("block").count()
-             .withColumnRenamed("count", "n").collect()]
+    texts = bpe.block_texts(df, block_bytes=1000, parts=8).collect()
+    sizes = [len(r.doc_ids) for r in texts]
     assert sum(sizes) == 500 and len(sizes) > 5 and max(sizes) <= -(-1000 // 12)
-    words = [w for r in blocks.where("words is not null").collect() for w in set(r.words)]
+    rows = bpe.block_words(df, block_bytes=1000, parts=8).collect()
+    words = [w for r in rows for w in bpe.unpack_words(r["size"], r.words)]
     assert words.count("the") == len(sizes)
-    blocks.unpersist()
+    assert len({r.part for r in rows}) == 8 and {r.block for r in rows} == {r.block for r in texts}
+    # "the" and "end" are the frequent words of a block
+    assert all((bpe.unpack(r.codes) < 2).sum() == 2 * len(r.doc_ids) for r in texts)
+
+
+def test_numbers_survive_packing():
+    import numpy as np
+    for x in ([], [0], [1, 2 ** 32 - 1, 77], list(range(70_000))):
+        assert bpe.unpack(bpe.pack(np.array(x, dtype=np.int64))).tolist() == x
+
+
+def test_forgetting_changes_nothing(spark, tok):
+    docs = [(i, f"alpha{i % 11} beta gamma{i % 5}") for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: list(r.ids) for r in bpe.encode(
+        df, queries.tokenizer_path(), block_bytes=300, parts=2, remembered=3).collect()}
+    assert got == {i: tok.encode(t, add_special_tokens=False).ids for i, t in docs}
 
 
 def test_query_digests(spark, tok, tmp_path):
@@ -71,5 +87,20 @@ def test_decode_of_given_ids(spark, tok):
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id string, text string")
+    assert bpe.encode(df, queries.tokenizer_path(), replayable=True).count() == 0
     out = bpe.encode(df, queries.tokenizer_path())
     assert out.count() == 0 and dict(out.dtypes)["doc_id"] == "string"
+
+
+def test_documents_that_change_are_an_error(spark):
+    from pyspark.sql import functions as F
+
+    @F.pandas_udf("string")
+    def other(x):
+        import uuid
+        return x.map(lambda t: " ".join(uuid.uuid4().hex for _ in range(uuid.uuid4().int % 9)))
+
+    df = spark.range(20).select(F.col("id").alias("doc_id"), other(F.lit("x")).alias("text"))
+    with pytest.raises(Exception, match="differently"):
+        bpe.encode(df, queries.tokenizer_path(), replayable=True).collect()
+    assert bpe.encode(df, queries.tokenizer_path()).count() == 20
