@@ -59,11 +59,6 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel().astype(np.int64)
 
 
-def unpack_words(size: int, data: bytes) -> list[str]:
-    # no word holds a line end
-    return pa.decompress(data, size, codec="zstd", asbytes=True).decode().split("\n")
-
-
 class Block:
     """Documents' words: ``words``, the frequent ones first; ``codes``, all
     documents' words as their numbers; ``lengths``, words of each document;
@@ -114,19 +109,21 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int, parts: int
 
 
 def block_texts(docs: DataFrame, block_bytes: int = BLOCK_BYTES, parts: int = PARTS) -> DataFrame:
-    """One row a block: block, doc_ids, and packed ``lengths``, ``codes`` and
-    ``deal`` (see ``Block``)."""
+    """One row a block: block, doc_ids, and packed ``lengths``, ``codes``,
+    ``deal`` (see ``Block``) and ``sums``, a checksum of each part's words."""
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("doc_ids", T.ArrayType(docs.schema["doc_id"].dataType)),
         T.StructField("lengths", T.BinaryType()), T.StructField("codes", T.BinaryType()),
-        T.StructField("deal", T.BinaryType())])
+        T.StructField("deal", T.BinaryType()), T.StructField("sums", T.BinaryType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, ids, block in _blocks(batches, block_bytes, parts):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()),
                  pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                 *(pa.array([pack(x)], pa.binary()) for x in (block.lengths, block.codes, block.deal))],
+                 *(pa.array([pack(x)], pa.binary()) for x in (
+                     block.lengths, block.codes, block.deal,
+                     np.array([zlib.crc32(x) for _, x in block.by_part()], dtype=np.int64)))],
                 schema.names)
         release_memory()
 
@@ -154,7 +151,7 @@ def block_words(docs: DataFrame, block_bytes: int = BLOCK_BYTES, parts: int = PA
 
 
 def encode_parts(words: DataFrame, tokenizer_path: str, remembered: int = REMEMBERED) -> DataFrame:
-    """(of_block, part, counts, ids) of rows (block, part, size, words): the ids
+    """(of_block, part, counts, ids, sum) of rows (block, part, size, words): the ids
     of a block's words of a part, in their order. Rows of a part meet in one
     task, so a word is encoded once for all blocks (again only where a task has
     met more than ``remembered`` words since)."""
@@ -167,9 +164,11 @@ def encode_parts(words: DataFrame, tokenizer_path: str, remembered: int = REMEMB
         tok.no_truncation()
         known: dict[str, bytes] = {}
         for b in batches:
-            counts, ids = [], []
+            counts, ids, sums = [], [], []
             for size, data in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                words = unpack_words(size, data)
+                text = pa.decompress(data, size, codec="zstd", asbytes=True)
+                words = text.decode().split("\n")     # no word holds a line end
+                sums.append(zlib.crc32(text))
                 new = [w for w in words if w not in known]
                 for w, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False)):
                     known[w] = array("I", e.ids).tobytes()
@@ -179,13 +178,13 @@ def encode_parts(words: DataFrame, tokenizer_path: str, remembered: int = REMEMB
                 if len(known) > remembered:
                     known.clear()
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())],
-                ["of_block", "part", "counts", "ids"])
+                [b.column(0), b.column(1), pa.array(counts, pa.binary()), pa.array(ids, pa.binary()),
+                 pa.array(sums, pa.int64())], ["of_block", "part", "counts", "ids", "sum"])
         release_memory()
 
     ready_workers(words.sparkSession)
     return (words.select("block", "part", "size", "words").repartition("part")
-            .mapInArrow(run, "of_block long, part int, counts binary, ids binary"))
+            .mapInArrow(run, "of_block long, part int, counts binary, ids binary, sum long"))
 
 
 def id_to_piece(spark: SparkSession, tokenizer_path: str) -> DataFrame:
@@ -241,7 +240,7 @@ def encode(docs: DataFrame, tokenizer_path: str, block_bytes: int = BLOCK_BYTES,
         flat = np.concatenate([np.zeros(0, dtype=np.int64), *found])
         dealt = np.concatenate([np.zeros(0, dtype=np.int64),
                                 *(unpack(x) for x in right["counts"].to_pylist())])
-        if len(dealt) != len(order) or len(right) != len(np.unique(unpack(block["deal"].as_py()))):
+        if unpack(block["sums"].as_py()).tolist() != right["sum"].to_pylist():
             raise RuntimeError("the documents came differently when read again")
         ends = np.cumsum(dealt)
         counts, starts = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
