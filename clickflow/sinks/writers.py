@@ -1,11 +1,13 @@
 """Batch writers, also used from ``foreachBatch`` for streams.
 
-Tables written batch by batch are append-only: micro-batch ``n`` owns the
-folder ``batch_id=n`` and overwrites only that, so a replayed batch writes the
-same rows again and nothing stored by another batch is ever touched. What
-earlier batches stored is read with ``batch_id < n``. A failed read raises;
-only a path that does not exist counts as an empty table. Compact such a
-table off line with ``compact``.
+Tables written batch by batch are append-only. Outputs (``write_batch``): micro-
+batch ``n`` owns the folder ``batch_id=n``, which appears whole by one rename and
+is not written again by a replay, so a stream that reads such a folder takes each
+row once. Tables that later batches read (documents, user state, re-ranked
+windows) are a ``store.Store``: what earlier batches stored is read with
+``batch_id < n``, and compaction beside the running stream keeps the number of
+folders to list bounded. A failed read raises; only a path that does not exist
+counts as an empty table.
 """
 
 from __future__ import annotations
@@ -17,8 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickflow.operators.windows import top_k
-
-BATCH = "batch_id"
+from clickflow.sinks.store import BATCH, Store
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -40,16 +41,40 @@ def stored_before(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None) -> None:
+    """Write a batch's folder, unless it is there: it appears by one rename
+    (atomic where the file system's renames are), so a replay and a reader
+    beside it find it whole or not at all."""
+    spark = df.sparkSession
+    target = f"{path}/{BATCH}={batch_id}"
+    if path_exists(spark, target):
+        return
+    draft = f"{path}/_drafts/{BATCH}={batch_id}"
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(f"{path}/{BATCH}={batch_id}")
+    w.parquet(draft)
+    hpath = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.rename(hpath(draft), hpath(target)):
+        raise OSError(f"cannot write {target}")
+
+
+def open_store(spark: SparkSession, path: str, schema: T.StructType,
+               partition: str | None = None) -> Store:
+    """The store at ``path``; a failing file system surfaces here."""
+    path_exists(spark, path)
+    return Store(spark, path, schema, partition)
 
 
 def compact(spark: SparkSession, path: str, out: str, schema: T.StructType,
             partition_by: list[str] | None = None) -> None:
-    """Off line: the table's rows as one batch (``batch_id=-1``) of ``out``."""
-    write_batch(stored_before(spark, path, schema).drop(BATCH), out, -1, partition_by)
+    """Off line: a store's rows as one batch (``batch_id=-1``) of the table
+    ``out``. ``Store.compact`` does the same in place."""
+    d = open_store(spark, path, schema, partition_by[0] if partition_by else None).read().drop(BATCH)
+    w = d.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{out}/{BATCH}=-1")
 
 
 def write_topic(df: DataFrame, *, kind: str = "files", path: str | None = None,
@@ -88,20 +113,26 @@ def upsert_docs(batch: DataFrame, path: str, batch_id: int, key: str = "id",
 
     The batch's documents whose key no earlier batch stored are appended under
     ``batch_id``, so the first arrival wins and a replay changes nothing. Only
-    the partitions that the batch touches are read for their keys.
+    the partitions that the batch touches are listed and read for their keys.
+    ``docs_store`` reads and compacts the documents.
     """
     spark = batch.sparkSession
     batch = batch.dropDuplicates([key]).persist()
     try:
+        store = docs_store(spark, path, batch.schema, partition)
         # the days of a micro-batch: a handful of values
         days = [r[0] for r in batch.select(partition).distinct().collect()]
-        old = stored_before(spark, path, batch.schema, batch_id)
-        old = old.where(F.col(partition).isin(days)) if days else old.limit(0)
-        write_batch(batch.join(old.select(key), key, "left_anti"), path, batch_id, [partition])
+        old = store.read(before=batch_id, values=days)
+        store.append(batch.join(old.select(key), key, "left_anti"), batch_id)
     finally:
         batch.unpersist()
 
 
+def docs_store(spark: SparkSession, path: str, schema: T.StructType, partition: str = "dt") -> Store:
+    """The document store that ``upsert_docs`` writes."""
+    return open_store(spark, path, schema, partition)
+
+
 def ranked_batches(path: str, partition_by: list[str], order_by: list, k: int,
                    columns: list[str]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` writer for top-k per window (T1/T2 streaming).
@@ -126,20 +157,23 @@ def state_bucket(buckets: int = STATE_BUCKETS) -> F.Column:
     return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int").alias("bucket")
 
 
+def user_state_store(spark: SparkSession, path: str) -> Store:
+    return open_store(spark, path, USER_STATE, "bucket")
+
+
 def read_user_state(spark: SparkSession, path: str, batch_id: int | None = None,
                     buckets: list[int] | None = None) -> DataFrame:
     """J5's state: user_id, if_consumed as left by the batches before
-    ``batch_id``; with ``buckets`` only those folders are read. A user is
-    consumed ('1') once any batch says so."""
-    d = stored_before(spark, path, USER_STATE, batch_id)
-    if buckets is not None:
-        d = d.where(F.col("bucket").isin(buckets)) if buckets else d.limit(0)
+    ``batch_id``; with ``buckets`` only those folders are listed and read. A user
+    is consumed ('1') once any batch says so."""
+    d = user_state_store(spark, path).read(batch_id, buckets)
     return d.groupBy("user_id").agg(F.max("if_consumed").alias("if_consumed"))
 
 
 def init_user_state(state: DataFrame, path: str, buckets: int = STATE_BUCKETS) -> None:
     """Store a state known before the first batch (as batch -1)."""
-    write_batch(state.select("user_id", "if_consumed", state_bucket(buckets)), path, -1, ["bucket"])
+    user_state_store(state.sparkSession, path).append(
+        state.select("user_id", "if_consumed", state_bucket(buckets)), -1)
 
 
 def touched_buckets(batch: DataFrame, buckets: int = STATE_BUCKETS) -> list[int]:
@@ -164,8 +198,8 @@ def update_user_state(orders_batch: DataFrame, path: str, batch_id: int,
     try:
         known = read_user_state(spark, path, batch_id, touched_buckets(buyers, buckets))
         new = buyers.join(known.where(F.lower("if_consumed") == "1"), "user_id", "left_anti")
-        write_batch(new.select("user_id", F.lit("1").alias("if_consumed"), "bucket"), path,
-                    batch_id, ["bucket"])
+        user_state_store(spark, path).append(
+            new.select("user_id", F.lit("1").alias("if_consumed"), "bucket"), batch_id)
     finally:
         buyers.unpersist()
 
@@ -186,17 +220,18 @@ def rerank_windows(counts_path: str, ranks_path: str, key: str, k: int,
         batch = batch.select(key, "window_end", count_col).persist()
         try:
             span = batch.agg(F.min("window_end").alias("lo"), F.max("window_end").alias("hi")).first()
-            write_batch(batch, counts_path, batch_id)
+            counts = open_store(spark, counts_path, batch.schema)
+            counts.append(batch, batch_id)
             # windows one micro-batch touches: bounded by its time span / slide
             touched = batch.select("window_end").distinct()
-            old = stored_before(spark, counts_path, batch.schema, batch_id).where(
+            old = counts.read(before=batch_id).where(
                 F.col("window_end").between(span["lo"], span["hi"]))
             old = old.join(touched, "window_end", "left_semi")
             both = old.unionByName(batch.withColumn(BATCH, F.lit(batch_id).cast("long")))
             latest = both.groupBy(key, "window_end").agg(
                 F.max_by(count_col, BATCH).alias(count_col))
-            write_batch(top_k(latest, ["window_end"], [F.desc(count_col), F.asc(key)], k),
-                        ranks_path, batch_id)
+            ranks = top_k(latest, ["window_end"], [F.desc(count_col), F.asc(key)], k)
+            open_store(spark, ranks_path, ranks.schema).append(ranks, batch_id)
         finally:
             batch.unpersist()
     return write
@@ -204,6 +239,6 @@ def rerank_windows(counts_path: str, ranks_path: str, key: str, k: int,
 
 def latest_ranks(spark: SparkSession, ranks_path: str, schema: T.StructType) -> DataFrame:
     """The current ranking of every window written by ``rerank_windows``."""
-    d = stored_before(spark, ranks_path, schema)
+    d = open_store(spark, ranks_path, schema).read()
     last = d.groupBy("window_end").agg(F.max(BATCH).alias(BATCH))
     return d.join(last, ["window_end", BATCH]).drop(BATCH)
