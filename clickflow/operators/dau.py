@@ -146,3 +146,24 @@ def dedup_metrics(logs: DataFrame) -> DataFrame:
     return d.groupBy("dt").agg(F.count(F.lit(1)).alias("rows_before"),
                                F.countDistinct(F.struct("mid")).alias("rows_after"))
 
+
+
+# ---- totals kept as deltas (A8-A10) ------------------------------------------
+
+DELTAS = "dt string, hr string, delta long"
+
+
+def hour_deltas(new_docs: DataFrame) -> DataFrame:
+    """What a batch's new documents add to the totals: dt, hr, delta."""
+    return new_docs.groupBy("dt", "hr").agg(F.count(F.lit(1)).alias("delta"))
+
+
+def by_hour_from_deltas(deltas: DataFrame) -> DataFrame:
+    """``dau_by_hour`` from stored deltas: dt, hr, count."""
+    return deltas.groupBy("dt", "hr").agg(F.sum("delta").alias("count"))
+
+
+def total_from_deltas(deltas: DataFrame) -> DataFrame:
+    """``dau_total`` from stored deltas: dt, id, name, value."""
+    return deltas.groupBy("dt").agg(F.sum("delta").alias("value")).select(
+        "dt", F.lit(DAU_METRIC_ID).alias("id"), F.lit(DAU_METRIC_NAME).alias("name"), "value")

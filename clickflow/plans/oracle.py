@@ -120,6 +120,19 @@ SELECT 'uv' AS url, {HOUR_END} AS window_end,
 FROM ({PV_EXACT}) GROUP BY 2"""
 
 
+def uv_bitmap_rollup(mask: int) -> str:
+    seen = f"""
+SELECT {HOUR_END} - {HOUR} AS h, {sql_hash('CAST(user_id AS VARCHAR)', mask)} AS bit
+FROM ({PV_EXACT})"""
+    return f"""
+WITH seen AS ({seen})
+SELECT 'hour' AS grain, h AS period, count(DISTINCT bit) AS count FROM seen GROUP BY h
+UNION ALL
+SELECT 'day', h - h % 86400000, count(DISTINCT bit) FROM seen GROUP BY 2
+UNION ALL
+SELECT 'all', CAST(0 AS BIGINT), count(DISTINCT bit) FROM seen HAVING count(*) > 0"""
+
+
 def uv_running(mask: int) -> str:
     return f"""
 WITH pv AS (
@@ -162,6 +175,7 @@ def behavior_sql() -> dict[str, str]:
         "poly_hash": POLY_HASH,
         "uv_hourly_bitmap": uv_bitmap(full),
         "uv_hourly_bitmap_small_mask": uv_bitmap(small),
+        "uv_bitmap_rollup": uv_bitmap_rollup(full),
         "uv_running": uv_running(full),
         "uv_running_small_mask": uv_running(small),
     }
@@ -301,6 +315,22 @@ SELECT id, province_id, order_status, user_id, final_total_amount,
        CAST(NULL AS VARCHAR) AS operate_time
 FROM ({ORDER_ROWS})"""
 
+# Every change as its own row, the last one per order by plain ranking.
+CDC_LATEST = f"""
+WITH o AS (SELECT id, value, 1700000000 + id % 1000 AS t FROM ({ORDER_JSON})),
+change AS (
+  SELECT id, 'insert' AS type, t AS ts, id * 4 AS seq, value FROM o
+  UNION ALL
+  SELECT id, 'update', t + id % 4, id * 4 + 1,
+         regexp_replace(value, '"order_status":"[^"]*"', '"order_status":"U"')
+  FROM o WHERE id % 3 = 0 OR id % 5 = 0
+  UNION ALL
+  SELECT id, 'delete', t + 2, id * 4 + 2, value FROM o WHERE id % 7 = 0)
+SELECT 'order_info' AS "table", CAST(id AS VARCHAR) AS key, CAST(ts AS BIGINT) AS ts,
+       CAST(seq AS BIGINT) AS seq, value
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, seq DESC) AS rn FROM change)
+WHERE rn = 1 AND type <> 'delete'"""
+
 USER_STATE = """
 SELECT c_custkey AS user_id, CASE WHEN c_custkey % 3 = 0 THEN '1' ELSE '0' END AS if_consumed
 FROM customer WHERE c_custkey % 3 <> 2"""
@@ -322,6 +352,7 @@ def order_sql() -> dict[str, str]:
     return {
         "cdc_split_array": CDC_ROWS,
         "cdc_split_object": CDC_ROWS,
+        "cdc_latest_rows": CDC_LATEST,
         "order_decode": ORDERS_DECODED,
         "order_time_parts": f"""
 SELECT id, user_id, create_time, split_part(create_time, ' ', 1) AS create_date,

@@ -7,14 +7,17 @@ them) and applies one operator of the library. The matching DuckDB SQL is in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.operators import ads, cdc, dau, marketing, orders, search
+from clickflow.operators import ads, bitmaps, cdc, dau, marketing, orders, search
 from clickflow.operators import behavior as bh
 from clickflow.plans.tables import Tables
 from clickflow.schemas import ORDER_FIELDS
+from clickflow.session import sub_dir
+from clickflow.sinks.store import Store
 from clickflow.sources import adapt, scans
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +37,13 @@ def _q(fn: Callable[[Tables], DataFrame]) -> Query:
     return run
 
 
+def _uv_bitmap_rollup(t: Tables) -> DataFrame:
+    """The hour bitmaps stored, then hours, days and all time from the store."""
+    store = Store(t.spark, sub_dir(t.spark, f"uv-bitmaps-{uuid.uuid4().hex}"), bitmaps.BITMAPS)
+    store.append(bitmaps.uv_bitmaps(t.behaviors()), 0)
+    return bitmaps.uv_rollup(store.read())
+
+
 BEHAVIOR_QUERIES: dict[str, Query] = {
     "behavior_scan": _q(lambda t: scans.good(
         scans.parse_behavior_lines(adapt.behavior_lines(t.raw("events"))))),
@@ -51,6 +61,7 @@ BEHAVIOR_QUERIES: dict[str, Query] = {
     "uv_hourly_bitmap": _q(lambda t: bh.uv_hourly_bitmap(t.behaviors())),
     "uv_hourly_bitmap_small_mask": _q(lambda t: bh.uv_hourly_bitmap(t.behaviors(), SMALL_MASK)),
     "uv_hourly_approx": _q(lambda t: bh.uv_hourly_approx(t.behaviors())),
+    "uv_bitmap_rollup": _q(_uv_bitmap_rollup),
     "uv_running": _q(lambda t: bh.uv_running(t.behaviors())),
     "uv_running_small_mask": _q(lambda t: bh.uv_running(t.behaviors(), SMALL_MASK)),
 }
@@ -105,6 +116,7 @@ def _sql_rows(t: Tables) -> DataFrame:
 ORDER_QUERIES: dict[str, Query] = {
     "cdc_split_array": _q(lambda t: cdc.cdc_split_array(t.cdc_array())),
     "cdc_split_object": _q(lambda t: cdc.cdc_split_object(t.cdc_object())),
+    "cdc_latest_rows": _q(lambda t: cdc.live_rows(cdc.latest_changes(cdc.changes(t.cdc_changes())))),
     "order_decode": _q(lambda t: _orders(t).select(*ORDER_INPUT_COLUMNS)),
     "order_time_parts": _q(lambda t: orders.order_time_parts(_orders(t)).select(
         "id", "user_id", "create_time", "create_date", "create_hour")),

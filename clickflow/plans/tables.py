@@ -60,6 +60,9 @@ class Tables:
     def cdc_object(self) -> DataFrame:
         return adapt.cdc_object_envelopes(self.raw("orders"), self.raw("customer"))
 
+    def cdc_changes(self) -> DataFrame:
+        return adapt.cdc_change_envelopes(self.raw("orders"), self.raw("customer"))
+
     def order_json(self) -> DataFrame:
         return adapt.order_json(self.raw("orders"), self.raw("customer"))
 

@@ -40,6 +40,9 @@ CDC_ARRAY = _struct(("table", S), ("data", T.ArrayType(S)))
 # CDC envelope with one row object, kept as JSON text.
 CDC_OBJECT = _struct(("table", S), ("data", S))
 
+# The same with what orders and types the change.
+CDC_CHANGE = _struct(("table", S), ("type", S), ("ts", L), ("xid", L), ("data", S))
+
 # Order record (S8); enrichment fields are filled downstream.
 ORDER_FIELDS = [
     ("id", L), ("province_id", L), ("order_status", S), ("user_id", L),

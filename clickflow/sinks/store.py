@@ -23,6 +23,7 @@ may run beside it, one at a time.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,14 +141,20 @@ class Store:
             out = out.where(F.col(self.partition).isin(values))
         return out if before is None else out.where(F.col(BATCH) < before)
 
-    def compact(self) -> int:
+    def compact(self, merge: Callable[[DataFrame], DataFrame] | None = None) -> int:
         """Fold all whole batches into the next version's base; returns the
-        version. Without new batches nothing is done."""
+        version. Without new batches nothing is done. ``merge`` replaces the
+        rows by fewer that mean the same (say, the last of each key); they
+        then belong to the last batch folded."""
         gen, last = self.version()
         live = [n for _, some in self._pieces(gen, last) if some for n in some]
         if not live:
             return gen
-        w = self._read(gen, last, max(live) + 1, None).write.mode("overwrite")
+        rows = self._read(gen, last, max(live) + 1, None)
+        if merge:
+            rows = merge(rows.drop(BATCH)).select(*self.schema.names).withColumn(
+                BATCH, F.lit(max(live)).cast("long"))
+        w = rows.write.mode("overwrite")
         if self.partition:
             w = w.partitionBy(self.partition)
         w.parquet(f"{self.path}/base={gen + 1}")

@@ -218,6 +218,32 @@ def cdc_object_envelopes(orders: DataFrame, customer: DataFrame) -> DataFrame:
         wrap(user_json(customer), CDC_USER_TABLE))
 
 
+def cdc_change_envelopes(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Object-form envelopes with operations, one per change of an order: an
+    insert each, an update of the status for ids divisible by 3 or 5, a delete
+    for ids divisible by 7, and the insert once more for ids divisible by 11.
+    An update may carry a later ``ts`` than the delete, or the insert's."""
+    o = order_json(orders, customer)
+    k = F.col("id")
+    ts = F.lit(1_700_000_000) + k % 1000
+    updated = F.regexp_replace("value", '"order_status":"[^"]*"', '"order_status":"U"')
+
+    def change(kind: str, at: Column, n: int, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("type"), at.cast("long").alias("ts"),
+                        (k * 4 + n).alias("xid"), value.alias("data"))
+
+    insert = change("insert", ts, 0, F.col("value"))
+    c = F.array(insert,
+                F.when((k % 3 == 0) | (k % 5 == 0), change("update", ts + k % 4, 1, updated)),
+                F.when(k % 7 == 0, change("delete", ts + 2, 2, F.col("value"))),
+                F.when(k % 11 == 0, insert))
+    each = o.select(F.explode(F.filter(c, lambda x: x.isNotNull())).alias("c"))
+    return each.select(F.concat(
+        F.lit('{"database":"shop","table":"' + CDC_ORDER_TABLE + '","type":"'), F.col("c.type"),
+        F.lit('","ts":'), F.col("c.ts").cast("string"), F.lit(',"xid":'), F.col("c.xid").cast("string"),
+        F.lit(',"data":'), F.col("c.data"), F.lit("}")).alias("value"))
+
+
 def user_state(customer: DataFrame) -> DataFrame:
     """user_id, if_consumed: custkey % 3 = 0 -> '1', 1 -> '0', 2 -> no row."""
     m = F.col("c_custkey") % 3

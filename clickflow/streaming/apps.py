@@ -19,7 +19,7 @@ from clickflow import schemas
 from clickflow.operators import cdc, dau, orders
 from clickflow.operators.windows import rank_in_group
 from clickflow.session import sub_dir
-from clickflow.sinks import (ranked_batches, read_user_state, touched_buckets, update_user_state,
+from clickflow.sinks import (docs_store, ranked_batches, read_user_state, touched_buckets, update_user_state,
                              upsert_docs, write_batch)
 from clickflow.sinks.store import Store
 from clickflow.sinks.writers import BATCH, STATE_BUCKETS
@@ -32,16 +32,21 @@ ORDER_TOPIC = "ODS_ORDER_INFO"
 
 def dau_app(logs: DataFrame, docs_path: str, archive_path: str | None = None,
             trigger: str = DEFAULT_INTERVAL, name: str = "dau",
-            delay: str = jobs.DEVICE_DELAY) -> list[StreamingQuery]:
+            delay: str = jobs.DEVICE_DELAY, totals_path: str | None = None) -> list[StreamingQuery]:
     """E3 (and E2): app logs (``seq``, ``value``) -> first start log per
     (day, device) -> DAU documents upserted into a ``dt``-partitioned store
-    (``dau.dau_total`` / ``dau_by_hour`` query it). With ``archive_path``
-    every raw line is also archived by day (K5)."""
+    (``dau.dau_total`` / ``dau_by_hour`` query it). With ``totals_path`` each
+    batch also adds what its new documents change in the hourly totals, which
+    ``dau.by_hour_from_deltas`` / ``total_from_deltas`` over ``totals_store``
+    sum up. With ``archive_path`` every raw line is also archived by day (K5)."""
     spark = logs.sparkSession
     firsts = jobs.dau_first_stream(logs, delay)
 
     def write_docs(batch: DataFrame, batch_id: int) -> None:
-        upsert_docs(dau.dau_docs(batch), docs_path, batch_id)
+        docs = dau.dau_docs(batch)
+        upsert_docs(docs, docs_path, batch_id)
+        if totals_path:
+            add_totals(spark, docs_path, docs.schema, totals_path, batch_id)
 
     qs = [start(firsts, name, sink="foreach_batch", foreach_batch=write_docs, trigger=trigger,
                 checkpoint=sub_dir(spark, "streams", name))]
@@ -52,6 +57,18 @@ def dau_app(logs: DataFrame, docs_path: str, archive_path: str | None = None,
     return qs
 
 
+def totals_store(spark: SparkSession, path: str) -> Store:
+    """The hourly deltas, in folders per day."""
+    return Store(spark, path, dau.DELTAS, "dt")
+
+
+def add_totals(spark: SparkSession, docs_path: str, schema, totals_path: str, batch_id: int) -> None:
+    """Store the deltas of the documents that a batch added. They are counted
+    from the batch's own stored rows, so a replay gives the same ones."""
+    new = docs_store(spark, docs_path, schema).read(before=batch_id + 1).where(F.col(BATCH) == batch_id)
+    totals_store(spark, totals_path).append(dau.hour_deltas(new), batch_id)
+
+
 def cdc_app(envelopes: DataFrame, topics_path: str, form: str = "object",
             trigger: str = DEFAULT_INTERVAL, name: str = "cdc") -> StreamingQuery:
     """E4, first hop: split CDC envelopes (``form`` 'array' or 'object') into
