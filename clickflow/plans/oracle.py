@@ -388,19 +388,34 @@ SELECT if_consumed, count(*) AS users FROM ({USER_STATE}) GROUP BY if_consumed""
 
 
 SEARCH_TOKEN = "that"
+SEARCH_WORDS = ["that", "and"]
 
 
 def search_sql() -> dict[str, str]:
     t = SEARCH_TOKEN
     toks = "list_filter(regexp_split_to_array(lower(text), '\\W+'), lambda x: x <> '')"
-    return {
-        "doc_search": f"""
+    page = f"""
 SELECT doc_id, lang, n_chars,
        CAST(len(list_filter({toks}, lambda x: x = '{t}')) AS INTEGER) AS hits,
        regexp_replace(text, '(?i)\\b({t})\\b', '<em>\\1</em>', 'g') AS highlight
 FROM documents WHERE list_contains({toks}, '{t}') AND lang = 'en'
-ORDER BY n_chars DESC, doc_id LIMIT 20""",
-    }
+ORDER BY n_chars DESC, doc_id LIMIT 20"""
+    a, b = SEARCH_WORDS
+
+    def part(tf: str) -> str:
+        df = f"(SELECT count(*) FROM d WHERE {tf} > 0)"
+        idf = f"ln(1 + ((SELECT count(*) FROM d) - {df} + 0.5) / ({df} + 0.5))"
+        return f"{idf} * {tf} * 2.2 / ({tf} + 1.2 * (0.25 + 0.75 * n / (SELECT avg(n) FROM d)))"
+
+    ranked = f"""
+WITH d AS (
+  SELECT doc_id, lang, len(t) AS n, len(list_filter(t, lambda x: x = '{a}')) AS fa,
+         len(list_filter(t, lambda x: x = '{b}')) AS fb
+  FROM (SELECT doc_id, lang, coalesce({toks}, []) AS t FROM documents))
+SELECT doc_id, lang, CAST(fa + fb AS INTEGER) AS hits,
+       round({part('fa')} + {part('fb')}, 6) AS score
+FROM d WHERE fa > 0 AND fb > 0"""
+    return {"doc_search": page, "doc_search_indexed": page, "doc_search_ranked": ranked}
 
 
 AD_CAP = 2

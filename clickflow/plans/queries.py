@@ -11,9 +11,11 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickflow.operators import ads, bitmaps, cdc, dau, marketing, orders, search
 from clickflow.operators import behavior as bh
+from clickflow.operators.search_index import SearchIndex
 from clickflow.plans.tables import Tables
 from clickflow.schemas import ORDER_FIELDS
 from clickflow.session import sub_dir
@@ -27,6 +29,7 @@ SMALL_MASK = (1 << 6) - 1
 # the test data, so 100 would never exercise the cap (FIXTURES.md §2).
 AD_CAP = 2
 SEARCH_TOKEN = "that"
+SEARCH_WORDS = ["that", "and"]
 ORDER_TOPIC = "ODS_ORDER_INFO"
 
 
@@ -133,7 +136,30 @@ ORDER_QUERIES: dict[str, Query] = {
     "sql_rows": _q(_sql_rows),
 }
 
+def _search_index(t: Tables) -> SearchIndex:
+    docs = t.raw("documents")
+    index = SearchIndex(t.spark, sub_dir(t.spark, f"search-{uuid.uuid4().hex}"), docs.schema,
+                        ["lang", "n_chars"])
+    index.add(docs, 0)
+    return index
+
+
+def _doc_search_indexed(t: Tables) -> DataFrame:
+    """``doc_search``'s page through the index."""
+    page = _search_index(t).search([SEARCH_TOKEN], {"lang": "en"},
+                                   order_by=[F.desc("n_chars"), F.asc("doc_id")])
+    return page.select("doc_id", "lang", "n_chars", "hits", "highlight")
+
+
+def _doc_search_ranked(t: Tables) -> DataFrame:
+    """All documents with both words by relevance, from postings alone."""
+    return _search_index(t).matching(SEARCH_WORDS).select(
+        "doc_id", "lang", "hits", F.round("score", 6).alias("score"))
+
+
 SEARCH_QUERIES: dict[str, Query] = {
+    "doc_search_indexed": _q(_doc_search_indexed),
+    "doc_search_ranked": _q(_doc_search_ranked),
     "doc_search": _q(lambda t: search.doc_search(t.raw("documents"), SEARCH_TOKEN,
                                                  {"lang": "en"})),
 }
