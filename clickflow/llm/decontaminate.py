@@ -2,16 +2,18 @@
 
 Each benchmark item gives its windows of ``N`` words (an item of fewer words
 is one window). Training texts are cut into the same windows, their hashes
-are looked up in the broadcast set, and a hit is verified word by word. Text
-never leaves its row for this: windows are exploded, probed and dropped within
-one stage, and only one row per document plus the verified hits is shuffled.
+are looked up in the broadcast set, and a hit is verified word by word. A text
+is first cut into segments of ``SEGMENT`` window starts, and a window's row
+carries its segment's words alone, so the work is in proportion to a text's
+length, however long it is. Windows are exploded, probed and dropped within one
+stage; what is shuffled is the verified hits and one short row per document.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickflow.llm.sqltext import ascii_lower, let, save_shared, split_words, words
@@ -21,6 +23,7 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The same words in a text that is not lower-cased.
 ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 N = 10
+SEGMENT = 128   # window starts in a segment of a text
 
 # Windows in one broadcast set. A larger benchmark is probed in several
 # rounds over the documents, each with a part of the set of this size.
@@ -57,50 +60,64 @@ def window_set(benchmark: DataFrame, n: int = N) -> DataFrame:
             .agg(F.sort_array(F.collect_set("item")).alias("items")))
 
 
+def _segments(w: Column, longest: int) -> Column:
+    """(base, n, part) of a text's segments: the position of the first word, the
+    text's number of words, and the words of all windows that start in it. A
+    text without words has one empty segment."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)), F.lit(SEGMENT))
+    return F.transform(starts, lambda s: F.struct(
+        s.alias("base"), F.size(w).alias("n"),
+        F.slice(w, s + 1, SEGMENT + longest - 1).alias("part")))
+
+
 def _layout(sizes: list[int]) -> tuple[Column, Column, Column]:
-    """The hash array of a document's windows, one size after another behind a
-    leading NULL, and the (size, start) of array position ``p``."""
-    w = F.col("w")
-    count = [F.greatest(F.size(w) - k + 1, F.lit(0)) for k in sizes]
+    """The hash array of a segment's windows, one size after another behind a
+    leading NULL, and the (size, start in the segment) of array position ``p``."""
+    def starts(words: Column, k: int) -> Column:
+        return F.least(F.lit(SEGMENT), F.greatest(F.size(words) - k + 1, F.lit(0)))
 
     def windows(h: Column, k: int) -> Column:
-        return F.when(F.size(h) >= k, F.transform(
-            F.sequence(F.lit(0), F.size(h) - k), lambda i: _window_hash(h, i, k))
+        return F.when(starts(h, k) > 0, F.transform(
+            F.sequence(F.lit(0), starts(h, k) - 1), lambda i: _window_hash(h, i, k))
         ).otherwise(F.array().cast("array<long>"))
 
     def laid_out(h: Column) -> Column:
         return F.concat(F.array(F.lit(None).cast("long")), *[windows(h, k) for k in sizes])
 
     at, size, start = F.lit(1), None, None
-    for k, c in zip(sizes, count):
-        inside = F.col("p") < at + c
+    for k in sizes:
+        inside = F.col("p") < at + starts(F.col("part"), k)
         here = F.col("p") - at
         size = F.when(inside, k) if size is None else size.when(inside, k)
         start = F.when(inside, here) if start is None else start.when(inside, here)
-        at = at + c
-    return let(word_hashes(w), laid_out), size, start
+        at = at + starts(F.col("part"), k)
+    return let(word_hashes(F.col("part")), laid_out), size, start
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N,
-              max_set_rows: int = MAX_SET_ROWS, keep: list[str] | None = None) -> DataFrame:
-    """One row per row of ``docs`` (a scan or written table, so that a task that
-    runs again sees its rows in the same order): doc (a struct of its columns ``keep``, by
-    default all), n_words, hits (sorted (start, size) word windows) and items
-    (sorted ids as strings).
+def _numbered(docs: DataFrame) -> DataFrame:
+    """(doc, row): each row as a struct and its number. The same rows get the
+    same numbers whenever a scan or written table is read."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                       F.monotonically_increasing_id().alias("row"))
 
-    Every document row counts on its own, also repeated ones. NULL text has no
-    words. An empty benchmark gives no hits.
-    """
+
+def _probe(docs: DataFrame, benchmark: DataFrame, n: int, max_set_rows: int,
+           keep: list[str] | None) -> DataFrame:
+    """row, head, hit, items: one row per verified hit (start, size), and with
+    ``keep`` one per document whose ``head`` has these columns and n_words."""
     grams = save_shared(window_set(benchmark, n), "benchmark-windows")
     by_size = {r["size"]: r["count"] for r in grams.groupBy("size").count().collect()}  # <= n rows
     sizes = sorted(by_size, reverse=True) or [n]
     rounds = max(1, -(-sum(by_size.values()) // max_set_rows))
 
     hashes, size, start = _layout(sizes)
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("doc"),
-                    item_words(F.col("text")).alias("w"),
-                    F.monotonically_increasing_id().alias("row"))
-    d = d.select("doc", "w", "row", F.posexplode(hashes).alias("p", "dh"))
+    kept = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc")] if keep else []
+    names = ["doc"] * bool(keep) + ["row"]
+    d = docs.select(*kept, "text", F.monotonically_increasing_id().alias("row"))
+    d = d.select(*names, F.explode(let(
+        item_words(F.col("text")), lambda w: _segments(w, sizes[0]))).alias("s"))
+    d = d.select(*names, "s.base", "s.n", "s.part")
+    d = d.select(*names, "base", "n", "part", F.posexplode(hashes).alias("p", "dh"))
     # the leading NULL is at no window; its values here only have to be legal
     size = F.coalesce(size, F.lit(0))
     start = F.greatest(F.coalesce(start, F.lit(0)), F.lit(0))
@@ -110,18 +127,32 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N,
         g = g.select("h", "window", "items")
         # one long to probe by; the words are compared on a hit only
         same = ((F.col("dh") == F.col("h"))
-                & (F.array_join(F.slice("w", start + 1, size), " ") == F.col("window")))
-        j = d.join(F.broadcast(g), same, "left")
+                & (F.array_join(F.slice("part", start + 1, size), " ") == F.col("window")))
+        heads = bool(keep) and part == 0
+        j = d.join(F.broadcast(g), same, "left" if heads else "inner")
         found = F.col("items").isNotNull()
-        first = F.col("p") == 0
-        keep = (found | first) if part == 0 else found
-        return j.where(keep).select(
-            "row", F.when(first, F.struct("doc", F.size("w").cast("long").alias("n_words")))
-            .alias("head"),
-            F.when(found, F.struct(start.alias("start"), size.alias("size"))).alias("hit"), "items")
-
-    found = reduce(DataFrame.unionByName, [probe(i) for i in range(rounds)])
-    g = found.groupBy("row").agg(
+        first = (F.col("p") == 0) & (F.col("base") == 0)
+        head = (F.when(first, F.struct("doc", F.col("n").cast("long").alias("n_words")))
+                if keep else F.lit(None).cast("struct<n_words: long>"))
+        return j.where((found | first) if heads else found).select(
+            "row", head.alias("head"),
+            F.when(found, F.struct((F.col("base") + start).alias("start"), size.alias("size"))).alias("hit"),
+            "items")
+
+    return reduce(DataFrame.unionByName, [probe(i) for i in range(rounds)])
+
+
+def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N,
+              max_set_rows: int = MAX_SET_ROWS, keep: list[str] | None = None) -> DataFrame:
+    """One row per row of ``docs`` (a scan or written table, so that it has the same
+    order whenever it is read): doc (a struct of its columns ``keep``, small ones,
+    by default doc_id), n_words, hits (sorted (start, size) word windows) and
+    items (sorted ids as strings).
+
+    Every document row counts on its own, also repeated ones. NULL text has no
+    words. An empty benchmark gives no hits.
+    """
+    g = _probe(docs, benchmark, n, max_set_rows, keep or ["doc_id"]).groupBy("row").agg(
         F.first("head", ignorenulls=True).alias("head"),
         F.sort_array(F.collect_list("hit")).alias("hits"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
@@ -129,20 +160,17 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N,
                     "hits", "items")
 
 
-def merged(hits: Column) -> Column:
-    """Sorted (start, size) windows as disjoint (start, end) word ranges."""
-    span = "array<struct<start:int,end:int>>"
-
-    def add(a: Column, h: Column) -> Column:
-        last, end = F.element_at(a, -1), h["start"] + h["size"]
-        joins = (F.size(a) > 0) & (F.coalesce(F.try_element_at(a, F.lit(-1))["end"],
-                                              F.lit(-1)) >= h["start"])
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], end).alias("end"))
-        own = F.struct(h["start"].alias("start"), end.alias("end"))
-        return F.when(joins, F.concat(F.slice(a, 1, F.size(a) - 1), F.array(longer))).otherwise(
-            F.concat(a, F.array(own))).cast(span)
-
-    return F.aggregate(hits, F.array().cast(span), add)
+def merged_spans(hits: DataFrame) -> DataFrame:
+    """row, spans: the windows (row, hit) of each row as disjoint (start, end)
+    word ranges in order, by a running maximum of the ends."""
+    h = hits.select("row", F.col("hit.start").alias("start"),
+                    (F.col("hit.start") + F.col("hit.size")).alias("end"))
+    w = Window.partitionBy("row").orderBy("start", "end")
+    seen = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    h = h.withColumn("new", F.coalesce(F.col("start") > seen, F.lit(True)).cast("int"))
+    h = h.withColumn("nth", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    one = h.groupBy("row", "nth").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return one.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def hit_words(hits: Column) -> Column:
@@ -167,20 +195,36 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFram
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark window; same columns."""
-    return find_hits(docs, benchmark, n).where(F.size("hits") == 0).select("doc.*") \
+    """``docs`` (a scan or written table) without the rows that hold a benchmark
+    window; same columns. The numbers of those rows are written first, so that
+    the join goes by their size and moves no text while they are few."""
+    hit = save_shared(_probe(docs, benchmark, n, MAX_SET_ROWS, None).select("row").distinct(),
+                      "contaminated-rows", few_files=True)
+    return _numbered(docs).join(hit, "row", "left_anti").select("doc.*") \
         .select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
-    """``docs`` with every word inside a benchmark window taken out of ``text``;
-    other characters stay. Same columns and rows."""
-    f = find_hits(docs, benchmark, n).withColumn("text", F.col("doc")["text"])
-    w, gaps = words(F.col("text"), ANY_CASE), F.split("text", ANY_CASE, -1)
-    kept = let(merged(F.col("hits")), lambda spans: F.transform(w, lambda x, i: F.when(
-        F.exists(spans, lambda s: (i >= s["start"]) & (i < s["end"])), "").otherwise(x)))
-    cut = let(gaps, lambda g: F.array_join(F.concat(F.transform(
-        kept, lambda x, i: F.concat(g[i], x)), F.array(F.element_at(g, -1))), ""))
-    text = F.when(F.size("hits") > 0, cut).otherwise(F.col("text"))
+    """``docs`` (a scan or written table) with every word inside a benchmark
+    window taken out of ``text``; other characters stay. Same columns and rows."""
+    hits = _probe(docs, benchmark, n, MAX_SET_ROWS, None)
+    spans = save_shared(merged_spans(hits), "contaminated-spans", few_files=True)
+    f = _numbered(docs).join(spans, "row", "left").withColumn("text", F.col("doc")["text"])
+
+    def cut(t: Column) -> Column:
+        # a piece is what stands before a word, and the word unless it is in a span
+        gaps, w = t["gaps"], t["words"]
+        last = F.struct(F.size(w).alias("start"), F.size(w).alias("end"))
+        ranges = F.concat("spans", F.array(last))
+        pieces = F.transform(ranges, lambda r, i: F.concat(
+            let(F.when(i == 0, 0).otherwise(F.get(ranges, i - 1)["end"]), lambda lo: F.zip_with(
+                F.slice(gaps, lo + 1, r["start"] - lo), F.slice(w, lo + 1, r["start"] - lo),
+                lambda g, x: F.concat(g, x))),
+            F.slice(gaps, r["start"] + 1, r["end"] - r["start"])))
+        return F.concat(F.array_join(F.flatten(pieces), ""), F.element_at(gaps, -1))
+
+    taken = let(F.struct(F.split("text", ANY_CASE, -1).alias("gaps"),
+                         words(F.col("text"), ANY_CASE).alias("words")), cut)
+    text = F.when(F.col("spans").isNotNull(), taken).otherwise(F.col("text"))
     return f.select(*[text.alias(c) if c == "text" else F.col("doc")[c].alias(c)
                       for c in docs.columns])

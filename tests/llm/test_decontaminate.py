@@ -77,3 +77,51 @@ def test_empty_tables(spark):
     assert dc.contamination(docs.limit(0), items).count() == 0
     none = dc.contamination(docs, items.limit(0))
     assert none.count() == len(DOCS) and none.where("contaminated").count() == 0
+
+
+def test_removing_keeps_every_other_character(spark):
+    import random
+    r = random.Random(8)
+    items = [(i, " ".join(r.choice("abcde") for _ in range(r.randrange(1, 14)))) for i in range(6)]
+    docs = []
+    for i in range(60):
+        w = [r.choice("abcdefgh") for _ in range(r.randrange(0, 400))]
+        t = "".join(r.choice([" ", ", ", "\n"]) + x for x in w) + r.choice(["", "."])
+        docs.append((i, t.lstrip() if i % 2 else t))
+    df = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, row int")
+    got = {x.doc_id: x.text for x in dc.remove_spans(df, spark.createDataFrame(
+        items, "item_id long, text string")).collect()}
+    grams = [words(t)[i:i + min(10, len(words(t)))] for _, t in items
+             for i in range(len(words(t)) - min(10, len(words(t))) + 1)]
+    for d, t in docs:
+        w = list(WORD.finditer(t))
+        hit = set()
+        for g in grams:
+            for i in range(len(w) - len(g) + 1):
+                if [x.group() for x in w[i:i + len(g)]] == g:
+                    hit.update(range(i, i + len(g)))
+        want, at = "", 0
+        for i, x in enumerate(w):
+            want += t[at:x.start()] + ("" if i in hit else x.group())
+            at = x.end()
+        assert got[d] == want + t[at:]
+
+
+def test_work_is_linear_in_a_texts_length(spark):
+    import time
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+
+    def spent(texts):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).cache()
+        df.count()
+        t0 = time.perf_counter()
+        rows = dc.contamination(df, items).collect()
+        kept = dc.drop_contaminated(df, items).count()
+        took = time.perf_counter() - t0
+        df.unpersist()
+        assert sum(r.n_words for r in rows) >= 1_000_000 and kept == 0
+        return took
+
+    text = "w%d and some words more " * 20_000 % tuple(range(20_000)) + ITEM
+    spent([text] * 10)
+    assert spent([" ".join([text] * 10)]) < 3 * spent([text] * 10)
