@@ -101,10 +101,11 @@ DAU_QUERIES: dict[str, Query] = {
 }
 
 
-def _orders(t: Tables) -> DataFrame:
-    """Object envelopes -> ODS_ORDER_INFO -> decoded order records."""
+def _orders(t: Tables, *fields: str) -> DataFrame:
+    """Object envelopes -> ODS_ORDER_INFO -> decoded order records, with
+    ``fields`` parsed for these alone."""
     routed = cdc.cdc_split_object(t.cdc_object())
-    return scans.good(scans.decode_orders(cdc.for_topic(routed, ORDER_TOPIC)))
+    return scans.good(scans.decode_orders(cdc.for_topic(routed, ORDER_TOPIC), fields=list(fields) or None))
 
 
 ORDER_INPUT_COLUMNS = [n for n, _ in ORDER_FIELDS[:11]]
@@ -121,18 +122,18 @@ ORDER_QUERIES: dict[str, Query] = {
     "cdc_split_object": _q(lambda t: cdc.cdc_split_object(t.cdc_object())),
     "cdc_latest_rows": _q(lambda t: cdc.live_rows(cdc.latest_changes(cdc.changes(t.cdc_changes())))),
     "order_decode": _q(lambda t: _orders(t).select(*ORDER_INPUT_COLUMNS)),
-    "order_time_parts": _q(lambda t: orders.order_time_parts(_orders(t)).select(
+    "order_time_parts": _q(lambda t: orders.order_time_parts(_orders(t, "user_id", "create_time")).select(
         "id", "user_id", "create_time", "create_date", "create_hour")),
-    "order_first_flag": _q(lambda t: orders.order_first_flag(_orders(t), t.user_state())
+    "order_first_flag": _q(lambda t: orders.order_first_flag(_orders(t, "user_id"), t.user_state())
                            .select("id", "user_id", "if_first_order")),
     "order_first_flag_batch": _q(lambda t: orders.order_first_flag(
-        _orders(t), t.user_state(), within_batch=True).select("id", "user_id", "if_first_order")),
-    "order_with_province": _q(lambda t: orders.order_with_province(_orders(t), t.province_dim())
+        _orders(t, "user_id", "create_time"), t.user_state(), within_batch=True).select("id", "user_id", "if_first_order")),
+    "order_with_province": _q(lambda t: orders.order_with_province(_orders(t, "province_id"), t.province_dim())
                               .select("id", "province_id", "province_name",
                                       "province_area_code", "province_iso_code")),
-    "order_with_user": _q(lambda t: orders.order_with_user(_orders(t), t.user_dim())
+    "order_with_user": _q(lambda t: orders.order_with_user(_orders(t, "user_id"), t.user_dim())
                           .select("id", "user_id", "user_age_group", "user_gender")),
-    "user_state_update": _q(lambda t: orders.user_state_update(_orders(t), t.user_state())),
+    "user_state_update": _q(lambda t: orders.user_state_update(_orders(t, "user_id"), t.user_state())),
     "sql_rows": _q(_sql_rows),
 }
 

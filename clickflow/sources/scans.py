@@ -144,11 +144,16 @@ def decode_json(df: DataFrame, schema, value_col: str = "value",
                     (F.col("_j").isNull() | F.col("_j")[CORRUPT].isNotNull()).alias("_bad"))
 
 
-def decode_orders(df: DataFrame, value_col: str = "value",
-                  keep: list[str] | None = None) -> DataFrame:
+def decode_orders(df: DataFrame, value_col: str = "value", keep: list[str] | None = None,
+                  fields: list[str] | None = None) -> DataFrame:
     """Order JSON -> the order record and ``_bad``; absent fields are
-    NULL. A malformed record, or one without an id, is bad."""
-    d = decode_json(df, schemas.ORDER_INPUT, value_col, keep)
-    cols = [n for n, _ in schemas.ORDER_FIELDS[:11]]
-    cols += [F.lit(None).cast(t).alias(n) for n, t in schemas.ORDER_FIELDS[11:]]
+    NULL. A malformed record, or one without an id, is bad. With ``fields`` only
+    the id and these are parsed and checked (a record's other fields may have
+    any type) and come out: a bad-record check needs every field it parses, so
+    the optimizer cannot leave out those that are not used."""
+    known = [f for f in schemas.ORDER_INPUT if fields is None or f.name in {"id", *fields}]
+    d = decode_json(df, T.StructType(known), value_col, keep)
+    cols = [f.name for f in known]
+    if fields is None:
+        cols += [F.lit(None).cast(t).alias(n) for n, t in schemas.ORDER_FIELDS[11:]]
     return d.select(*(keep or []), *cols, (F.col("_bad") | F.col("id").isNull()).alias("_bad"))

@@ -143,10 +143,12 @@ def order_values_from_topics(spark, topics_path: str) -> DataFrame:
 
 
 def hot_items_app(behaviors: DataFrame, out_path: str, k: int = 5,
-                  trigger: str = DEFAULT_INTERVAL, name: str = "hot_items") -> StreamingQuery:
-    """Behaviour rows -> page views per item per 1 h / 5 min window ->
-    top ``k`` per window, one ranked folder per micro-batch."""
-    counts = jobs.item_window_counts_stream(behaviors)
+                  trigger: str = DEFAULT_INTERVAL, name: str = "hot_items",
+                  delay: str = "0 seconds") -> StreamingQuery:
+    """Behaviour rows (up to ``delay`` out of order) -> page views per item
+    per 1 h / 5 min window -> top ``k`` per window, one ranked folder per
+    micro-batch. ``jobs.hot_items_stream`` is the same as one plan."""
+    counts = jobs.item_window_counts_stream(behaviors, delay=delay)
     writer = ranked_batches(out_path, ["window_end"], [F.desc("count"), F.asc("item_id")], k,
                             ["window_end", "rank", "item_id", "count"])
     return start(counts, name, sink="foreach_batch", foreach_batch=writer, trigger=trigger,

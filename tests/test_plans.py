@@ -92,3 +92,19 @@ def test_aggregations_combine_map_side(spark):
     for name in ["item_window_counts", "pv_hourly", "uv_hourly", "marketing_by_channel"]:
         p = plan(E.queries()[name](spark, SF_SMALL))
         assert "partial_" in p, name
+
+
+@pytest.mark.parametrize("name,fields", [
+    ("order_time_parts", {"id", "user_id", "create_time"}), ("order_first_flag", {"id", "user_id"}),
+    ("order_first_flag_batch", {"id", "user_id", "create_time"}), ("order_with_user", {"id", "user_id"}),
+    ("order_with_province", {"id", "province_id"}), ("user_state_update", {"id", "user_id"})])
+def test_orders_parse_the_used_fields_only(spark, name, fields):
+    p = optimized(E.queries()[name](spark, SF_SMALL))
+    parsed = [{f for f in ln.split("from_json(")[1].split(")")[0].replace("StructField(", "").split(",")}
+              for ln in p.splitlines() if "from_json(" in ln and "user_id" in ln + "province_id"]
+    orders = [x for x in parsed if "user_id" in x or "province_id" in x]
+    assert all("final_total_amount" not in x for x in orders)
+    from clickflow import schemas
+    every = {f.name for f in schemas.ORDER_INPUT}
+    assert all((x & every) <= fields for x in orders)
+    assert "final_total_amount" not in p and "order_status" not in p.split("Relation")[0].split("concat(")[0]
