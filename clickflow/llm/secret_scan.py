@@ -6,6 +6,10 @@ documents, the list of the block's documents with that trigram; lists are
 intersected within blocks, so no list grows with the corpus. Only candidate
 documents are verified with the expression itself. Rules without a mandatory
 trigram scan every document.
+
+An expression splits a text; the lengths of the gaps and matches leave it as
+rows of numbers, and a running sum over them gives the offsets, so the work is
+in proportion to a text's length and its matches.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ import re._parser as rp
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickflow.llm.sqltext import ascii_lower, let, save_shared
@@ -174,34 +178,32 @@ def candidates(index: DataFrame, rules: list[Rule]) -> DataFrame:
 SPAN = "struct<start:bigint,rank:int,kind:string,end:bigint>"
 
 
-def find_spans(text: Column, rule: Rule, rank: int) -> Column:
-    """The rule's spans in ``text`` as (start, rank, kind, end), code points.
-
-    The expression splits the text; the lengths of the pieces and matches, in
-    turn, are the offsets.
-    """
-    def spans(m: Column) -> Column:
+def matches(text: Column, rule: Rule, rank: int) -> Column:
+    """The rule's matches in ``text`` in turn: rank, i, gap (code points before
+    it, after the match before), size, and whether it counts as long enough."""
+    def lengths(m: Column) -> Column:
         group = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) \
             if rule.group else m
-        gaps = F.split(text, rule.pattern, -1)
-        z = F.arrays_zip(F.slice(gaps, 1, F.size(m)).alias("gap"), m.alias("m"), group.alias("g"))
-        zero = F.struct(F.lit(0).cast("long").alias("at"),
-                        F.array().cast(f"array<{SPAN}>").alias("out"))
-
-        def add(a: Column, x: Column) -> Column:
-            start = a["at"] + F.length(x["gap"])
-            end = start + F.length(x["m"])
-            one = F.struct(start.alias("start"), F.lit(rank).alias("rank"),
-                           F.lit(rule.kind).alias("kind"), end.alias("end"))
-            return F.struct(end.alias("at"), F.when(
-                F.length(x["g"]) >= rule.least, F.concat(a["out"], F.array(one))).otherwise(
-                a["out"]).cast(f"array<{SPAN}>").alias("out"))
-
-        return F.aggregate(z, zero, add, lambda a: a["out"])
-
-    none = F.array().cast(f"array<{SPAN}>")
+        gaps = F.slice(F.split(text, rule.pattern, -1), 1, F.size(m))
+        z = F.arrays_zip(gaps.alias("gap"), m.alias("m"), group.alias("g"))
+        return F.transform(z, lambda x, i: F.struct(
+            F.lit(rank).alias("rank"), i.alias("i"), F.length(x["gap"]).alias("gap"),
+            F.length(x["m"]).alias("size"), (F.length(x["g"]) >= rule.least).alias("counts")))
+
+    none = F.array().cast("array<struct<rank:int,i:int,gap:int,size:int,counts:boolean>>")
     return let(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)),
-               lambda m: F.when(F.size(m) > 0, spans(m)).otherwise(none))
+               lambda m: F.when(F.size(m) > 0, lengths(m)).otherwise(none))
+
+
+def spans_of(found: DataFrame, rules: list[Rule]) -> DataFrame:
+    """row, spans from rows (row, m: one of ``matches``)."""
+    w = Window.partitionBy("row", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    kinds = F.array(*[F.lit(r.kind) for r in rules])
+    s = found.select("row", "m.*").withColumn("end", F.sum(F.col("gap") + F.col("size")).over(w))
+    span = F.struct((F.col("end") - F.col("size")).alias("start"), "rank",
+                    F.get(kinds, F.col("rank")).alias("kind"), "end")
+    return s.where("counts").groupBy("row").agg(
+        F.sort_array(F.collect_list(span)).cast(f"array<{SPAN}>").alias("spans"))
 
 
 def span_text(spans: Column) -> Column:
@@ -211,26 +213,33 @@ def span_text(spans: Column) -> Column:
 
 def scan(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """doc_id, spans (array of (start, rank, kind, end), by start and then rule
-    order) per row of ``docs``. NULL text is empty; repeated rows and NULL
-    ids give one row each."""
-    d = docs.select("doc_id", "text")
+    order) per row of ``docs`` (a scan or written table, so that it has the same
+    order whenever it is read). NULL text is empty; repeated rows and NULL ids
+    give one row each.
+
+    Texts are joined with the candidates only for the rules that have a
+    mandatory trigram, and then only the candidates go on; the results meet all
+    documents by their row numbers."""
+    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = [r for r in rules if queries[r.kind]]
-    d = d.withColumn("key", _key(F.col("doc_id")))
+    text = F.coalesce("text", F.lit(""))
+    parts = []
+    full = [matches(text, r, i) for i, r in enumerate(rules) if not queries[r.kind]]
+    if full:
+        parts.append(numbered.select("row", F.explode(F.concat(*full)).alias("m")))
     if indexed:
         trigrams = sorted(set().union(*(c for r in indexed for c in queries[r.kind])))
         found = save_shared(candidates(trigram_index(docs, trigrams), indexed), "secret-candidates")
-        d = d.join(found, "key", "left")
-    text = F.coalesce("text", F.lit(""))
-    none = F.array().cast(f"array<{SPAN}>")
-    parts = []
-    for rank, r in enumerate(rules):
-        s = find_spans(text, r, rank)
-        if queries[r.kind]:
-            s = F.when(F.coalesce(F.array_contains("kinds", r.kind), F.lit(False)), s).otherwise(none)
-        parts.append(s)
-    return d.select("doc_id", F.sort_array(reduce(lambda a, b: F.concat(a, b), parts))
-                    .alias("spans"))
+        some = numbered.withColumn("key", _key(F.col("doc_id"))).join(found, "key")
+        none = F.array().cast("array<struct<rank:int,i:int,gap:int,size:int,counts:boolean>>")
+        part = [F.when(F.array_contains("kinds", r.kind), matches(text, r, i)).otherwise(none)
+                for i, r in enumerate(rules) if queries[r.kind]]
+        parts.append(some.select("row", F.explode(F.concat(*part)).alias("m")))
+    spans = spans_of(reduce(DataFrame.unionByName, parts), rules)
+    ids = docs.select("doc_id", F.monotonically_increasing_id().alias("row"))
+    return ids.join(spans, "row", "left").select(
+        "doc_id", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:

@@ -95,6 +95,26 @@ def test_base_spans_match_brute_force(spark):
     assert ss.scan(docs.limit(0)).count() == 0
 
 
+def test_work_is_linear_in_a_texts_matches(spark):
+    import time
+
+    def spent(texts):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).cache()
+        df.count()
+        t0 = time.perf_counter()
+        out = ss.scan(df).collect()
+        took = time.perf_counter() - t0
+        df.unpersist()
+        assert sum(len(r.spans) for r in out) == 100_000
+        last = max(out, key=lambda r: r.doc_id)
+        assert last.spans[-1].end == len(texts[-1]) - 1
+        return took
+
+    text = ("f" * 24 + " ") * 10_000
+    spent([text] * 10)
+    assert spent([text * 10]) < 3 * spent([text] * 10)
+
+
 @pytest.mark.parametrize("pattern,want", [
     ("abc|abd", {frozenset({"abc"}), frozenset({"abd"})}), ("[0-9a-f]{24,}", None), ("ab?c", None),
     ("xAbCd+", {frozenset({"xab", "abc", "bcd"})}), ("(foo|ba)z*", None),
