@@ -71,16 +71,19 @@ lab AS (
   SELECT doc_id AS page_id, CAST(avg(quality) >= 0.5 AS INTEGER) AS good
   FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
 h0 AS (
-  SELECT host, count(good) AS n, coalesce(sum(good), 0) AS good, string_split(host, '.') AS l
+  SELECT host, count(good) AS n, coalesce(sum(good), 0) AS good, regexp_replace(
+    regexp_replace(host, '^.*@', ''), '([^:]):[0-9]*$', '\\1') AS name
   FROM p LEFT JOIN lab USING (page_id) GROUP BY host),
 h1 AS (
-  SELECT *, array_to_string(l[-2:], '.') IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'co.nz',
+  SELECT *, string_split(name, '.') AS l,
+    regexp_matches(name, '^[0-9]{{1,3}}(\\.[0-9]{{1,3}}){{3}}$') OR starts_with(name, '[') AS address,
+    array_to_string(string_split(name, '.')[-2:], '.') IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'co.nz',
     'com.br', 'co.in') AS two FROM h0),
 h AS (
   SELECT host, n, good,
-    CASE WHEN two AND len(l) > 2 THEN array_to_string(l[-3:], '.')
-         WHEN NOT two AND len(l) > 1 THEN array_to_string(l[-2:], '.') ELSE host END AS domain,
-    CASE WHEN two THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix
+    CASE WHEN address THEN name WHEN two AND len(l) > 2 THEN array_to_string(l[-3:], '.')
+         WHEN NOT two AND len(l) > 1 THEN array_to_string(l[-2:], '.') ELSE name END AS domain,
+    CASE WHEN address THEN name WHEN two THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix
   FROM h1),
 o AS (SELECT (sum(good) + 1.0) / (sum(n) + 2.0) AS mu FROM h),
 s0 AS (SELECT suffix, sum(n) AS n, sum(good) AS good, any_value(o.mu) AS mu FROM h, o GROUP BY suffix),

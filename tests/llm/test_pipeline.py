@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 def test_every_operator_is_registered():
     names = E.queries()
     ops = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op"))
-    assert ops == list(range(1, 11)) and "pipeline" in names
+    assert ops == list(range(1, 14)) and "pipeline" in names
     assert set(oracle.llm_sql()) <= set(queries.llm_queries())
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
@@ -75,10 +75,34 @@ def test_run_equals_the_stages(spark):
     assert out.columns[:3] == ["doc_id", "start", "length"] and out.count() > 100
 
 
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    for t in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").limit(0 if t == "documents" else 50).write.parquet(
+            f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_url_sql_knows_ports_and_addresses(spark, tmp_path):
+    hosts = ["a.example.org", "A.example.org:8080", "u:p@b.example.org:80", "10.1.2.3", "10.1.2.3:81",
+             "10.9.2.3", "[::1]:80", "[2001:db8::1]", "x.co.uk", "y.x.co.uk:1", "co.uk", "bare", ""]
+    pages = [(i, f"http://{hosts[i % len(hosts)]}/p{i}") for i in range(130)] + [(500, None), (501, "x")]
+    labels = [(i, int(hosts[i % len(hosts)].startswith("10.1") or i % 3 == 0), 0) for i in range(0, 130, 2)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    c = duckdb.connect()
+    for t in ("pages", "labels"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    got = E.queries()["op10_host_filter"](spark, str(tmp_path))
+    want = c.execute(oracle.llm_sql()["op10_host_filter"])
+    cols = [x[0] for x in want.description]
+    assert collections.Counter(map(tuple, got.select(cols).collect())) == collections.Counter(want.fetchall())
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
