@@ -1,6 +1,7 @@
 """Physical-plan checks: the shapes the operators are designed to produce."""
 
 import os
+import re
 
 import pytest
 
@@ -100,11 +101,6 @@ def test_aggregations_combine_map_side(spark):
     ("order_with_province", {"id", "province_id"}), ("user_state_update", {"id", "user_id"})])
 def test_orders_parse_the_used_fields_only(spark, name, fields):
     p = optimized(E.queries()[name](spark, SF_SMALL))
-    parsed = [{f for f in ln.split("from_json(")[1].split(")")[0].replace("StructField(", "").split(",")}
-              for ln in p.splitlines() if "from_json(" in ln and "user_id" in ln + "province_id"]
-    orders = [x for x in parsed if "user_id" in x or "province_id" in x]
-    assert all("final_total_amount" not in x for x in orders)
-    from clickflow import schemas
-    every = {f.name for f in schemas.ORDER_INPUT}
-    assert all((x & every) <= fields for x in orders)
-    assert "final_total_amount" not in p and "order_status" not in p.split("Relation")[0].split("concat(")[0]
+    parsed = [set(re.findall(r"StructField\((\w+),", ln)) for ln in p.splitlines() if "from_json(" in ln]
+    orders = [x - {"_corrupt"} for x in parsed if "table" not in x]
+    assert orders and all(x == fields for x in orders)
