@@ -34,7 +34,7 @@ BLOCK = 2_000          # members of one side of a compared block in a large clus
 BLOCK_TOKENS = 1 << 20     # and their differences in all
 PATH = 4               # tokens of a path, at least
 STRANGERS = 1 / 200    # similarity of unrelated documents
-BROADCAST_ROWS = 500_000   # 8-byte keys in a broadcast, at most
+BROADCAST_ROWS = 500_000   # row keys in a broadcast, at most
 
 _U = np.uint64
 
@@ -90,13 +90,18 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, text)
 
 
+def second_key(doc_id: Column, text: Column) -> Column:
+    """Another 64 bits of a row, for what is decided by its key alone."""
+    return F.xxhash64(F.lit("second"), text, doc_id)
+
+
 def sketch(docs: DataFrame, k: int, trees: int, path: int) -> DataFrame:
-    """doc_id, rk (row key), n (set size), fp (set fingerprint, '' for an empty
+    """doc_id, rk and rk2 (row key), n (set size), fp (set fingerprint, '' for an empty
     set) and keys (node per tree) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, fp, keys = [], [], []
-            for s in _sets(as_bytes(b.column(2)), k):
+            for s in _sets(as_bytes(b.column(3)), k):
                 n.append(len(s))
                 fp.append(_fingerprint(s))
                 keys.append(path_keys(s, trees, path).view(np.int64) if len(s)
@@ -104,14 +109,15 @@ def sketch(docs: DataFrame, k: int, trees: int, path: int) -> DataFrame:
             at = np.concatenate(([0], np.cumsum([len(x) for x in keys]))).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(fp, pa.string()),
+                [b.column(0), b.column(1), b.column(2), pa.array(n, pa.int64()), pa.array(fp, pa.string()),
                  pa.ListArray.from_arrays(pa.array(at), pa.array(flat))],
-                ["doc_id", "rk", "n", "fp", "keys"])
+                ["doc_id", "rk", "rk2", "n", "fp", "keys"])
             release_memory()
 
-    d = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("rk"), "text")
+    key = (F.col("doc_id"), F.col("text"))
+    d = docs.select("doc_id", row_key(*key).alias("rk"), second_key(*key).alias("rk2"), "text")
     id_type = dict(d.dtypes)["doc_id"]
-    return d.mapInArrow(run, f"doc_id {id_type}, rk long, n long, fp string, keys array<long>")
+    return d.mapInArrow(run, f"doc_id {id_type}, rk long, rk2 long, n long, fp string, keys array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -266,7 +272,7 @@ def _large_links(sets: DataFrame, percent: int) -> list[DataFrame]:
 
 
 def duplicate_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(sketch rows, classes): sketch rows are doc_id, rk, n and fp of every row
+    """(sketch rows, classes): sketch rows are doc_id, rk, rk2, n and fp of every row
     of ``docs``; classes map each fp that is repeated or linked to its root."""
     ready_workers(docs.sparkSession)
     path = path_length(docs.count())
@@ -292,7 +298,7 @@ def duplicate_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame,
     roots = connected_components(links, "near-links").withColumnsRenamed({"node": "fp"})
     known = classes.where("copies > 1").select("fp").join(roots, "fp", "full").select(
         "fp", F.coalesce("root", "fp").alias("root"))
-    return rows.select("doc_id", "rk", "n", "fp"), save_shared(known, "near-roots")
+    return rows.select("doc_id", "rk", "rk2", "n", "fp"), save_shared(known, "near-roots")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -322,19 +328,22 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> Data
     of repeated rows one does."""
     rows, roots = duplicate_classes(docs, k, percent)
     grouped = rows.join(roots, "fp").select("root", F.struct(
-        F.col("doc_id").isNull().alias("null_id"), "doc_id", "rk").alias("row"))
-    first = save_shared(grouped.groupBy("root").agg(F.min("row")["rk"].alias("keep")), "near-first")
-    ranked = grouped.join(first, "root").select(F.col("row")["rk"].alias("rk"),
-                                                (F.col("row")["rk"] == F.col("keep")).alias("keep"))
-    ranked = ranked.groupBy("rk", "keep").agg(F.count(F.lit(1)).alias("rows"))
+        F.col("doc_id").isNull().alias("null_id"), "doc_id", "rk", "rk2").alias("row"))
+    first = save_shared(grouped.groupBy("root").agg(F.min("row").alias("first")), "near-first")
+    key = ["rk", "rk2"]
+    ranked = grouped.join(first, "root").select(*[F.col("row")[c].alias(c) for c in key], (
+        (F.col("row")["rk"] == F.col("first")["rk"])
+        & (F.col("row")["rk2"] == F.col("first")["rk2"])).alias("keep"))
+    ranked = ranked.groupBy(*key, "keep").agg(F.count(F.lit(1)).alias("rows"))
     # rows to take out: all but the first, and repeats of the first
     out = save_shared(ranked.where("not keep or rows > 1"), "near-out")
+    row = (F.col("doc_id"), F.col("text"))
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-                    row_key(F.col("doc_id"), F.col("text")).alias("rk"))
+                    row_key(*row).alias("rk"), second_key(*row).alias("rk2"))
     few = out.count() <= BROADCAST_ROWS
-    gone = out.select("rk")
-    kept = d.join(F.broadcast(gone) if few else gone, "rk", "left_anti")
-    again = out.where("keep").select("rk")
+    gone = out.select(*key)
+    kept = d.join(F.broadcast(gone) if few else gone, key, "left_anti")
+    again = out.where("keep").select(*key)
     if not again.isEmpty():
-        kept = kept.unionByName(d.join(again, "rk", "left_semi").dropDuplicates(["rk"]))
+        kept = kept.unionByName(d.join(again, key, "left_semi").dropDuplicates(key))
     return kept.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
