@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from clickflow.llm.features import collect_sample, feature_rows, ratio, sample_ids
 from clickflow.llm.flat import Flat, as_bytes, byte_table, chunks, mix
 from clickflow.llm.quality_gam import sigmoid
-from clickflow.llm.sqltext import held_out
+from clickflow.llm.sqltext import held_out, save_shared
 
 SAMPLE_ROWS = 20_000    # labelled documents used for learning, at most
 LEXICON_SIZE = 4_096    # entries, at most
@@ -290,7 +290,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS
     fold; the sample's ids, at most ``max_rows``, are broadcast. Without
     labels every score is 1/2."""
     ids = sample_ids(labels, "toxic", max_rows)
-    picked = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    # read six times below: at most ``max_rows`` documents (and repeats of them)
+    picked = save_shared(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"),
+                         "toxicity-sample", few_files=True)
     half = F.pmod(F.xxhash64(F.lit("half"), F.col("doc_id")), F.lit(2))
     xs, ys = [], []
     for h in (0, 1):
