@@ -6,7 +6,8 @@ short: the longest remainder opens a window of its tier, shorter remainders
 fill the gap, and the last of them is cut where the window ends, so windows
 have no padding. Each input partition is packed on its own in bounded blocks,
 which needs no shuffle; only its last window may stay open. Windows of a tier
-are dealt into step groups of equal token counts.
+are numbered over all partitions, by the partitions' counts, and dealt into step
+groups of equal token counts.
 """
 
 from __future__ import annotations
@@ -22,10 +23,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from clickflow.llm.flat import release_memory
-from clickflow.llm.sqltext import ready_workers
+from clickflow.llm.sqltext import ready_workers, save_shared
 
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
@@ -275,8 +277,8 @@ class Packer:
             yield self.tiers[-1], [self._take(len(self.pool) - 1) for _ in range(len(self.pool))]
 
 
-SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-          "sequence_id long, offset long, tier int, step_group long")
+PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+          "sequence_id long, offset long, tier int")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS,
@@ -289,11 +291,14 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...]
     A document's ids end with ``END_ID``; a NULL or empty text has that id
     alone. Repeated rows are packed as rows of their own, a NULL doc_id stays
     NULL. Sequence and group numbers are unique over all partitions and follow
-    from the partition's rows, so a task that runs again gives the same.
+    from the partition's rows, so a task that runs again gives the same. Every
+    group but the last of each tier holds windows of ``STEP_TOKENS`` tokens. The
+    pieces are written to the shared folder first, as the groups follow from
+    the number of windows in all partitions.
     """
     fields = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(),
               "ids_crc32": pa.int64(), "doc_tokens": pa.int64(), "sequence_id": pa.int64(),
-              "offset": pa.int64(), "tier": pa.int32(), "step_group": pa.int64()}
+              "offset": pa.int64(), "tier": pa.int32(), "part": pa.int32(), "nth": pa.int64()}
     if with_ids:
         fields["ids"] = pa.list_(pa.int32())
 
@@ -301,23 +306,23 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...]
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tok, packer = tokenizer(tokenizer_path, remembered), Packer(tiers)
-        base = TaskContext.get().partitionId() << 33
+        part = TaskContext.get().partitionId()
+        base = part << 33
         rows: list[tuple] = []
         seqs, by_tier = 0, dict.fromkeys(tiers, 0)
 
         def write(windows: Iterator[tuple[int, list[Piece]]]) -> None:
             nonlocal seqs
             for tier, window in windows:
-                nth = by_tier[tier] // max(STEP_TOKENS // tier, 1)
-                group = base + nth * len(tiers) + tiers.index(tier)
-                by_tier[tier] += 1
                 offset = 0
                 for p in window:
                     n = len(p.ids)
                     crc = zlib.crc32(p.ids.astype("<u4").tobytes())
-                    row = (p.doc, p.start, n, crc, p.doc_tokens, base + seqs, offset, tier, group)
+                    row = (p.doc, p.start, n, crc, p.doc_tokens, base + seqs, offset, tier, part,
+                           by_tier[tier])
                     rows.append((*row, p.ids.astype(np.int32)) if with_ids else row)
                     offset += n
+                by_tier[tier] += 1
                 seqs += 1
 
         def emit() -> pa.RecordBatch:
@@ -350,5 +355,22 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...]
         release_memory()
 
     ready_workers(docs.sparkSession)
-    schema = SCHEMA + (", ids array<int>" if with_ids else "")
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = f"{PIECES}, part int, nth long" + (", ids array<int>" if with_ids else "")
+    pieces = save_shared(docs.select("doc_id", "text").mapInArrow(run, schema), "packed-pieces")
+    return with_step_groups(pieces, tiers)
+
+
+def with_step_groups(pieces: DataFrame, tiers: tuple[int, ...] = TIERS) -> DataFrame:
+    """``pieces`` with ``step_group`` for ``part`` (partition) and ``nth`` (window of
+    its tier there): windows are numbered over all partitions by a running sum
+    of the partitions' counts, a row per partition and tier."""
+    counts = pieces.groupBy("tier", "part").agg((F.max("nth") + 1).alias("windows"))
+    before = Window.partitionBy("tier").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    start = counts.select("tier", "part", F.coalesce(F.sum("windows").over(before), F.lit(0)).alias("earlier"))
+    size = F.greatest(F.floor(F.lit(STEP_TOKENS) / F.col("tier")), F.lit(1))
+    group = F.floor((F.col("earlier") + F.col("nth")) / size) * len(tiers) + F.array_position(
+        F.array(*[F.lit(t) for t in tiers]), F.col("tier")) - 1
+    columns = [c for c in pieces.columns if c not in ("part", "nth")]
+    at = columns.index("tier") + 1
+    return pieces.join(start, ["tier", "part"]).select(
+        *columns[:at], group.cast("long").alias("step_group"), *columns[at:])

@@ -77,6 +77,21 @@ def test_pieces_cover_documents(spark, tok):
     assert all(sum(t for _, t in g) <= packing.STEP_TOKENS for g in groups.values())
 
 
+def test_step_groups_are_full_over_many_partitions(spark):
+    r = random.Random(2)
+    docs = [(i, " ".join(f"w{r.randrange(99)}" for _ in range(r.choice([5, 90, 400, 3000]))))
+            for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(50)
+    groups = collections.defaultdict(set)
+    for p in packing.pack_documents(df, tokenizer_path()).collect():
+        groups[p.tier, p.step_group].add(p.sequence_id)
+    assert len({g for _, g in groups}) == len(groups)
+    for tier in packing.TIERS:
+        held = sorted(len(v) * tier for (t, _), v in groups.items() if t == tier)
+        assert all(h == packing.STEP_TOKENS for h in held[1:]) and held[0] <= packing.STEP_TOKENS
+    assert sum(t == 2048 for t, _ in groups) > 2
+
+
 def test_null_and_repeated_ids_and_empty_table(spark, tok):
     docs = [(None, "a b c"), (7, "x " * 5000), (7, "x " * 5000), (8, None)]
     df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
