@@ -9,10 +9,10 @@ longest common extensions. Ukkonen trees of the words and of their reversal
 answer these in constant time: the depth of the lowest common ancestor is the
 smallest depth between two leaves of the Euler tour.
 
-A run of three periods or more holds each of its words three times or more. So
-a word that occurs less often in a text cannot be in or next to a run, and it
-cuts the text into parts that are searched apart, without losing any run. The
-same holds inside each part.
+A run of three periods or more holds each of its words three times or more, and
+a word that extends it is one of them. So a word that occurs less often in a text
+cuts it into parts that are searched apart, without losing or shortening any
+run. The same holds inside each part.
 """
 
 from __future__ import annotations
