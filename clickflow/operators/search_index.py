@@ -31,6 +31,26 @@ def _shard(token: Column | str, shards: int) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(shards)).cast("int")
 
 
+def _words(text: Column | str) -> Column:
+    return tokens(F.coalesce(text, F.lit("")))
+
+
+def _by_token(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep``, token and its sorted positions: a row per document and token
+    of its ``texts``. Positions are grouped inside the document's row: its
+    tokens are sorted with their positions, and each run of equal ones is a row."""
+    at = F.flatten(F.transform("texts", lambda t: F.transform(
+        _words(t), lambda x, i: F.struct(x.alias("token"), i.alias("at")))))
+    d = docs.select(*keep, F.sort_array(at).alias("_s"))
+    d = d.withColumn("_first", F.filter(F.sequence(F.lit(0), F.size("_s") - 1), lambda i: (i == 0) | (
+        F.get("_s", i)["token"] != F.get("_s", i - 1)["token"])))
+    # each element of _s is picked by its number, so a long text costs no more per token
+    return d.select(*keep, F.inline(F.transform("_first", lambda i, k: F.struct(
+        F.get("_s", i)["token"].alias("token"),
+        F.transform(F.sequence(i, F.coalesce(F.get("_first", k + 1), F.size("_s")) - 1),
+                    lambda j: F.get("_s", j)["at"]).alias("positions")))))
+
+
 class SearchIndex:
     """An index at ``path`` of documents with ``schema`` (doc_id, text and the
     ``fields`` that queries filter and order by)."""
@@ -46,7 +66,8 @@ class SearchIndex:
             T.StructField("token", T.StringType()), T.StructField("block", T.LongType()),
             T.StructField("entries", T.ArrayType(entry)), T.StructField("shard", T.IntegerType())]), "shard")
         self.texts = Store(spark, f"{path}/texts", T.StructType(
-            [*self.schema, T.StructField("block", T.LongType())]), "block")
+            [*self.schema, T.StructField("length", T.IntegerType()),
+             T.StructField("block", T.LongType())]), "block")
         self.sizes = Store(spark, f"{path}/sizes", "n_docs long, n_tokens long")
 
     def add(self, docs: DataFrame, batch_id: int) -> None:
@@ -57,24 +78,21 @@ class SearchIndex:
         docs = docs.select(*self.schema.names)
         blocks = -(-docs.count() // self.block_docs) or 1
         block = F.lit(batch_id << 32) + F.pmod(F.xxhash64("doc_id"), F.lit(blocks))
-        d = docs.withColumn("block", block.cast("long"))
+        d = docs.withColumns({"length": F.size(_words("text")), "block": block.cast("long")})
         # a block's documents lie together by doc_id: a page reads few row groups
         self.texts.append(d.repartition("block").sortWithinPartitions("block", "doc_id"), batch_id)
         stored = self.texts.read(before=batch_id + 1).where(F.col("batch_id") == batch_id).drop("batch_id")
-        t = stored.select("block", "doc_id", *self.fields, tokens(F.coalesce("text", F.lit(""))).alias("t"))
-        t = t.select("block", "doc_id", *self.fields, F.size("t").alias("length"),
-                     F.posexplode("t").alias("at", "token"))
-        # one shuffle for both groupings and the folders
-        t = t.withColumn("shard", _shard("token", self.shards)).repartition("shard", "block")
-        each = t.groupBy("shard", "block", "token", "doc_id", "length", *self.fields).agg(
-            F.sort_array(F.collect_list("at")).alias("positions"))
-        lists = each.groupBy("shard", "block", "token").agg(F.sort_array(F.collect_list(
+        # texts alone are shuffled: a block's postings are made where its texts are
+        doc = ["block", "doc_id", "length", *self.fields]
+        each = stored.where(F.col("length") > 0).repartition("block").groupBy(*doc).agg(
+            F.collect_list("text").alias("texts"))
+        lists = _by_token(each, doc).groupBy("block", "token").agg(F.sort_array(F.collect_list(
             F.struct("doc_id", "positions", "length", *self.fields))).alias("entries"))
+        lists = lists.withColumn("shard", _shard("token", self.shards))
         self.postings.append(lists.sortWithinPartitions("shard", "token"), batch_id)
         self.sizes.append(stored.agg(
             F.count(F.lit(1)).alias("n_docs"),
-            F.coalesce(F.sum(F.size(tokens(F.coalesce("text", F.lit(""))))), F.lit(0)).cast("long")
-            .alias("n_tokens")), batch_id)
+            F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("n_tokens")), batch_id)
 
     def entries(self, words: list[str]) -> DataFrame:
         """token, block and the entry's columns for the postings of ``words``;

@@ -92,3 +92,22 @@ def test_page_equals_the_unindexed_search(spark, tmp_path):
     want = doc_search(docs, "that", {"lang": "en"})
     cols = ["doc_id", "lang", "n_chars", "hits", "highlight"]
     assert rows(got, cols) == rows(want, cols)
+
+
+def test_postings_shuffle_texts_alone(spark, tmp_path, monkeypatch):
+    ix = SearchIndex(spark, str(tmp_path), spark.createDataFrame([], SCHEMA).schema, ["lang", "n_chars"])
+    plans, append = [], ix.postings.append
+    monkeypatch.setattr(ix.postings, "append", lambda df, n: (
+        plans.append(df._jdf.queryExecution().executedPlan().toString()), append(df, n)))
+    ix.add(spark.createDataFrame(documents(), SCHEMA), 0)
+    assert plans[0].count("Exchange ") == 1
+    below = plans[0].split("Exchange ")[1]
+    assert "explode(" not in below and "inline(" not in below and "text#" in below
+
+
+def test_rows_of_one_key_share_an_entry(spark, tmp_path):
+    ix = SearchIndex(spark, str(tmp_path), spark.createDataFrame([], SCHEMA).schema, ["lang", "n_chars"])
+    ix.add(spark.createDataFrame([(1, "en", 9, "red blue", "e"), (1, "en", 9, "x red", "e"), (1, "de", 9, "red x", "e"),
+                                  (None, None, None, "red red x", "e")], SCHEMA), 0)
+    got = {(r.doc_id, r.lang, r.length): r.positions for r in ix.entries(["red"]).collect()}
+    assert got == {(1, "en", 2): [0, 1], (1, "de", 2): [0], (None, None, 3): [0, 1]}
