@@ -14,11 +14,14 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickflow.functions.text import highlight, tokens
+from clickflow.session import workers_find_package
 from clickflow.sinks.store import Store
 
 BLOCK_DOCS = 4096
@@ -35,20 +38,33 @@ def _words(text: Column | str) -> Column:
     return tokens(F.coalesce(text, F.lit("")))
 
 
-def _by_token(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep``, token and its sorted positions: a row per document and token
-    of its ``texts``. Positions are grouped inside the document's row: its
-    tokens are sorted with their positions, and each run of equal ones is a row."""
-    at = F.flatten(F.transform("texts", lambda t: F.transform(
-        _words(t), lambda x, i: F.struct(x.alias("token"), i.alias("at")))))
-    d = docs.select(*keep, F.sort_array(at).alias("_s"))
-    d = d.withColumn("_first", F.filter(F.sequence(F.lit(0), F.size("_s") - 1), lambda i: (i == 0) | (
-        F.get("_s", i)["token"] != F.get("_s", i - 1)["token"])))
-    # each element of _s is picked by its number, so a long text costs no more per token
-    return d.select(*keep, F.inline(F.transform("_first", lambda i, k: F.struct(
-        F.get("_s", i)["token"].alias("token"),
-        F.transform(F.sequence(i, F.coalesce(F.get("_first", k + 1), F.size("_s")) - 1),
-                    lambda j: F.get("_s", j)["at"]).alias("positions")))))
+def _block_postings(docs: pa.Table) -> pa.Table:
+    """token, block and entries of one block's documents, whose ``words`` are a
+    list per text: occurrences are put in order of (token, document, position),
+    and the runs of equal pairs are the entries."""
+    docs = docs.sort_by("doc_id").combine_chunks()
+    by_doc = docs["words"].combine_chunks()
+    by_text = by_doc.flatten()
+    words = by_text.flatten().dictionary_encode()
+    texts, lengths, n = by_doc.value_lengths().to_numpy(), by_text.value_lengths().to_numpy(), len(docs)
+    at = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    pair = words.indices.to_numpy().astype("int64") * n + np.repeat(np.repeat(np.arange(n), texts), lengths)
+    # stable: positions ascend already where a document has one text
+    order = np.lexsort((at, pair) if texts.max() > 1 else (pair,))
+    at, pair = at[order], pair[order]
+    entry = np.flatnonzero(np.diff(pair, prepend=-1))
+    word, doc = np.divmod(pair[entry], n)
+    first = np.flatnonzero(np.diff(word, prepend=-1))
+
+    def lists(starts: np.ndarray, values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), values)
+
+    kept = docs.drop_columns(["block", "words"]).take(pa.array(doc)).combine_chunks()
+    columns = {c: kept[c].combine_chunks() for c in kept.column_names}
+    columns = {"doc_id": columns.pop("doc_id"), "positions": lists(entry, pa.array(at, pa.int32())), **columns}
+    return pa.table({
+        "token": words.dictionary.take(pa.array(word[first])), "block": docs["block"].take(pa.array(first * 0)),
+        "entries": lists(first, pa.StructArray.from_arrays([*columns.values()], [*columns]))})
 
 
 class SearchIndex:
@@ -86,9 +102,12 @@ class SearchIndex:
         doc = ["block", "doc_id", "length", *self.fields]
         each = stored.where(F.col("length") > 0).repartition("block").groupBy(*doc).agg(
             F.collect_list("text").alias("texts"))
-        lists = _by_token(each, doc).groupBy("block", "token").agg(F.sort_array(F.collect_list(
-            F.struct("doc_id", "positions", "length", *self.fields))).alias("entries"))
-        lists = lists.withColumn("shard", _shard("token", self.shards))
+        words = each.sortWithinPartitions("block").select(*doc, F.transform("texts", _words).alias("words"))
+        workers_find_package(self.spark)
+        lists = words.groupBy("block").applyInArrow(_block_postings, T.StructType(
+            [self.postings.schema[c] for c in ("token", "block", "entries")]))
+        lists = lists.select("token", "block", F.sort_array("entries").alias("entries"),
+                             _shard("token", self.shards).alias("shard"))
         self.postings.append(lists.sortWithinPartitions("shard", "token"), batch_id)
         self.sizes.append(stored.agg(
             F.count(F.lit(1)).alias("n_docs"),

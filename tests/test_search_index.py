@@ -4,11 +4,12 @@ import math
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from clickflow.operators.search import doc_search
-from clickflow.operators.search_index import SearchIndex
+from clickflow.operators.search_index import SearchIndex, _block_postings
 from clickflow.plans.tables import Tables
 from conftest import SF_SMALL, rows
 
@@ -94,17 +95,37 @@ def test_page_equals_the_unindexed_search(spark, tmp_path):
     assert rows(got, cols) == rows(want, cols)
 
 
-def test_postings_shuffle_texts_alone(spark, tmp_path, monkeypatch):
+def postings_plan(spark, tmp_path, monkeypatch):
     ix = SearchIndex(spark, str(tmp_path), spark.createDataFrame([], SCHEMA).schema, ["lang", "n_chars"])
     plans, append = [], ix.postings.append
     monkeypatch.setattr(ix.postings, "append", lambda df, n: (
         plans.append(df._jdf.queryExecution().executedPlan().toString()), append(df, n)))
     ix.add(spark.createDataFrame(documents(), SCHEMA), 0)
-    assert plans[0].count("Exchange ") == 1
-    below = plans[0].split("Exchange ")[1]
+    return plans[0]
+
+
+def test_postings_shuffle_texts_alone(spark, tmp_path, monkeypatch):
+    plan = postings_plan(spark, tmp_path, monkeypatch)
+    assert plan.count("Exchange ") == 1
+    below = plan.split("Exchange ")[1]
     assert "explode(" not in below and "inline(" not in below and "text#" in below
 
 
+def test_no_row_per_document_and_token(spark, tmp_path, monkeypatch):
+    plan = postings_plan(spark, tmp_path, monkeypatch)
+    assert "Generate " not in plan and "collect_list(struct(" not in plan
+
+
+def test_block_postings():
+    docs = pa.table({"block": [7, 7, 7], "doc_id": [9, None, 2], "length": [3, 1, 4], "lang": ["en", None, "de"],
+                     "words": [[["b", "a", "b"]], [["a"]], [["c", "b"], ["b", "b", "x", "c"]]]})
+    got = {r["token"]: (r["block"], [tuple(e.values()) for e in r["entries"]])
+           for r in _block_postings(docs).to_pylist()}
+    assert got == {"a": (7, [(9, [1], 3, "en"), (None, [0], 1, None)]),
+                   "b": (7, [(2, [0, 1, 1], 4, "de"), (9, [0, 2], 3, "en")]),
+                   "c": (7, [(2, [0, 3], 4, "de")]), "x": (7, [(2, [2], 4, "de")])}
+
+
 def test_rows_of_one_key_share_an_entry(spark, tmp_path):
     ix = SearchIndex(spark, str(tmp_path), spark.createDataFrame([], SCHEMA).schema, ["lang", "n_chars"])
     ix.add(spark.createDataFrame([(1, "en", 9, "red blue", "e"), (1, "en", 9, "x red", "e"), (1, "de", 9, "red x", "e"),
